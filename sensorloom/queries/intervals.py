@@ -142,8 +142,8 @@ def _(t):
 
 
 @query("window_vote_weights", with_views(PLAN + """,
-ed AS (SELECT DISTINCT recording_id, unnest([start, start + 20]) AS at FROM pl),
-el AS (SELECT recording_id, at AS l, lead(at) OVER (PARTITION BY recording_id ORDER BY at) AS r FROM ed),
+ed AS (SELECT DISTINCT recording_id, unnest([start, start + 20]) AS edge FROM pl),
+el AS (SELECT recording_id, edge AS l, lead(edge) OVER (PARTITION BY recording_id ORDER BY edge) AS r FROM ed),
 cv AS (SELECT el.recording_id, l, r, count(*) AS k FROM el JOIN pl ON el.recording_id = pl.recording_id AND pl.start <= l AND r <= pl.start + 20 GROUP BY 1, 2, 3)
 SELECT pl.recording_id, pl.start, round(sum((r - l) / k), 6) AS weight FROM pl JOIN cv ON cv.recording_id = pl.recording_id AND pl.start <= l AND r <= pl.start + 20 GROUP BY 1, 2""", "samples"))
 def _(t):
