@@ -13,6 +13,12 @@ def r6(c) -> Column:
     return F.round(c, 6)
 
 
+def r6_off_ties(c) -> Column:
+    """Round averages of short decimals, whose seventh digit is often an exact 5: moved off the tie first."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c + F.lit(1e-9), 6)
+
+
 def finite(c) -> Column:
     """NaN and infinities to NULL, so that aggregates skip them."""
     c = F.col(c) if isinstance(c, str) else c

@@ -184,7 +184,7 @@ EP = """, ev AS (SELECT recording_id, source_id AS epoch, event_id, sample // 60
 ep AS (SELECT e.recording_id, epoch, event_id, ch_type, ch_name, t - sample AS k, value FROM ev e JOIN samples s
   ON e.recording_id = s.recording_id AND t BETWEEN sample - 4 AND sample + 8),
 bl AS (SELECT * EXCLUDE (value), value - avg(value) FILTER (k <= 0) OVER (PARTITION BY recording_id, epoch, ch_name) AS value FROM ep),
-pp AS (SELECT recording_id, epoch, event_id, ch_name, max(value) - min(value) > CASE ch_type WHEN 'mag' THEN 110e0 ELSE 140e0 END AS over FROM bl GROUP BY recording_id, epoch, event_id, ch_type, ch_name),
+pp AS (SELECT recording_id, epoch, event_id, ch_name, max(value) - min(value) > CASE ch_type WHEN 'mag' THEN 165e0 ELSE 170e0 END AS over FROM bl GROUP BY recording_id, epoch, event_id, ch_type, ch_name),
 lg AS (SELECT recording_id, epoch, event_id, coalesce(string_agg(CASE WHEN over THEN ch_name END, ',' ORDER BY ch_name), '') AS reason, bool_or(over) AS rejected FROM pp GROUP BY 1, 2, 3) """
 
 
@@ -198,7 +198,7 @@ def corrected(t):
     return op.baseline_correct(epochs(t), None, 0)
 
 
-LIMITS = {"mag": 110.0, "grad": 140.0}
+LIMITS = {"mag": 165.0, "grad": 170.0}
 
 
 @query("cut_epochs", with_views(EP + "SELECT recording_id, epoch, event_id, ch_name, k, value FROM ep", "triggers", "samples"))
