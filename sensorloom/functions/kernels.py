@@ -5,8 +5,6 @@ channel/segment. The functions return closures for `applyInPandas`; they are pic
 value, so executors need no installed copy of the package.
 """
 
-from __future__ import annotations
-
 import math
 
 import numpy as np
@@ -352,7 +350,7 @@ def ransac_window(keys, weights):
             if not preds:
                 continue
             guess = np.median(np.stack(preds), axis=0)
-            own = x[at[name]]
+            own, guess = x[at[name]] - x[at[name]].mean(), guess - guess.mean()
             den = math.sqrt(float(own @ own)) * math.sqrt(float(guess @ guess))
             rows.append({**{k: pdf[k].iloc[0] for k in keys}, "ch_name": name,
                          "corr": float(own @ guess) / den if den > 0 else 0.0})
@@ -430,3 +428,18 @@ def solve_normal_equations(xtx, xty, n, yty):
     se = np.sqrt(np.einsum("nii->ni", inv) * (rss / dof)[:, None])
     with np.errstate(all="ignore"):
         return beta, np.where(se > 0, beta / se, 0.0)
+
+
+# -------------------------------------------------------------- topographies
+
+def topography_forms(vectors: pd.Series) -> pd.DataFrame:
+    """Unit, centred-unit, centred-rank-unit (ties averaged) and min-max forms of short vectors."""
+    rows = []
+    for v in vectors:
+        x = np.asarray(v, float)
+        _, place, count = np.unique(x, return_inverse=True, return_counts=True)
+        ranks = (np.cumsum(count) - (count - 1) / 2.0)[place]
+        c, r = x - x.mean(), ranks - ranks.mean()
+        with np.errstate(all="ignore"):
+            rows.append((x / np.sqrt(x @ x), c / np.sqrt(c @ c), r / np.sqrt(r @ r), (x - x.min()) / (x.max() - x.min() + 1e-10)))
+    return pd.DataFrame(rows, columns=["unit", "centred", "ranked", "scaled"])

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..plans.quantiles import exact_quantiles
 from ..plans.scans import prefix_scan
 
@@ -61,33 +62,14 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0e0), lambda s, v: s + v)
 
 
-def _centred(a: Column) -> Column:
-    mean = F.aggregate(a, F.lit(0e0), lambda s, v: s + v) / F.size(a)
-    return F.transform(a, lambda v: v - mean)
-
-
-def _divided(a: Column, by: Column) -> Column:
-    return F.transform(a, lambda v: v / by)
-
-
-def average_ranks(a: Column) -> Column:
-    """Ranks with ties averaged, from the first and last place in the sorted vector."""
-    asc = F.array_sort(a)
-    desc = F.reverse(asc)
-    return F.transform(a, lambda v: (F.array_position(asc, v) + F.size(asc) + 1 - F.array_position(desc, v)) / F.lit(2e0))
+FORMS = "unit array<double>, centred array<double>, ranked array<double>, scaled array<double>"
 
 
 def prepare(df: DataFrame, topo: str = "topo", prefix: str = "") -> DataFrame:
-    """Unit, centred-unit, centred-rank-unit and min-max forms, computed once per vector, not per pair."""
-    out = df.withColumn(prefix + "_c", _centred(F.col(topo))).withColumn(prefix + "_r", _centred(average_ranks(F.col(topo))))
-    for src, dst in ((topo, "unit"), (prefix + "_c", "centred"), (prefix + "_r", "ranked")):
-        norm = F.col(prefix + dst + "_n")
-        out = out.withColumn(prefix + dst + "_n", F.sqrt(_dot(F.col(src), F.col(src))))
-        out = out.withColumn(prefix + dst, _divided(F.col(src), norm))
-    out = out.withColumn(prefix + "_lo", F.array_min(topo)).withColumn(prefix + "_hi", F.array_max(topo))
-    scaled = F.transform(F.col(topo), lambda v: (v - F.col(prefix + "_lo")) / (F.col(prefix + "_hi") - F.col(prefix + "_lo") + 1e-10))
-    return out.withColumn(prefix + "scaled", scaled).drop(
-        *[prefix + c for c in ("_c", "_r", "_lo", "_hi", "unit_n", "centred_n", "ranked_n")])
+    """Normalised forms, computed once per vector (Arrow batches), so that a pair costs four dot products."""
+    forms = F.pandas_udf(kernels.topography_forms, FORMS)
+    out = df.withColumn("_f", forms(F.col(topo)))
+    return out.select(*df.columns, *[F.col("_f." + c).alias(prefix + c) for c in ("unit", "centred", "ranked", "scaled")])
 
 
 def topo_similarity(components: DataFrame, templates: DataFrame, device: str = "device_type") -> DataFrame:

@@ -53,22 +53,22 @@ def _(t):
 
 
 @query("classify_by_template", with_views(SIM + """, b AS (SELECT component, greatest(max(pearson) FILTER (kind = 'ECG'), 0) AS ecg_max, greatest(max(pearson) FILTER (kind = 'EOG'), 0) AS eog_max FROM sim GROUP BY 1)
-SELECT component, round(ecg_max, 6) AS ecg_max, round(eog_max, 6) AS eog_max, CASE WHEN ecg_max > 0.6e0 AND ecg_max > eog_max THEN 'ECG' WHEN eog_max > 0.6e0 THEN 'EOG' ELSE 'Brain' END AS label,
- round(CASE WHEN ecg_max > 0.6e0 AND ecg_max > eog_max THEN ecg_max WHEN eog_max > 0.6e0 THEN eog_max ELSE greatest(ecg_max, eog_max) END, 6) AS similarity FROM b""", "topo"))
+SELECT component, round(ecg_max, 6) AS ecg_max, round(eog_max, 6) AS eog_max, CASE WHEN ecg_max > 0.4e0 AND ecg_max > eog_max THEN 'ECG' WHEN eog_max > 0.4e0 THEN 'EOG' ELSE 'Brain' END AS label,
+ round(CASE WHEN ecg_max > 0.4e0 AND ecg_max > eog_max THEN ecg_max WHEN eog_max > 0.4e0 THEN eog_max ELSE greatest(ecg_max, eog_max) END, 6) AS similarity FROM b""", "topo"))
 def _(t):
-    out = op.classify_by_template(similarity(t), ["component"], "pearson", 0.6)
+    out = op.classify_by_template(similarity(t), ["component"], "pearson", 0.4)
     return out.withColumns({c: r6(c) for c in ("ecg_max", "eog_max", "similarity")})
 
 
 VOTES = SIM + """, m AS (SELECT component, kind, u.m AS method, max(u.v) AS v FROM sim, unnest([{'m': 'pearson', 'v': pearson}, {'m': 'spearman', 'v': spearman}, {'m': 'cosine', 'v': cosine}, {'m': 'mean', 'v': "mean"}]) z(u) GROUP BY 1, 2, 3),
 b AS (SELECT component, method, greatest(max(v) FILTER (kind = 'ECG'), 0) AS e, greatest(max(v) FILTER (kind = 'EOG'), 0) AS o FROM m GROUP BY 1, 2),
-l AS (SELECT component, CASE WHEN e > 0.6e0 AND e > o THEN 'ecg' WHEN o > 0.6e0 THEN 'eog' END AS k FROM b),
+l AS (SELECT component, CASE WHEN e > 0.4e0 AND e > o THEN 'ecg' WHEN o > 0.4e0 THEN 'eog' END AS k FROM b),
 vt AS (SELECT component, count(k) AS votes, CASE WHEN count(*) FILTER (k = 'ecg') > 0 THEN 'ecg' ELSE 'eog' END AS kind FROM l GROUP BY 1 HAVING count(k) >= 2) """
 
 
 @query("vote", with_views(VOTES + "SELECT component, CAST(votes AS INTEGER) AS votes, kind FROM vt", "topo"))
 def _(t):
-    return op.vote(similarity(t), ["component"])
+    return op.vote(similarity(t), ["component"], 0.4)
 
 
 @query("build_template_library", with_views(f"SELECT 'dev' AS device_type, {KIND} AS kind, label AS template, ch AS position, round(avg(CAST(weight AS DOUBLE)), 6) AS weight FROM topo GROUP BY ALL", "topo"))
