@@ -338,11 +338,13 @@ def epoch_zscore_outliers(epochs: DataFrame, threshold: float = 3.0) -> DataFram
     return _zscored(one, ["recording_id"], ["amplitude", "deviation", "variance"], threshold)
 
 
-def channel_zscore_outliers(epochs: DataFrame, sfreq: float, line_freqs: list[float] | None = None, threshold: float = 3.0) -> DataFrame:
-    """Channels with an outlying variance, correlation with the others, kurtosis or line noise."""
-    span = epochs.groupBy().agg((F.max("k") - F.min("k") + 1).alias("_len"), F.min("k").alias("_k0"))
-    first = span.first()
-    flat = epochs.withColumn("t", F.col("epoch") * int(first["_len"] or 1) + F.col("k") - int(first["_k0"] or 0))
+def channel_zscore_outliers(epochs: DataFrame, sfreq: float, before: int, after: int, line_freqs: list[float] | None = None,
+                            threshold: float = 3.0) -> DataFrame:
+    """Channels with an outlying variance, correlation with the others, kurtosis or line noise.
+
+    `before` and `after` are the epoch bounds: they lay the epochs out on one clock.
+    """
+    flat = epochs.withColumn("t", F.col("epoch") * (before + after + 1) + F.col("k") + before)
     line = _line_power(F.col("k"), F.col("value"), sfreq, line_freqs or [50.0, 60.0])
     per_epoch = epochs.groupBy(*CHANNEL, "epoch").agg(line.alias("line"))
     base = epochs.groupBy(*CHANNEL).agg(F.var_pop("value").alias("variance"), F.kurtosis("value").alias("kurtosis"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..sources.bindings import Tables
 
-AREAS = ("signal", "scoring", "intervals", "events", "rollups", "ensembles", "components", "detectors")
+AREAS = ("signal", "scoring", "intervals", "events", "rollups", "ensembles", "components", "detectors", "catalogue", "lineage")
 
 
 class Query(NamedTuple):

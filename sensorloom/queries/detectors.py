@@ -190,7 +190,7 @@ def _(t):
 
 @query("channel_zscore_outliers")
 def _(t):
-    return op.channel_zscore_outliers(epochs(t), SFREQ, [50.0], 1.5).withColumns({"value": r6("value"), "z": r6("z")})
+    return op.channel_zscore_outliers(epochs(t), SFREQ, 4, 8, [50.0], 1.5).withColumns({"value": r6("value"), "z": r6("z")})
 
 
 @query("channel_epoch_zscore_outliers")
