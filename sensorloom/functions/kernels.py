@@ -275,20 +275,17 @@ def resample_block(keys, size, old, new, half):
     def run(pdf):
         pdf = pdf.sort_values("t")
         t, x, b = pdf["t"].to_numpy(), pdf["value"].to_numpy(float), int(pdf["_block"].iloc[0])
-        core = t[pdf["_core"].to_numpy()]
-        if len(core) == 0:
-            return pd.DataFrame({**{k: [] for k in keys}, "t": [], "value": []})
         step = old / new
         k = np.arange(math.ceil(b * size / step - 1e-9), math.ceil((b + 1) * size / step - 1e-9))
+        k = k[(k * step <= t[-1] + 1e-9) & (k * step >= t[0] - 1e-9)]
         at = k * step
-        k, at = k[at <= core[-1] + 1e-9], at[at <= core[-1] + 1e-9]
         cut = min(1.0, new / old)
         near = np.floor(at)[:, None] + np.arange(-half + 1, half + 1)[None, :]
         d = (at[:, None] - near) * cut
         w = np.sinc(d) * np.where(np.abs(d) < half * cut, np.cos(np.pi * d / (2 * half * cut)) ** 2, 0.0)
         idx = np.clip(near - t[0], 0, len(t) - 1).astype(int)
         w = w / w.sum(axis=1, keepdims=True)
-        out = pd.DataFrame({"t": k.astype("int64"), "value": (x[idx] * w).sum(axis=1)})
+        out = pd.DataFrame({"t": k.astype("int64"), "value": (x[idx] * w).sum(axis=1).astype(float)})
         for key in reversed(keys):
             out.insert(0, key, pdf[key].iloc[0])
         return out

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 
 from ..sources.bindings import Tables
 
-AREAS = ("signal", "scoring", "intervals", "events", "rollups", "ensembles", "components", "detectors", "catalogue", "lineage")
+AREAS = ("signal", "scoring", "intervals", "events", "rollups", "ensembles", "components", "detectors",
+         "catalogue", "lineage", "spatial", "statistics", "transforms", "incremental")
 
 
 class Query(NamedTuple):

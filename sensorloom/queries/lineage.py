@@ -43,11 +43,11 @@ def _(t):
     return op.assert_lineage_equal(j, [("o_custkey", "cust2"), ("hash", "hash2")]).select("o_orderkey", "o_custkey")
 
 
-CH = """, c AS (SELECT recording_id, ch_name, max(value) > 140e0 AS tb, avg(value) > 20.5e0 AS nb FROM samples GROUP BY 1, 2) """
+CH = """, c AS (SELECT recording_id, ch_name, max(value) > 220e0 AS tb, avg(value) > 41e0 AS nb FROM samples GROUP BY 1, 2) """
 
 
 def channel_sides(t):
-    c = t.samples().groupBy("recording_id", "ch_name").agg((F.max("value") > 140).alias("tb"), (F.avg("value") > 20.5).alias("nb"))
+    c = t.samples().groupBy("recording_id", "ch_name").agg((F.max("value") > 220).alias("tb"), (F.avg("value") > 41).alias("nb"))
     return (c.select("recording_id", "ch_name", F.col("tb").alias("is_bad")), c.select("recording_id", "ch_name", F.col("nb").alias("is_bad")))
 
 
