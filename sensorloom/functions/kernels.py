@@ -6,6 +6,7 @@ value, so executors need no installed copy of the package.
 """
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -58,7 +59,7 @@ def _beta_fraction(a, b, x):
             c = 1.0 + top / c
             c = np.where(np.abs(c) < tiny, tiny, c)
             h = h * d * c
-        if np.all(np.abs(d * c - 1.0) < 1e-15):
+        if np.all(np.abs(d * c - 1.0) < 1e-14):
             break
     return h
 
@@ -74,15 +75,41 @@ def student_upper(t, df):
     return 0.5 * np.where(t == 0, 1.0, np.where(swap, other, direct))
 
 
+LARGE_DF = 200
+
+
 def student_quantile(upper, df):
-    """t with P(T > t) = upper (< 0.5), by bracketing and bisection in log t."""
-    upper, df = np.atleast_1d(np.asarray(upper, float)), np.atleast_1d(np.asarray(df, float))
-    lo, hi = np.full_like(df, -12.0), np.full_like(df, 30.0)
-    for _ in range(60):
-        mid = 0.5 * (lo + hi)
-        high = student_upper(np.exp(mid), df) > upper
-        lo, hi = np.where(high, mid, lo), np.where(high, hi, mid)
-    return np.exp(0.5 * (lo + hi))
+    """t with P(T > t) = upper (< 0.5).
+
+    Small degrees of freedom: Newton steps on log tail against log t, where the tail is nearly
+    linear. Large ones: expansion around the normal quantile in powers of 1 / df.
+    """
+    p, df = np.atleast_1d(np.asarray(upper, float)), np.atleast_1d(np.asarray(df, float))
+    out = np.empty_like(df)
+    big = df >= LARGE_DF
+    if big.any():
+        inverse = NormalDist().inv_cdf
+        z, v = np.array([-inverse(q) for q in p[big]]), df[big]
+        out[big] = (z + (z**3 + z) / (4 * v) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * v**2)
+                    + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * v**3)
+                    + (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / (92160 * v**4))
+    if not big.all():
+        out[~big] = _newton_quantile(p[~big], df[~big])
+    return out
+
+
+def _newton_quantile(p, df):
+    log_c = -_log_beta(df / 2.0, np.full_like(df, 0.5)) - 0.5 * np.log(df)
+    u = np.full_like(df, math.log(2.0))
+    for _ in range(40):
+        t = np.exp(u)
+        tail = np.maximum(student_upper(t, df), 1e-300)
+        slope = -np.exp(log_c - (df + 1) / 2.0 * np.log1p(t * t / df)) * t / tail
+        step = np.clip((np.log(tail) - np.log(p)) / np.minimum(slope, -1e-12), -2.0, 2.0)
+        u = u - step
+        if np.all(np.abs(step) < 1e-13):
+            break
+    return np.exp(u)
 
 
 def esd_outliers(values, alpha, p_out, side):
@@ -179,25 +206,60 @@ def dfa_exponent(x):
     return float(np.polyfit(np.log(points[:, 0]), np.log(points[:, 1]), 1)[0])
 
 
-def dfa_group(keys):
+def dfa_segments(keys, length):
+    """DFA of every segment of a chunk; a segment includes the first sample of the next one."""
+
     def run(pdf):
-        x = np.nan_to_num(pdf.sort_values("t")["value"].to_numpy(float))
-        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "dfa": dfa_exponent(x)}])
+        pdf = pdf.sort_values("t")
+        t, x = pdf["t"].to_numpy(), np.nan_to_num(pdf["value"].to_numpy(float))
+        core = pdf["_core"].to_numpy()
+        segments = np.unique(t[core] // length)
+        lo, hi = np.searchsorted(t, segments * length), np.searchsorted(t, (segments + 1) * length, side="right")
+        out = pd.DataFrame({"segment": segments, "dfa": [dfa_exponent(x[i:j]) for i, j in zip(lo, hi)]})
+        for k in reversed(keys):
+            out.insert(0, k, pdf[k].iloc[0])
+        return out
 
     return run
 
 
-def periodogram(keys, sfreq, scale_density=True):
-    """Hann-windowed one-sided power spectrum of one bounded window."""
+def _spectra(x, t, size, nperseg, sfreq):
+    """Hann-windowed one-sided spectra of all complete half-overlapping windows that start in this block."""
+    hop = nperseg // 2
+    first = int(-(-t[0] // hop)) * hop
+    last = min(int(t[-1]) + 1 - nperseg, (int(t[0]) // size + 1) * size - hop)
+    starts = np.arange(first, last + 1, hop)
+    if not len(starts):
+        return starts, np.empty((0, nperseg // 2 + 1))
+    w = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(nperseg) / nperseg)
+    z = np.lib.stride_tricks.sliding_window_view(x, nperseg)[starts - int(t[0])]
+    p = np.abs(np.fft.rfft((z - z.mean(axis=1, keepdims=True)) * w, axis=1)) ** 2 / (sfreq * (w * w).sum())
+    p[:, 1 : (nperseg + 1) // 2] *= 2
+    return starts // hop, p
+
+
+def periodograms(keys, size, nperseg, sfreq):
+    """One row per window and frequency."""
 
     def run(pdf):
-        x = pdf.sort_values("t")["value"].to_numpy(float)
-        x = x - x.mean()
-        n = len(x)
-        w = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / n)
-        p = np.abs(np.fft.rfft(x * w)) ** 2 / ((sfreq if scale_density else 1.0) * max((w * w).sum(), 1e-300))
-        p[1 : (n + 1) // 2] *= 2
-        out = pd.DataFrame({"freq": np.arange(len(p)) * sfreq / n, "power": p})
+        pdf = pdf.sort_values("t")
+        wins, p = _spectra(pdf["value"].to_numpy(float), pdf["t"].to_numpy(), size, nperseg, sfreq)
+        bins = p.shape[1]
+        out = pd.DataFrame({"win": np.repeat(wins, bins), "freq": np.tile(np.arange(bins) * sfreq / nperseg, len(wins)), "power": p.ravel()})
+        for k in reversed(keys):
+            out.insert(0, k, pdf[k].iloc[0])
+        return out
+
+    return run
+
+
+def welch_sums(keys, size, nperseg, sfreq):
+    """Sum of the window spectra of a block, and their number: averaged natively over blocks."""
+
+    def run(pdf):
+        pdf = pdf.sort_values("t")
+        wins, p = _spectra(pdf["value"].to_numpy(float), pdf["t"].to_numpy(), size, nperseg, sfreq)
+        out = pd.DataFrame({"freq": np.arange(p.shape[1]) * sfreq / nperseg, "total": p.sum(axis=0), "n": len(wins)})
         for k in reversed(keys):
             out.insert(0, k, pdf[k].iloc[0])
         return out
@@ -306,52 +368,59 @@ def matlab_quantile(x, q):
     return s[lo] + (s[min(lo + 1, n - 1)] - s[lo]) * (pos - lo)
 
 
-def window_correlation(keys, q=0.98):
-    """Per window and channel: a high quantile of |correlation| with the other channels."""
+def _window_scores(x, q):
+    med = np.nanmedian(x, axis=1, keepdims=True)
+    live = np.nanmedian(np.abs(x - med), axis=1) > 0
+    score = np.zeros(len(x))
+    if live.sum() > 1:
+        with np.errstate(all="ignore"):
+            corr = np.corrcoef(x[live])
+        np.fill_diagonal(corr, 0.0)
+        score[live] = matlab_quantile(np.abs(corr), q)
+    return score, ~live
+
+
+def window_correlation(key, length, q=0.98):
+    """Per window and channel of a chunk: a high quantile of |correlation| with the other channels, and dropout."""
 
     def run(pdf):
-        names, _, x = matrix(pdf.rename(columns={"ch_name": "c", "value": "v"}))
-        med = np.nanmedian(x, axis=1, keepdims=True)
-        mad = np.nanmedian(np.abs(x - med), axis=1)
-        score = np.ones(len(names))
-        live = mad > 0
-        if live.sum() > 1:
-            with np.errstate(all="ignore"):
-                corr = np.corrcoef(x[live])
-            np.fill_diagonal(corr, 0.0)
-            score[live] = matlab_quantile(np.abs(corr), q)
-        elif live.any():
-            score[live] = 0.0
-        score[~live] = 0.0
-        out = pd.DataFrame({"ch_name": names, "max_corr": score, "dropout": ~live})
-        for k in reversed(keys):
-            out.insert(0, k, pdf[k].iloc[0])
-        return out
+        names, times, x = matrix(pdf.rename(columns={"ch_name": "c", "value": "v"}))
+        parts = []
+        for win in np.unique(times // length):
+            score, flat = _window_scores(x[:, times // length == win], q)
+            parts.append(pd.DataFrame({key: pdf[key].iloc[0], "win": win, "ch_name": names, "max_corr": score, "dropout": flat}))
+        return pd.concat(parts)
 
     return run
 
 
-def ransac_window(keys, weights):
-    """Correlation of each channel with the median of its predictions from channel subsets.
+def ransac_windows(key, length, weights):
+    """Correlation of each channel with the median of its predictions from channel subsets, per window of a chunk.
 
     `weights`: {channel: [{predictor: weight}, ...]}, one entry per random subset.
     """
 
     def run(pdf):
-        names, _, x = matrix(pdf.rename(columns={"ch_name": "c", "value": "v"}))
+        names, times, x = matrix(pdf.rename(columns={"ch_name": "c", "value": "v"}))
         x = np.nan_to_num(x)
         at = {n: i for i, n in enumerate(names)}
+        wins = times // length
         rows = []
         for name in names:
-            preds = [sum(w * x[at[p]] for p, w in subset.items() if p in at) for subset in weights.get(name, [])]
-            if not preds:
+            mix = np.zeros((len(weights.get(name, [])), len(names)))
+            for r, subset in enumerate(weights.get(name, [])):
+                for other, w in subset.items():
+                    if other in at:
+                        mix[r, at[other]] = w
+            if not len(mix):
                 continue
-            guess = np.median(np.stack(preds), axis=0)
-            own, guess = x[at[name]] - x[at[name]].mean(), guess - guess.mean()
-            den = math.sqrt(float(own @ own)) * math.sqrt(float(guess @ guess))
-            rows.append({**{k: pdf[k].iloc[0] for k in keys}, "ch_name": name,
-                         "corr": float(own @ guess) / den if den > 0 else 0.0})
-        return pd.DataFrame(rows, columns=[*keys, "ch_name", "corr"])
+            guess = np.median(mix @ x, axis=0)
+            for win in np.unique(wins):
+                own, est = x[at[name], wins == win], guess[wins == win]
+                own, est = own - own.mean(), est - est.mean()
+                den = math.sqrt(float(own @ own)) * math.sqrt(float(est @ est))
+                rows.append({key: pdf[key].iloc[0], "win": win, "ch_name": name, "corr": float(own @ est) / den if den > 0 else 0.0})
+        return pd.DataFrame(rows, columns=[key, "win", "ch_name", "corr"])
 
     return run
 
@@ -415,18 +484,6 @@ def first_component(keys):
     return run
 
 
-def solve_normal_equations(xtx, xty, n, yty):
-    """Batched least squares from normal equations: coefficients and their t statistics."""
-    p = xty.shape[1]
-    inv = np.linalg.pinv(xtx)
-    beta = np.einsum("nij,nj->ni", inv, xty)
-    rss = np.maximum(yty - np.einsum("ni,ni->n", beta, xty), 0.0)
-    dof = np.maximum(n - p, 1)
-    se = np.sqrt(np.einsum("nii->ni", inv) * (rss / dof)[:, None])
-    with np.errstate(all="ignore"):
-        return beta, np.where(se > 0, beta / se, 0.0)
-
-
 # -------------------------------------------------------------- topographies
 
 def topography_forms(vectors: pd.Series) -> pd.DataFrame:

@@ -15,6 +15,7 @@ from ..plans.blocks import BLOCK, neighbours, rolling, with_blocks
 from ..plans.gram import correlation, pair_sums
 from ..plans.intervals import islands, merge_overlaps
 from ..plans.quantiles import exact_quantiles, median_and_mad
+from ..session import cut_lineage
 
 CHANNEL = ["recording_id", "ch_name"]
 
@@ -52,10 +53,14 @@ def bad_by_hfnoise(samples: DataFrame, sfreq: float, threshold: float = 5.0, cut
     if sfreq <= 100:
         return samples.select(*CHANNEL).distinct().select(*CHANNEL, F.lit(None).cast("double").alias("noisiness"),
                                                           F.lit(0e0).alias("z"), F.lit(False).alias("is_bad"))
-    low = filtered(samples, kernels.lowpass_taps(cutoff, sfreq, taps), "low", size).withColumn("rest", F.col("value") - F.col("low"))
-    a = median_and_mad(low, CHANNEL, "rest", "_c1", "_rest")
-    b = median_and_mad(low, CHANNEL, "low", "_c2", "_low")
-    noise = a.join(b, CHANNEL).select(*CHANNEL, F.when(F.col("_low") > 0, F.col("_rest") / F.col("_low")).alias("noisiness"))
+    low = filtered(samples, kernels.lowpass_taps(cutoff, sfreq, taps), "low", size)
+    # four passes of the exact medians read the filtered signal: filter once
+    low = cut_lineage(low.select(*CHANNEL, F.inline(F.array(
+        F.struct(F.lit("low").alias("part"), F.col("low").alias("v")),
+        F.struct(F.lit("rest").alias("part"), (F.col("value") - F.col("low")).alias("v"))))))
+    spread = median_and_mad(low, [*CHANNEL, "part"], "v").groupBy(*CHANNEL).agg(
+        F.max(F.when(F.col("part") == "low", F.col("mad"))).alias("_low"), F.max(F.when(F.col("part") == "rest", F.col("mad"))).alias("_rest"))
+    noise = spread.select(*CHANNEL, F.when(F.col("_low") > 0, F.col("_rest") / F.col("_low")).alias("noisiness"))
     w = Window.partitionBy("recording_id")
     med = noise.withColumn("_m", F.percentile("noisiness", F.lit(0.5)).over(w))
     sd = med.withColumn("_sd", F.percentile(F.abs(F.col("noisiness") - F.col("_m")), F.lit(0.5)).over(w) * MAD_TO_SD)
@@ -82,11 +87,19 @@ def windowed(samples: DataFrame, win: int) -> DataFrame:
         F.col("win") < count).select(*CHANNEL, "win", "t", "value")
 
 
-def window_consistency(samples: DataFrame, win: int) -> DataFrame:
+def _chunks(samples: DataFrame, win: int, size: int) -> DataFrame:
+    """Group several windows per task call; the group stays at about `size` samples of each channel."""
+    return windowed(samples, win).withColumn("_chunk", F.floor(F.col("win") / max(1, size // win)).cast("bigint"))
+
+
+CHUNK = 1 << 13
+
+
+def window_consistency(samples: DataFrame, win: int, size: int = CHUNK) -> DataFrame:
     """Per window and channel: high quantile of |correlation| with the others, and dropout."""
-    keys = ["recording_id", "win"]
     schema = _schema(samples, ["recording_id"], "win bigint, ch_name string, max_corr double, dropout boolean")
-    return windowed(samples, win).groupBy(*keys).applyInPandas(kernels.window_correlation(keys), schema)
+    return _chunks(samples, win, size).groupBy("recording_id", "_chunk").applyInPandas(
+        kernels.window_correlation("recording_id", win), schema)
 
 
 def bad_by_correlation(consistency: DataFrame, threshold: float = 0.4, fraction: float = 0.01) -> DataFrame:
@@ -120,26 +133,29 @@ def bad_by_ransac(samples: DataFrame, weights: DataFrame, win: int, corr_thresho
     for r in rows:
         table.setdefault(r["ch_name"], {}).setdefault(r["subset"], {})[r["predictor"]] = r["weight"]
     table = {ch: [subsets[k] for k in sorted(subsets)] for ch, subsets in table.items()}
-    keys = ["recording_id", "win"]
     schema = _schema(samples, ["recording_id"], "win bigint, ch_name string, corr double")
-    per = windowed(samples, win).groupBy(*keys).applyInPandas(kernels.ransac_window(keys, table), schema)
+    per = _chunks(samples, win, CHUNK).groupBy("recording_id", "_chunk").applyInPandas(
+        kernels.ransac_windows("recording_id", win, table), schema)
     share = F.avg((F.col("corr") < corr_threshold).cast("double"))
     return per.groupBy(*CHANNEL).agg(share.alias("bad_fraction"), F.avg("corr").alias("mean_corr")).withColumn(
         "is_bad", F.col("bad_fraction") > fraction)
 
 
-def welch_psd(samples: DataFrame, sfreq: float, nperseg: int, keys: list[str] | None = None) -> DataFrame:
-    """Power spectrum averaged over half-overlapping windows of `nperseg` samples."""
-    keys = keys or CHANNEL
+def spectrum_blocks(samples: DataFrame, nperseg: int, keys: list[str], size: int = BLOCK) -> tuple[DataFrame, int]:
+    """Blocks of whole hops with the samples that windows starting in the block still need."""
     hop = nperseg // 2
-    blocked = with_blocks(samples.select(*keys, "t", "value"), size=hop, after=hop).drop("_core").where("_block >= 0")
-    per = blocked.groupBy(*keys, "_block").applyInPandas(
-        kernels.periodogram([*keys, "_block"], sfreq), _schema(samples, keys, "_block bigint, freq double, power double"))
-    # incomplete windows at the end have another frequency grid and are left out
-    grid = F.abs(F.col("freq") * nperseg / sfreq - F.round(F.col("freq") * nperseg / sfreq)) < 1e-9
-    full = per.withColumn("_bins", F.count("*").over(Window.partitionBy(*keys, "_block"))).where(
-        grid & (F.col("_bins") == nperseg // 2 + 1))
-    return full.groupBy(*keys, F.round(F.col("freq"), 9).alias("freq")).agg(F.avg("power").alias("power"))
+    length = max(2, size // hop) * hop
+    blocked = with_blocks(samples.select(*keys, "t", F.col("value").cast("double").alias("value")), size=length, after=hop)
+    return blocked.drop("_core").where("_block >= 0"), length
+
+
+def welch_psd(samples: DataFrame, sfreq: float, nperseg: int, keys: list[str] | None = None, size: int = BLOCK) -> DataFrame:
+    """Power spectrum averaged over half-overlapping windows of `nperseg` (even) samples; summed per block first."""
+    keys = keys or CHANNEL
+    blocked, length = spectrum_blocks(samples, nperseg, keys, size)
+    sums = blocked.groupBy(*keys, "_block").applyInPandas(
+        kernels.welch_sums(keys, length, nperseg, sfreq), _schema(samples, keys, "freq double, total double, n bigint"))
+    return sums.groupBy(*keys, "freq").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("power")).where("power is not null")
 
 
 def bad_by_psd(psd: DataFrame, multiplier: float = 6.0) -> DataFrame:

@@ -89,13 +89,16 @@ def segment_bounds(recordings: DataFrame, seconds: float) -> DataFrame:
                       F.when(whole, F.col("n_times")).otherwise(stop).cast("bigint").alias("stop")).where("stop > start")
 
 
-def segmented_dfa(samples: DataFrame, segment_samples: int) -> DataFrame:
-    """DFA exponent per segment and channel, averaged over segments, then over channels."""
-    blocked = with_blocks(samples.select(*CHANNEL, "t", "value"), size=segment_samples, after=1).where("_block >= 0")
+def segmented_dfa(samples: DataFrame, segment_samples: int, size: int = BLOCK) -> DataFrame:
+    """DFA exponent per segment and channel, averaged over segments, then over channels.
+
+    A task works on a chunk of whole segments; each segment includes its right end point.
+    """
+    chunk = max(1, size // segment_samples) * segment_samples
+    blocked = with_blocks(samples.select(*CHANNEL, "t", "value"), size=chunk, after=1).where("_block >= 0")
     types = dict(samples.dtypes)
-    keys = [*CHANNEL, "_block"]
-    schema = ", ".join(f"{c} {types[c]}" for c in CHANNEL) + ", _block bigint, dfa double"
-    per_segment = blocked.drop("_core").groupBy(*keys).applyInPandas(kernels.dfa_group(keys), schema)
+    schema = ", ".join(f"{c} {types[c]}" for c in CHANNEL) + ", segment bigint, dfa double"
+    per_segment = blocked.groupBy(*CHANNEL, "_block").applyInPandas(kernels.dfa_segments(CHANNEL, segment_samples), schema)
     per_channel = per_segment.groupBy(*CHANNEL).agg(F.avg(finite("dfa")).alias("dfa"))
     return per_channel.groupBy("recording_id", "ch_type").agg(F.avg("dfa").alias("dfa"))
 

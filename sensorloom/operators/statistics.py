@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..plans.blocks import BLOCK, neighbours, with_blocks
+from ..plans.blocks import BLOCK, neighbours
 from ..plans.gram import covariance, pair_sums
 from ..plans.scans import dense_index
+from .detectors import spectrum_blocks
 
 CHANNEL = ["recording_id", "ch_name"]
 
@@ -179,14 +180,10 @@ def glm_spectrum(samples: DataFrame, covariates: DataFrame, sfreq: float, nperse
 
     `covariates(recording_id, win, <regressors>)`; the design is a constant followed by the regressors.
     """
-    hop = nperseg // 2
-    keys = [*CHANNEL, "_block"]
     types = dict(samples.dtypes)
-    blocked = with_blocks(samples.select(*CHANNEL, "t", "value"), size=hop, after=hop).drop("_core").where("_block >= 0")
-    schema = ", ".join(f"{c} {types[c]}" for c in CHANNEL) + ", _block bigint, freq double, power double"
-    per = blocked.groupBy(*keys).applyInPandas(kernels.periodogram(keys, sfreq), schema)
-    bins = per.groupBy(*keys).agg(F.count("*").alias("_bins")).where(F.col("_bins") == nperseg // 2 + 1)
-    windows = per.join(bins, keys).withColumnRenamed("_block", "win").withColumn("freq", F.round("freq", 9))
+    blocked, length = spectrum_blocks(samples, nperseg, CHANNEL)
+    schema = ", ".join(f"{c} {types[c]}" for c in CHANNEL) + ", win bigint, freq double, power double"
+    windows = blocked.groupBy(*CHANNEL, "_block").applyInPandas(kernels.periodograms(CHANNEL, length, nperseg, sfreq), schema)
     return linear_model(windows.join(covariates, ["recording_id", "win"]), [*CHANNEL, "freq"], "power",
                         [F.lit(1e0), *[F.col(r) for r in regressors]], contrasts)
 
