@@ -155,8 +155,8 @@ def explained_variance_outliers(components: DataFrame, threshold: float = 0.1) -
 def low_high_band_ratio(psd: DataFrame, keys: list[str], low: float, high: float, threshold: float = 0.5) -> DataFrame:
     """Share of power below `low` and above `high`; flagged when the low share is large."""
     total = F.sum("power")
-    low_r = F.sum(F.when(F.col("freq") < low, F.col("power"))) / total
-    high_r = F.sum(F.when(F.col("freq") > high, F.col("power"))) / total
+    low_r = F.try_divide(F.sum(F.when(F.col("freq") < low, F.col("power"))), total)
+    high_r = F.try_divide(F.sum(F.when(F.col("freq") > high, F.col("power"))), total)
     return psd.groupBy(*keys).agg(F.coalesce(low_r, F.lit(0e0)).alias("low_ratio"), F.coalesce(high_r, F.lit(0e0)).alias("high_ratio")
                                   ).withColumn("is_low_freq", F.col("low_ratio") >= threshold)
 
@@ -218,9 +218,9 @@ def eog_region_rule(energies: DataFrame, low_freq: DataFrame, keys: list[str]) -
 
 def heart_rate(peaks: DataFrame, keys: list[str], sfreq: float, decimals: int = 2) -> DataFrame:
     """Beats per minute from the mean peak distance (which telescopes); 0 with fewer than two peaks."""
-    span = (F.max("sample") - F.min("sample")) / F.lit(float(sfreq)) / (F.count("*") - 1)
+    span = F.try_divide((F.max("sample") - F.min("sample")) / F.lit(float(sfreq)), F.count("*") - 1)
     return peaks.groupBy(*keys).agg(
-        F.count("*").alias("n_peaks"), F.round(F.when((F.count("*") > 1) & (span > 0), 60 / span).otherwise(0e0), decimals).alias("bpm"))
+        F.count("*").alias("n_peaks"), F.round(F.coalesce(F.try_divide(F.lit(60e0), span), F.lit(0e0)), decimals).alias("bpm"))
 
 
 def outlier_removal(values: DataFrame, keys: list[str], value: str, method: str = "iqr", z: float = 1.0) -> DataFrame:

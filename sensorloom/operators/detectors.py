@@ -209,7 +209,12 @@ def merge_detectors(detections: list[tuple[str, DataFrame]], bads: DataFrame) ->
 # ------------------------------------------------------- extreme studentized deviate
 
 def gesd(values: DataFrame, keys: list[str], item: str, value: str, alpha: float = 0.05, p_out: float = 0.1, side: int = 0) -> DataFrame:
-    """Outlier marks over one value per item and group."""
+    """Outlier marks over one value per item and group.
+
+    The samples are already aggregated: a group holds one number per channel, segment or epoch
+    (a recording of 10^10 time points in 1000-sample segments is 10^7 numbers), and the test
+    is O(n log n) in that count.
+    """
     types = dict(values.dtypes)
     schema = _schema(values, [*keys, item], f"{value} {types[value]}, is_outlier boolean")
     return values.select(*keys, item, value).groupBy(*keys).applyInPandas(

@@ -289,7 +289,7 @@ def corpus_summary(datasets: DataFrame) -> DataFrame:
         F.grouping("dataset").alias("_all"), F.count("*").alias("dataset_count"), F.sum(total).alias("total_subjects"),
         *[F.sum(c).alias(c) for c in ("pass_count", "warn_count", "fail_count", "alarm_count", "scored_count", "warning_count")],
         F.sum(F.greatest(total - F.col("scored_count"), F.lit(0))).alias("missing_count"),
-        (F.sum("score_sum") / F.sum("scored_count")).alias("avg_score"),
+        F.try_divide(F.sum("score_sum"), F.sum("scored_count")).alias("avg_score"),
         *[F.sum("done_" + s).alias("done_" + s) for s in STEPS],
         *[F.sum(F.when(F.col("expected_" + s), total).otherwise(0)).alias("expected_" + s) for s in STEPS])
     status = F.when(F.col("fail_count") > 0, "FAIL").when(F.col("warn_count") > 0, "WARN").otherwise("PASS")
@@ -380,7 +380,7 @@ def pick_evenly_spaced(items: DataFrame, keys: list[str], order: str, bucket: Co
     if k <= 1:
         return indexed.where((F.col("_i") == 0) | (F.col("_n") <= k)).drop("_i", "_n")
     # the only slots that can round to position i are those next to i * (k - 1) / (n - 1)
-    near = F.floor(F.col("_i") * F.lit(k - 1) / (F.col("_n") - 1))
+    near = F.floor(F.try_divide(F.col("_i") * F.lit(k - 1), F.col("_n") - 1))
     hit = F.lit(False)
     for j in (-1, 0, 1, 2):
         s = near + j

@@ -89,9 +89,9 @@ def lookup_reference(components: DataFrame, reference: DataFrame, scope: str = "
 def component_score() -> Column:
     """0..1 score of `value` against q05/q50/q95 by `mode`; NULL without a usable interval."""
     x, q05, q50, q95, mode = (F.col(c) for c in ("value", "q05", "q50", "q95", "mode"))
-    z = clip01((x - q05) / (q95 - q05))
-    low = F.when(q50 > q05, (q50 - x) / (q50 - q05))
-    high = F.when(q95 > q50, (x - q50) / (q95 - q50))
+    z = clip01(F.try_divide(x - q05, q95 - q05))
+    low = F.when(q50 > q05, F.try_divide(q50 - x, q50 - q05))
+    high = F.when(q95 > q50, F.try_divide(x - q50, q95 - q50))
     near = F.when(x <= q50, low).otherwise(high)
     score = F.when(mode == "lower_is_better", 1 - z).when(mode == "higher_is_better", z).otherwise(
         F.when(near.isNotNull(), 1 - clip01(near)))

@@ -31,6 +31,14 @@ def channel_max_abs_diff(samples: DataFrame, size: int = BLOCK) -> DataFrame:
     return d.groupBy(*CHANNEL).agg(F.max(finite(F.abs(F.col("value") - F.col("prev")))).alias("max_abs_diff"))
 
 
+def channel_metrics(samples: DataFrame, size: int = BLOCK) -> DataFrame:
+    """`max_abs_diff` and `ptp` of each channel in a single pass."""
+    d = neighbours(samples.select(*CHANNEL, "t", "value"), CHANNEL, {"prev": ("value", -1)}, size=size)
+    v = finite("value")
+    return d.groupBy(*CHANNEL).agg(F.max(finite(F.abs(F.col("value") - F.col("prev")))).alias("max_abs_diff"),
+                                   (F.max(v) - F.min(v)).alias("ptp"))
+
+
 def channel_ptp(samples: DataFrame) -> DataFrame:
     v = finite("value")
     return samples.groupBy(*CHANNEL).agg((F.max(v) - F.min(v)).alias("ptp"))
@@ -57,7 +65,7 @@ def uniform_subsample(samples: DataFrame, n: int) -> DataFrame:
     """Keep samples at the truncated positions of `n` evenly spaced points; all if fewer."""
     counted = samples.join(sample_counts(samples), CHANNEL)
     step = (F.col("n_times") - 1) / F.lit(n - 1)
-    k = F.floor(F.col("t") / step)
+    k = F.floor(F.try_divide(F.col("t"), step))
     hit = F.lit(False)
     for j in (0, 1, 2):
         c = k + j
@@ -79,7 +87,8 @@ def segment_bounds(recordings: DataFrame, seconds: float) -> DataFrame:
     """(recording, segment, start, stop): the last partial segment is kept; neighbours share a sample."""
     duration = F.col("n_times") / F.col("sfreq")
     whole = (F.lit(seconds) <= 0) | (F.lit(seconds) >= duration)
-    many = F.sequence(F.lit(0), (F.ceil(duration / F.lit(float(seconds))) - 1).cast("int"))
+    length = F.lit(float(seconds)) if seconds > 0 else duration
+    many = F.sequence(F.lit(0), (F.ceil(duration / length) - 1).cast("int"))
     seg = recordings.where("n_times > 0").withColumn(
         "segment", F.explode(F.when(whole, F.array(F.lit(0))).otherwise(many)))
     start = half_even(F.col("segment") * F.lit(float(seconds)) * F.col("sfreq"))

@@ -84,6 +84,12 @@ def nearest(points: DataFrame, targets: DataFrame, keys: list[str], k: int, excl
         volume *= max(s, extent * 1e-3)
     width = max((volume * 2 * (k + 1) / box["n"]) ** (1 / 3), extent * 1e-6)
     cells = [*keys, *["_c" + a for a in AXES]]
+    # start where even the densest cell is small, so that clusters settle before cells grow
+    while width > extent * 1e-6:
+        fullest = _celled(q, F.lit(width), False).groupBy(*cells).agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+        if fullest <= 32 * (k + 1):
+            break
+        width /= 2
     open_points, settled = p, []
     while True:
         final = width > extent

@@ -207,7 +207,7 @@ def max_stat_permutation(first_level: DataFrame, cell: list[str], n_perms: int,
     g = x.withColumn("_y", y).groupBy(*cell, "perm").agg(
         F.sum("_y").alias("_sum"), F.sum(F.col("_y") * F.col("_y")).alias("_sq"), F.count("*").alias("_n"))
     mean = F.col("_sum") / F.col("_n")
-    var = (F.col("_sq") - F.col("_n") * mean * mean) / (F.col("_n") - 1)
+    var = F.try_divide(F.col("_sq") - F.col("_n") * mean * mean, F.col("_n") - 1)
     t = F.when((F.col("_n") > 1) & (var > 0), mean / F.sqrt(var / F.col("_n"))).otherwise(0e0)
     return g.withColumn("_t", F.abs(t)).groupBy("perm").agg(F.max("_t").alias("max_stat"))
 

@@ -29,7 +29,7 @@ def pair_sums(df: DataFrame, key: str, channel: str = "ch_name", t: str = "t", v
 
 
 def covariance(sums: DataFrame, ddof: int = 1) -> DataFrame:
-    return sums.withColumn("cov", (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - ddof))
+    return sums.withColumn("cov", F.try_divide(F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n"), F.col("n") - ddof))
 
 
 def correlation(sums: DataFrame) -> DataFrame:

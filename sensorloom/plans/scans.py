@@ -2,7 +2,8 @@
 
 Running totals over a long ordered group: a window per (key, bucket), plus a carry from the
 earlier buckets. Only the bucket summary (one row per bucket) is ever ordered per key. The
-explicit repartition lets the summary, the window and the join share one exchange.
+summary is a map-side combined aggregate, so the rows themselves are shuffled once, for the
+window; the carry joins on the same (key, bucket) partitioning.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def prefix_scan(
 
     `bucket` must be non-decreasing in `order`.
     """
-    parted = df.withColumn("_bucket", bucket).repartition(*keys, "_bucket")
+    parted = df.withColumn("_bucket", bucket)
     local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     frame = local.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])

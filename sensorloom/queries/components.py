@@ -10,21 +10,25 @@ from . import query
 
 KIND = "CASE WHEN label < 5 THEN 'ECG' ELSE 'EOG' END"
 SIM = f""", tm AS (SELECT label AS template, {KIND} AS kind, ch, avg(CAST(weight AS DOUBLE)) AS tw FROM topo GROUP BY 1, 2, 3),
-c AS (SELECT component, ch, CAST(weight AS DOUBLE) AS w, rank() OVER p + (count(*) OVER (PARTITION BY component, weight) - 1) / 2e0 AS rk,
+c AS (SELECT component, label % 2 AS dev, ch, CAST(weight AS DOUBLE) AS w, rank() OVER p + (count(*) OVER (PARTITION BY component, weight) - 1) / 2e0 AS rk,
   (weight::DOUBLE - min(weight::DOUBLE) OVER q) / (max(weight::DOUBLE) OVER q - min(weight::DOUBLE) OVER q + 1e-10) AS sw
   FROM topo WINDOW p AS (PARTITION BY component ORDER BY weight), q AS (PARTITION BY component)),
 t2 AS (SELECT template, kind, ch, tw, rank() OVER (PARTITION BY template ORDER BY tw) + (count(*) OVER (PARTITION BY template, tw) - 1) / 2e0 AS trk,
   (tw - min(tw) OVER (PARTITION BY template)) / (max(tw) OVER (PARTITION BY template) - min(tw) OVER (PARTITION BY template) + 1e-10) AS stw FROM tm),
 s0 AS (SELECT component, template, kind, abs(corr(w, tw)) AS pearson, abs(corr(rk, trk)) AS spearman,
   sum(w * tw) / (sqrt(sum(w * w)) * sqrt(sum(tw * tw))) AS cosine, 1 - sqrt(sum((sw - stw) * (sw - stw))) / 8e0 AS euclidean
-  FROM c JOIN t2 USING (ch) GROUP BY 1, 2, 3),
+  FROM c JOIN t2 ON c.ch = t2.ch AND c.dev = t2.template % 2 GROUP BY 1, 2, 3),
 sim AS (SELECT *, (pearson + spearman + cosine + euclidean) / 4 AS "mean" FROM s0) """
 SIMS = ("pearson", "spearman", "cosine", "euclidean", "mean")
 
 
+def device():
+    return F.concat(F.lit("dev"), F.col("label") % 2).alias("device_type")
+
+
 def labelled(t):
     return t.topo().select(
-        F.lit("dev").alias("device_type"), F.when(F.col("label") < 5, "ECG").otherwise("EOG").alias("kind"),
+        device(), F.when(F.col("label") < 5, "ECG").otherwise("EOG").alias("kind"),
         F.col("label").alias("template"), F.col("ch").alias("position"), F.col("weight").cast("double").alias("weight"))
 
 
@@ -33,7 +37,7 @@ def library(t):
 
 
 def similarity(t):
-    comps = t.table("embeddings").select(F.col("vec_id").alias("component"), F.lit("dev").alias("device_type"),
+    comps = t.table("embeddings").select(F.col("vec_id").alias("component"), device(),
                                          F.col("embedding").cast("array<double>").alias("topo"))
     return op.topo_similarity(comps, library(t))
 
@@ -71,7 +75,7 @@ def _(t):
     return op.vote(similarity(t), ["component"], 0.4)
 
 
-@query("build_template_library", with_views(f"SELECT 'dev' AS device_type, {KIND} AS kind, label AS template, ch AS position, round(avg(CAST(weight AS DOUBLE)), 6) AS weight FROM topo GROUP BY ALL", "topo"))
+@query("build_template_library", with_views(f"SELECT 'dev' || (label % 2) AS device_type, {KIND} AS kind, label AS template, ch AS position, round(avg(CAST(weight AS DOUBLE)), 6) AS weight FROM topo GROUP BY ALL", "topo"))
 def _(t):
     return library(t).select("device_type", "kind", "template", F.posexplode("topo").alias("position", "weight")).select(
         "device_type", "kind", "template", F.col("position").cast("bigint").alias("position"), r6("weight").alias("weight"))

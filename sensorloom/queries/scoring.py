@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import r6
 from ..operators import scoring as op
 from ..operators import signal
+from ..session import cut_lineage
 from ..sources.bindings import with_views
 from . import query
 
@@ -91,15 +92,12 @@ FAMILIES = [f for f in op.DEFAULT_FAMILIES if f[1].startswith(("max_abs_diff", "
 
 
 def sample_metrics(t):
-    s = t.samples()
+    """Metric rows of all recordings. The samples are read once; the small result is kept for the later steps."""
+    channels = signal.channel_metrics(t.samples())
     keys = ["recording_id", "ch_type"]
-    diff = op_summary(signal.channel_max_abs_diff(s), keys, "max_abs_diff", "max_abs_diff")
-    return diff.unionByName(op_summary(signal.channel_ptp(s), keys, "ptp", "ptp_amp")).select(
-        "recording_id", device(), category(), "metric", "value")
-
-
-def op_summary(values, keys, column, prefix):
-    return signal.summarize_vector(values, keys, column, prefix)
+    diff = signal.summarize_vector(channels, keys, "max_abs_diff", "max_abs_diff")
+    return cut_lineage(diff.unionByName(signal.summarize_vector(channels, keys, "ptp", "ptp_amp")).select(
+        "recording_id", device(), category(), "metric", "value"))
 
 
 def device():
@@ -114,7 +112,7 @@ def scored_components(t):
     metrics = sample_metrics(t)
     profile = op.family_rows(FAMILIES)
     wanted = metrics.where(F.exists(F.transform(profile, lambda f: f["metric"]), lambda m: m == F.col("metric")))
-    recordings = t.samples().select("recording_id").distinct().select("recording_id", device(), category())
+    recordings = metrics.select("recording_id", "device_type", "category").distinct()
     return op.component_scores(metrics, recordings, profile, op.build_reference_intervals(wanted))
 
 
