@@ -33,6 +33,20 @@ def with_blocks(df: DataFrame, t: str = "t", size: int = BLOCK, before: int = 0,
     )
 
 
+def pack_blocks(df: DataFrame, keys: list[str], t: str = "t", value: str = "value", size: int = BLOCK) -> DataFrame:
+    """Compact form: one row per key and block with its first clock value and the ordered values."""
+    block = F.floor(F.col(t) / F.lit(size)).cast("bigint")
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(t).alias("t"), F.col(value).alias("v"))))  # at most `size` entries
+    packed = df.groupBy(*keys, block.alias("block")).agg(pairs.alias("_p"))
+    return packed.select(*keys, "block", F.col("_p")[0]["t"].alias("start"), F.transform("_p", lambda p: p["v"]).alias("values"))
+
+
+def unpack_blocks(blocks: DataFrame, keys: list[str], t: str = "t", value: str = "value") -> DataFrame:
+    """Long form of dense blocks; needs no shuffle."""
+    rows = blocks.select(*keys, "start", F.posexplode("values").alias("_i", value))
+    return rows.select(*keys, (F.col("start") + F.col("_i")).alias(t), value)
+
+
 def neighbours(
     df: DataFrame,
     keys: list[str],

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from ..sources.bindings import Tables
 
 AREAS = ("signal", "scoring", "intervals", "events", "rollups", "ensembles", "components", "detectors",
-         "catalogue", "lineage", "spatial", "statistics", "transforms", "incremental")
+         "catalogue", "lineage", "spatial", "statistics", "transforms", "incremental", "storage")
 
 
 class Query(NamedTuple):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import r6
+from ..functions.expr import r6, r6_off_ties
 from ..operators import events as op
 from ..operators import intervals
 from ..sources.bindings import with_views
@@ -227,11 +227,11 @@ def _(t):
 
 
 @query("evoked", with_views(EP + """
-SELECT recording_id, event_id, ch_name, k, round(avg(value), 6) + 0e0 AS value, count(*) AS n_epochs FROM bl
+SELECT recording_id, event_id, ch_name, k, round(avg(value) + 1e-9, 6) AS value, count(*) AS n_epochs FROM bl
 WHERE EXISTS (SELECT 1 FROM lg WHERE lg.recording_id = bl.recording_id AND lg.epoch = bl.epoch AND NOT rejected) GROUP BY 1, 2, 3, 4""", "triggers", "samples"))
 def _(t):
     e = corrected(t)
-    return op.evoked(e, op.reject_ptp(e, LIMITS)).withColumn("value", r6("value"))
+    return op.evoked(e, op.reject_ptp(e, LIMITS)).withColumn("value", r6_off_ties("value"))
 
 
 @query("epoch_reject_histogram", with_views(EP + """,

@@ -1,25 +1,14 @@
 """Incremental metrics: the events file as the first state of a growing folder."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..functions.expr import r6
 from ..operators.lineage import content_hash
+from ..session import scratch_folder
 from ..streaming.incremental import incremental_metrics, latest
 from . import query
 
 
-def scratch(spark) -> str:
-    """A fresh folder in the cluster's shared scratch space; local only where none is named, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="sensorloom-")
-    import uuid
-
-    return f"{shared.rstrip('/')}/sensorloom-{uuid.uuid4().hex}"
-
-
 def derive(events):
     return events.select((F.col("user_id") % 20).alias("recording_id"), F.col("event_type").alias("ch_name"), "event_id", "value")
 
@@ -33,7 +22,7 @@ def metrics(samples):
 @query("incremental_metrics", """
 SELECT user_id % 20 AS recording_id, count(*) AS n_samples, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(max(value) - min(value), 6) AS ptp FROM events GROUP BY 1""")
 def _(t):
-    spark, base = t.spark, scratch(t.spark)
+    spark, base = t.spark, scratch_folder(t.spark)
     events = t.table("events")
     run = incremental_metrics(spark, t.dir, events.schema, base + "/store", base + "/checkpoint", derive, metrics,
                               pathGlobFilter="events.parquet")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import r6
+from ..functions.expr import r6, r6_off_ties
 from ..operators import signal as op
 from ..sources.bindings import with_views
 from . import query
@@ -153,11 +153,11 @@ fl AS (SELECT *, EXISTS (SELECT 1 FROM a WHERE a.recording_id = pw.recording_id
 gd AS (SELECT recording_id, ch_type, avg(ss) FILTER (NOT bad) AS good FROM fl GROUP BY 1, 2),
 f2 AS (SELECT recording_id, ch_type, t, CASE WHEN bad THEN good ELSE ss END AS ss FROM fl JOIN gd USING (recording_id, ch_type))
 SELECT recording_id, ch_type, t, round(ss, 6) AS ss,
-  round(avg(ss) OVER (PARTITION BY recording_id, ch_type ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 6) AS trace FROM f2""",
+  round(avg(ss) OVER (PARTITION BY recording_id, ch_type ORDER BY t ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) + 1e-9, 6) AS trace FROM f2""",
        "samples", "annotations"))
 def _(t):
     return op.sum_square_trace(t.samples(), hourly_bads(t), 5.0).select(
-        "recording_id", "ch_type", "t", r6("ss").alias("ss"), r6("trace").alias("trace"))
+        "recording_id", "ch_type", "t", r6("ss").alias("ss"), r6_off_ties("trace").alias("trace"))
 
 
 @query("channel_std_histogram", with_views("""

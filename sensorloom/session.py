@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder name in the cluster's shared scratch space; a local one only where none is named, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        return tempfile.mkdtemp(prefix="sensorloom-")
+    return f"{shared.rstrip('/')}/sensorloom-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder (`spark.checkpoint.dir`).
 
