@@ -23,14 +23,16 @@ def with_blocks(df: DataFrame, t: str = "t", size: int = BLOCK, before: int = 0,
     offset = F.col(t) - own * F.lit(size)
     if not before and not after:
         return df.withColumn("_block", own).withColumn("_core", F.lit(True))
-    targets = [own]
-    if before:
-        targets.append(F.when(offset >= F.lit(size - before), own + 1))
+    # most rows keep the one-entry array: no row pays for building and compacting a longer one
+    late, early = offset >= F.lit(size - before), offset < F.lit(after)
+    targets = F.array(own)
     if after:
-        targets.append(F.when(offset < F.lit(after), own - 1))
-    return df.withColumn("_block", F.explode(F.array_compact(F.array(*targets)))).withColumn(
-        "_core", F.col("_block") == own
-    )
+        targets = F.when(early, F.array(own, own - 1)).otherwise(targets)
+    if before:
+        targets = F.when(late, F.array(own, own + 1)).otherwise(targets)
+    if before and after:
+        targets = F.when(late & early, F.array(own, own + 1, own - 1)).otherwise(targets)
+    return df.withColumn("_block", F.explode(targets)).withColumn("_core", F.col("_block") == own)
 
 
 def pack_blocks(df: DataFrame, keys: list[str], t: str = "t", value: str = "value", size: int = BLOCK) -> DataFrame:
