@@ -5,6 +5,10 @@ groups (channels of a recording, folds of a model) but not for the samples of a
 recording. Here the quantile is selected in two passes: a log-scaled histogram (hash
 aggregation with map-side combine) locates the bucket that holds each wanted rank, then only
 the values of those buckets are counted and ranked. Nothing is approximated.
+
+The wanted buckets (a few rows per group) are written once, so the second pass joins a table
+of known size: with up to some hundred thousand groups it is broadcast and the values are
+never shuffled; with more groups the join is a shuffle like any grouping would be.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 STEPS_PER_OCTAVE = 4096
 
 
@@ -53,6 +59,7 @@ def exact_quantiles(
         F.filter(F.array_distinct(F.array(*ranks)),
                  lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))),
     ).where(F.size("_ranks") > 0).select(*keys, "_b", "_before", "_n", "_ranks")
+    picks = materialize(picks)
     by_value = Window.partitionBy(*keys, "_b").orderBy("_v")
     hits = (
         x.join(picks, [*keys, "_b"])

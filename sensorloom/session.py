@@ -29,6 +29,17 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/sensorloom-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small intermediate result once and read it back.
+
+    Later joins then see its true size: Catalyst broadcasts it when it is below the configured
+    threshold and shuffles otherwise, and its input is not computed again.
+    """
+    path = scratch_folder(df.sparkSession) + "/part"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder (`spark.checkpoint.dir`).
 
