@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions.expr import r6, r6_off_ties
 from ..operators import detectors as op
-from ..sources.bindings import with_views
+from ..sources.bindings import fir_sql, with_views
 from . import query
 from .events import EP, epochs
 
@@ -34,11 +35,19 @@ def _(t):
     return op.bad_by_deviation(t.samples(), 1.0).withColumns({"amplitude": r6_off_ties("amplitude"), "z": r6_off_ties("z")})
 
 
+HF = fir_sql(kernels.lowpass_taps(50.0, SFREQ, 31)) + """, lo AS (SELECT recording_id, ch_name, y AS a, value - y AS b FROM fx),
+md AS (SELECT recording_id, ch_name, quantile_cont(a, 0.5) AS ma, quantile_cont(b, 0.5) AS mb FROM lo GROUP BY 1, 2),
+nz AS (SELECT recording_id, ch_name, quantile_cont(abs(b - mb), 0.5) / quantile_cont(abs(a - ma), 0.5) AS noisiness FROM lo JOIN md USING (recording_id, ch_name) GROUP BY 1, 2),
+m0 AS (SELECT recording_id, quantile_cont(noisiness, 0.5) AS m FROM nz GROUP BY 1),
+sd AS (SELECT recording_id, any_value(m) AS m, 1.4826e0 * quantile_cont(abs(noisiness - m), 0.5) AS s FROM nz JOIN m0 USING (recording_id) GROUP BY 1),
+hf AS (SELECT recording_id, ch_name, noisiness, (noisiness - m) / s AS z, (noisiness - m) / s > 1e0 AS is_bad FROM nz JOIN sd USING (recording_id)) """
+
+
 def hf(t):
     return op.bad_by_hfnoise(t.samples(), SFREQ, 1.0, taps=31)
 
 
-@query("bad_by_hfnoise")
+@query("bad_by_hfnoise", with_views(HF + "SELECT recording_id, ch_name, round(noisiness, 6) AS noisiness, round(z, 6) + 0e0 AS z, is_bad FROM hf", "samples"))
 def _(t):
     return hf(t).withColumns({"noisiness": r6("noisiness"), "z": r6("z")})
 
@@ -72,12 +81,18 @@ def _(t):
     return op.bad_by_dropout(consistency(t)).withColumn("bad_fraction", r6("bad_fraction"))
 
 
-@query("bad_by_snr")
+@query("bad_by_snr", with_views(HF + CW.replace("md AS", "wm AS").replace("JOIN md USING", "JOIN wm USING") + """
+SELECT recording_id, ch_name FROM hf WHERE is_bad INTERSECT SELECT recording_id, ch_name FROM cc GROUP BY 1, 2 HAVING avg(CASE WHEN max_corr < 0.45e0 THEN 1e0 ELSE 0e0 END) > 0.1e0""", "samples"))
 def _(t):
     return op.bad_by_snr(hf(t), op.bad_by_correlation(consistency(t), 0.45, 0.1))
 
 
-@query("bad_by_ransac")
+@query("bad_by_ransac", with_views(CW + """,
+pr AS (SELECT a.recording_id, a.win, a.ch_name, a.t, any_value(a.value) AS own, (sum(b.value) - quantile_cont(b.value, 0.5)) / 3 AS est
+  FROM wn a JOIN wn b ON a.recording_id = b.recording_id AND a.t = b.t AND a.ch_name <> b.ch_name GROUP BY 1, 2, 3, 4),
+rc AS (SELECT recording_id, win, ch_name, corr(own, est) AS c FROM pr GROUP BY 1, 2, 3)
+SELECT recording_id, ch_name, round(avg(CASE WHEN c < 0.2e0 THEN 1e0 ELSE 0e0 END), 6) AS bad_fraction, round(avg(c), 6) + 0e0 AS mean_corr,
+  avg(CASE WHEN c < 0.2e0 THEN 1e0 ELSE 0e0 END) > 0.4e0 AS is_bad FROM rc GROUP BY 1, 2""", "samples"))
 def _(t):
     names = t.samples().select("ch_name").distinct()
     pool = names.agg(F.array_sort(F.collect_set("ch_name")).alias("pool"))
@@ -88,7 +103,17 @@ def _(t):
     return op.bad_by_ransac(t.samples(), weights, WIN, 0.2).withColumns({"bad_fraction": r6("bad_fraction"), "mean_corr": r6("mean_corr")})
 
 
-@query("bad_by_psd")
+@query("bad_by_psd", with_views(""",
+n0 AS (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2),
+w0 AS (SELECT recording_id, ch_name, unnest(range(0, (n - 32) // 16 + 1)) AS win FROM n0 WHERE n >= 32),
+w1 AS (SELECT w0.recording_id, w0.ch_name, win, t - win * 16 AS i, value - avg(value) OVER (PARTITION BY w0.recording_id, w0.ch_name, win) AS v
+  FROM w0 JOIN samples s ON s.recording_id = w0.recording_id AND s.ch_name = w0.ch_name AND t >= win * 16 AND t < win * 16 + 32),
+w2 AS (SELECT *, v * (0.5e0 - 0.5e0 * cos(2 * pi() * i / 32)) AS x FROM w1),
+p AS (SELECT recording_id, ch_name, win, k, (pow(sum(x * cos(2 * pi() * ((k * i) % 32) / 32)), 2) + pow(sum(x * sin(2 * pi() * ((k * i) % 32) / 32)), 2)) / (250e0 * 12e0)
+  * CASE WHEN k BETWEEN 1 AND 15 THEN 2 ELSE 1 END AS power FROM w2, range(0, 17) r(k) GROUP BY 1, 2, 3, 4),
+c AS (SELECT recording_id, ch_name, avg(power) AS mean_power FROM p GROUP BY 1, 2),
+l AS (SELECT *, avg(mean_power) OVER r + stddev_pop(mean_power) OVER r AS threshold FROM c WINDOW r AS (PARTITION BY recording_id))
+SELECT recording_id, ch_name, round(mean_power, 6) AS mean_power, round(threshold, 6) AS threshold, mean_power > threshold AS is_bad FROM l""", "samples"))
 def _(t):
     out = op.bad_by_psd(op.welch_psd(t.samples(), SFREQ, 32), 1.0)
     return out.withColumns({"mean_power": r6("mean_power"), "threshold": r6("threshold")})
@@ -188,11 +213,30 @@ def _(t):
     return op.epoch_zscore_outliers(epochs(t), 2.0).withColumns({"value": r6_off_ties("value"), "z": r6("z")})
 
 
-@query("channel_zscore_outliers")
+ZED = """z AS (SELECT *, CASE WHEN stddev_pop(value) OVER w > 0 THEN (value - avg(value) OVER w) / stddev_pop(value) OVER w ELSE 0e0 END AS z FROM lg2 WINDOW w AS (PARTITION BY {keys}, metric)) """
+LINE = "(pow(sum(value * cos(k * 2 * pi() * 50 / 250)), 2) + pow(sum(value * sin(k * 2 * pi() * 50 / 250)), 2)) / (count(*) * count(*))"
+
+
+@query("channel_zscore_outliers", with_views(EP + f""",
+ln AS (SELECT recording_id, ch_name, epoch, CASE WHEN var_pop(value) > 0 THEN {LINE} / var_pop(value) ELSE 0e0 END AS line FROM ep GROUP BY 1, 2, 3),
+l2 AS (SELECT recording_id, ch_name, avg(line) AS line_noise FROM ln GROUP BY 1, 2),
+b AS (SELECT recording_id, ch_name, var_pop(value) AS variance, kurtosis_pop(value) AS kurtosis FROM ep GROUP BY 1, 2),
+pc AS (SELECT x.recording_id, x.ch_name, y.ch_name AS other, abs(corr(x.value, y.value)) AS c FROM ep x JOIN ep y ON x.recording_id = y.recording_id AND x.epoch = y.epoch AND x.k = y.k AND x.ch_name <> y.ch_name GROUP BY 1, 2, 3),
+co AS (SELECT recording_id, ch_name, avg(c) AS correlation FROM pc GROUP BY 1, 2),
+one AS (SELECT recording_id, ch_name, variance, correlation, kurtosis, line_noise FROM b JOIN l2 USING (recording_id, ch_name) JOIN co USING (recording_id, ch_name)),
+lg2 AS (UNPIVOT one ON variance, correlation, kurtosis, line_noise INTO NAME metric VALUE value), """ + ZED.format(keys="recording_id") + """
+SELECT recording_id, ch_name, metric, round(value, 6) + 0e0 AS value, round(z, 6) + 0e0 AS z, abs(z) > 1.5e0 AS is_outlier FROM z""", "triggers", "samples"))
 def _(t):
     return op.channel_zscore_outliers(epochs(t), SFREQ, 4, 8, [50.0], 1.5).withColumns({"value": r6("value"), "z": r6("z")})
 
 
-@query("channel_epoch_zscore_outliers")
+@query("channel_epoch_zscore_outliers", with_views(EP + f""",
+gr AS (SELECT *, abs(value - lag(value) OVER (PARTITION BY recording_id, epoch, ch_name ORDER BY k)) AS g FROM ep),
+pe AS (SELECT recording_id, epoch, ch_name, var_pop(value) AS variance, avg(value) AS m, max(value) - min(value) AS amplitude, quantile_cont(g, 0.5) AS median_gradient,
+  CASE WHEN var_pop(value) > 0 THEN {LINE} / var_pop(value) ELSE 0e0 END AS line_noise FROM gr GROUP BY 1, 2, 3),
+ov AS (SELECT recording_id, ch_name, avg(value) AS o FROM ep GROUP BY 1, 2),
+one AS (SELECT recording_id, epoch, ch_name, variance, abs(m - o) AS deviation, amplitude, median_gradient, line_noise FROM pe JOIN ov USING (recording_id, ch_name)),
+lg2 AS (FROM one UNPIVOT INCLUDE NULLS (value FOR metric IN (variance, deviation, amplitude, median_gradient, line_noise))), """ + ZED.format(keys="recording_id, epoch") + """
+SELECT recording_id, epoch, ch_name, metric, round(value + 1e-9, 6) AS value, round(z + 1e-9, 6) AS z, abs(z) > 1.5e0 AS is_outlier FROM z""", "triggers", "samples"))
 def _(t):
-    return op.channel_epoch_zscore_outliers(epochs(t), SFREQ, [50.0], 1.5).withColumns({"value": r6("value"), "z": r6("z")})
+    return op.channel_epoch_zscore_outliers(epochs(t), SFREQ, [50.0], 1.5).withColumns({"value": r6_off_ties("value"), "z": r6_off_ties("z")})

@@ -55,7 +55,12 @@ def _(t):
     return op.uniform_subsample(t.samples(), 40).select("recording_id", "ch_name", "t", "value")
 
 
-@query("spectral_shape")
+@query("spectral_shape", views(COUNTED, """,
+f AS (SELECT recording_id, ch_type, ch_name, n_times, k, CASE WHEN k = 0 THEN 0e0 ELSE sqrt(pow(sum(value * cos(2 * pi() * ((k * t) % n_times) / n_times)), 2)
+  + pow(sum(value * sin(2 * pi() * ((k * t) % n_times) / n_times)), 2)) / n_times END AS y FROM (SELECT *, unnest(range(0, n_times // 2)) AS k FROM n) GROUP BY 1, 2, 3, 4, 5),
+m AS (SELECT *, avg(y) OVER w AS m, stddev_pop(y) OVER w AS s FROM f WINDOW w AS (PARTITION BY recording_id, ch_name)),
+c AS (SELECT recording_id, ch_type, ch_name, avg(pow((y - m) / s, 3)) AS sk, avg(pow((y - m) / s, 4)) AS ku FROM m GROUP BY 1, 2, 3)
+SELECT recording_id, ch_type, round(avg(sk), 6) AS skewness, round(avg(ku), 6) AS kurtosis FROM c GROUP BY 1, 2""", "samples"))
 def _(t):
     return op.spectral_shape(t.samples()).select(
         "recording_id", "ch_type", r6("skewness_amplitude").alias("skewness"), r6("kurtosis_amplitude").alias("kurtosis"))

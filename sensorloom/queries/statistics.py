@@ -119,7 +119,20 @@ def _(t):
     return op.group_glm(first_level(t), ["ch_name", "k"]).withColumns({"cope": r6("cope"), "t": r6("t")})
 
 
-@query("glm_spectrum")
+@query("glm_spectrum", with_views(""",
+n0 AS (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2),
+w0 AS (SELECT recording_id, ch_name, unnest(range(0, (n - 16) // 8 + 1)) AS win FROM n0 WHERE n >= 16),
+w1 AS (SELECT w0.recording_id, w0.ch_name, win, t - win * 8 AS i, value - avg(value) OVER (PARTITION BY w0.recording_id, w0.ch_name, win) AS v
+  FROM w0 JOIN samples s ON s.recording_id = w0.recording_id AND s.ch_name = w0.ch_name AND t >= win * 8 AND t < win * 8 + 16),
+w2 AS (SELECT *, v * (0.5e0 - 0.5e0 * cos(2 * pi() * i / 16)) AS x FROM w1),
+p AS (SELECT recording_id, ch_name, win, k, (pow(sum(x * cos(2 * pi() * ((k * i) % 16) / 16)), 2) + pow(sum(x * sin(2 * pi() * ((k * i) % 16) / 16)), 2)) / (16e0 * 6e0)
+  * CASE WHEN k BETWEEN 1 AND 7 THEN 2 ELSE 1 END AS y FROM w2, range(0, 9) r(k) GROUP BY 1, 2, 3, 4),
+ld AS (SELECT recording_id, t // 8 AS win, stddev_pop(value) AS x FROM samples GROUP BY 1, 2),
+r AS (SELECT recording_id, ch_name, CAST(k AS DOUBLE) AS freq, count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, avg(x) AS mx
+  FROM p JOIN ld USING (recording_id, win) GROUP BY 1, 2, 3),
+q AS (SELECT *, greatest(syy - b * sxy, 0) / (n - 2) AS s2 FROM r)
+SELECT recording_id, ch_name, freq, 'load' AS contrast, round(b, 6) + 0e0 AS cope, round(b / sqrt(s2 / sxx), 6) + 0e0 AS t FROM q
+UNION ALL SELECT recording_id, ch_name, freq, 'mean', round(a, 6) + 0e0, round(a / sqrt(s2 * (1e0 / n + mx * mx / sxx)), 6) + 0e0 FROM q""", "samples"))
 def _(t):
     windows = t.samples().groupBy("recording_id", F.floor(F.col("t") / 8).cast("bigint").alias("win")).agg(F.stddev_pop("value").alias("load"))
     out = op.glm_spectrum(t.samples(), windows, 16.0, 16, {"mean": [1, 0], "load": [0, 1]}, ["load"])

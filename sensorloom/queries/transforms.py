@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions.expr import r6
 from ..operators import statistics
 from ..operators import transforms as op
 from ..operators.events import scale_by_type
-from ..sources.bindings import with_views
+from ..sources.bindings import fir_sql, with_views
 from . import query
 
 SFREQ = 600.0
@@ -16,12 +17,16 @@ def signal(t):
     return t.samples().select("recording_id", "ch_name", "t", "value")
 
 
-@query("filter_signal")
+def fir_twin(taps):
+    return with_views(fir_sql(taps) + "SELECT recording_id, ch_name, t, round(y, 6) + 0e0 AS value FROM fx", "samples")
+
+
+@query("filter_signal", fir_twin(kernels.bandpass_taps(20.0, 100.0, SFREQ, 63)))
 def _(t):
     return op.filter_signal(signal(t), SFREQ, 20.0, 100.0, taps=63).withColumn("value", r6("value"))
 
 
-@query("notch")
+@query("notch", fir_twin(kernels.notch_taps([50.0], 2.0, SFREQ, 63)))
 def _(t):
     return op.notch(signal(t), SFREQ, [50.0], taps=63).withColumn("value", r6("value"))
 

@@ -35,6 +35,19 @@ def with_views(body: str, *names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({SQL[n]})" for n in names) + " " + body.strip()
 
 
+def fir_sql(taps, name: str = "fx") -> str:
+    """SQL twin of a zero-phase FIR with mirrored edges, as expressions to append to the `samples` view."""
+    values = ", ".join(f"({j}, {float(h)!r}::DOUBLE)" for j, h in enumerate(taps))
+    half = len(taps) // 2
+    at = (f"CASE WHEN s.t + j - {half} < 0 THEN least({half} - j - s.t, n - 1) "
+          f"WHEN s.t + j - {half} > n - 1 THEN greatest(2 * (n - 1) - (s.t + j - {half}), 0) ELSE s.t + j - {half} END")
+    return (f", {name}_t AS (SELECT * FROM (VALUES {values}) v(j, h)), "
+            f"{name}_s AS (SELECT s.recording_id, s.ch_name, s.t, s.value, j, h, {at} AS k FROM (SELECT *, count(*) OVER "
+            f"(PARTITION BY recording_id, ch_name) AS n FROM samples) s, {name}_t), "
+            f"{name} AS (SELECT a.recording_id, a.ch_name, a.t, any_value(a.value) AS value, sum(h * b.value) AS y FROM {name}_s a "
+            f"JOIN samples b ON b.recording_id = a.recording_id AND b.ch_name = a.ch_name AND b.t = a.k GROUP BY 1, 2, 3) ")
+
+
 def micros(column: str = "ts") -> Column:
     return F.unix_micros(F.col(column).cast("timestamp")) - F.lit(EPOCH_US)
 
