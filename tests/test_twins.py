@@ -8,6 +8,8 @@ import __spark_entry__ as entry
 from check_twins import compare, duck
 
 SF = "/root/testdata/sf0.001"
+# the smallest recordings have too few windows or epochs for these statistics to be defined
+LARGER = {"glm_spectrum": "/root/testdata/sf0.01", "channel_zscore_outliers": "/root/testdata/sf0.01"}
 NAMES = list(entry.queries())
 TWINS = entry.oracle_sql()
 MAY_BE_EMPTY = {"evoked", "bad_by_snr", "bad_segments_gesd", "bad_segments_channelwise", "muscle_zscore", "search_and_page",
@@ -22,9 +24,10 @@ def outcomes(spark):
 
     def one(name):
         try:
-            df = queries[name](spark, SF)
+            folder = LARGER.get(name, SF)
+            df = queries[name](spark, folder)
             if name in TWINS:
-                return compare(df, duck(SF).sql(TWINS[name]))
+                return compare(df, duck(folder).sql(TWINS[name]))
             return None if df.collect() else "EMPTY"
         except Exception as ex:
             return f"{type(ex).__name__}: {str(ex)[:500]}"
