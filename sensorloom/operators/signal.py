@@ -140,8 +140,8 @@ def envelope_bins(samples: DataFrame, sfreq: float, n_bins: int = 1600, with_med
 def robust_peak_score(samples: DataFrame, sfreq: float, n_bins: int = 1600, stat_samples: int = 10000) -> DataFrame:
     """Largest excursion per channel and bin, in robust deviations.
 
-    Scale statistics use every k-th sample (at most `stat_samples` per channel), as the
-    reference display does; excursions use every sample.
+    By definition the scale statistics use every k-th sample (at most `stat_samples` per
+    channel); excursions use every sample.
     """
     keys = CHANNEL
     strided = samples.join(sample_counts(samples), keys).where(
