@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_folder
 
-ROWS_PER_BATCH = 1000
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_batches(spark: SparkSession) -> None:
     """Small Arrow batches, so that a task holds about a thousand texts at a time, however long they are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def split_number(id_column: str, parts: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, quality, simhash
+from . import language_id, licenses, media, packing, pages, quality, simhash, topk
 from .common import split_number, table
 
 
@@ -29,21 +29,52 @@ def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (rest == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op4_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled("embedding", 256).alias("scaled"))
+    return topk.best_scores(rows, 5, "vec_id", "scaled", F.col("vec_id") % 50 == 0)
+
+
+def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_language_crf, op2_quality_nbsvm, op4_pack_sum_of_squares, op9_simhash]
+    found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op7_site_templates, op9_simhash,
+             op10_media_columns]
     return {f.__name__: f for f in found}
 
 
+OP5_SQL = """
+WITH e AS (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM e q JOIN e c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only the search can be written in SQL; the tests hold the others against brute force, round trips or held-out labels."""
+    return {"op5_exact_topk": OP5_SQL}
 
 
 def send_by_value() -> None:
