@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, licenses, media, packing, pages, quality, simhash, topk
+from . import language_id, licenses, lm, media, packing, pages, quality, simhash, topk
 from .common import split_number, table
 
 
@@ -46,6 +46,12 @@ def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = split_number("doc_id", 7)
+    found = lm.score_texts(table(spark, sf_dir, "documents"), rest != 2, vocabulary("word_bpe_49k.json"))
+    return found.withColumn("held_out", ~F.col("training")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,15 +61,15 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op7_site_templates, op9_simhash,
+    found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op7_site_templates, op8_attention_lm, op9_simhash,
              op10_media_columns]
     return {f.__name__: f for f in found}
 
 
 OP5_SQL = """
 WITH e AS (
-    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    SELECT row_number() OVER () AS row, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
     SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
     FROM e q JOIN e c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
