@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, licenses, lm, media, packing, pages, quality, simhash, topk
+from . import language_id, licenses, lm, media, packing, pages, pieces, quality, simhash, topk
 from .common import split_number, table
 
 
@@ -42,6 +42,10 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.best_scores(rows, 5, "vec_id", "scaled", F.col("vec_id") % 50 == 0)
 
 
+def op6_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.segment(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), 4)
+
+
 def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
 
@@ -61,7 +65,7 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op7_site_templates, op8_attention_lm, op9_simhash,
+    found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op6_piece_nbest, op7_site_templates, op8_attention_lm, op9_simhash,
              op10_media_columns]
     return {f.__name__: f for f in found}
 
