@@ -22,13 +22,14 @@ LEAST_LANGUAGE, LEAST_QUALITY = 0.5, 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language or mostly mixed. An empty table and rows of null text give no rows."""
     model = language_id.fit(docs, split_number("doc_id", 4) != 2)
-    return language_id.annotate(docs, model).where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE)).select(*docs.columns)
+    return language_id.annotate(docs, model).where((F.col("__lang_pred") != "und") & (F.col("__lang_score") >= LEAST_LANGUAGE)).drop(
+        "__lang_pred", "__lang_score", "__n_words")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of low quality."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.training_rows())
-    return quality.annotate(docs, model).where(F.col("quality_score") >= LEAST_QUALITY).select(*docs.columns)
+    return quality.annotate(docs, model).where(F.col("__quality_score") >= LEAST_QUALITY).drop("__quality_score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

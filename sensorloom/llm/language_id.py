@@ -289,7 +289,7 @@ def fit(docs: DataFrame, training: Column, id_col: str = "doc_id", sample: int =
 
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs` with lang_pred, lang_score and n_words of every row, from its whole text.
+    """`docs` with __lang_pred, __lang_score and __n_words of every row, from its whole text.
 
     The score is the share of the predicted language in the words' posteriors. Null text and text without letters give `und` and
     score 0. Repeated rows give a row each, null ids are passed on, ties go to the first language by name. Empty input gives no rows;
@@ -318,14 +318,14 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
             idx = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
             sums = posteriors(table[idx], lengths, m.start, m.moves)
             share = np.where(lengths > 0, np.clip(sums.max(axis=1) / np.maximum(lengths, 1), 0, 1), 0.0)
-            return {"lang_pred": [m.langs[k] if n else "und" for k, n in zip(sums.argmax(axis=1), lengths)], "lang_score": share, "n_words": lengths}
+            return {"__lang_pred": [m.langs[k] if n else "und" for k, n in zip(sums.argmax(axis=1), lengths)], "__lang_score": share, "__n_words": lengths}
 
         return score
 
-    return add_columns(docs, text_col, start, {"lang_pred": "string", "lang_score": "double", "n_words": "long"}, keep)
+    return add_columns(docs, text_col, start, {"__lang_pred": "string", "__lang_score": "double", "__n_words": "long"}, keep)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, n_words) of every row; see `annotate`."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return annotate(rows, model, "text", ["doc_id"]).withColumnRenamed("lang_score", "score")
+    return annotate(rows, model, "text", ["doc_id"]).toDF("doc_id", "lang_pred", "score", "n_words")

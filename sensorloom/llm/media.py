@@ -46,6 +46,8 @@ def from_image(media: bytes) -> np.ndarray:
         raise ValueError("not a PNG")
     at, size, packed = 8, None, []
     while at < len(media):
+        if len(media) < at + 12 or len(media) < at + 12 + int.from_bytes(media[at : at + 4], "big"):
+            raise ValueError("an image ends too early")
         n, kind = struct.unpack(">I4s", media[at : at + 8])
         data = media[at + 8 : at + 8 + n]
         if zlib.crc32(kind + data) != struct.unpack(">I", media[at + 8 + n : at + 12 + n])[0]:

@@ -199,7 +199,8 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
             elif item.tag in VOID:
                 pieces.append(" ")
                 continue
-            path.append(item.hash if item is not top else 0)
+            # An inline element need not hold all of its block, so it does not stand for it.
+            path.append(item.hash if item is not top and item.tag in BLOCK else 0)
             stack.append((item, True))
             stack += [(x, False) for x in reversed(item.items)]
         close()
