@@ -75,27 +75,10 @@ def student_upper(t, df):
     return 0.5 * np.where(t == 0, 1.0, np.where(swap, other, direct))
 
 
-LARGE_DF = 200
-
-
 def student_quantile(upper, df):
-    """t with P(T > t) = upper (< 0.5).
-
-    Small degrees of freedom: Newton steps on log tail against log t, where the tail is nearly
-    linear. Large ones: expansion around the normal quantile in powers of 1 / df.
-    """
+    """t with P(T > t) = upper (< 0.5): Newton steps on log tail against log t, where the tail is nearly linear."""
     p, df = np.atleast_1d(np.asarray(upper, float)), np.atleast_1d(np.asarray(df, float))
-    out = np.empty_like(df)
-    big = df >= LARGE_DF
-    if big.any():
-        inverse = NormalDist().inv_cdf
-        z, v = np.array([-inverse(q) for q in p[big]]), df[big]
-        out[big] = (z + (z**3 + z) / (4 * v) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * v**2)
-                    + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * v**3)
-                    + (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / (92160 * v**4))
-    if not big.all():
-        out[~big] = _newton_quantile(p[~big], df[~big])
-    return out
+    return _newton_quantile(p, df)
 
 
 def _newton_quantile(p, df):
@@ -182,6 +165,25 @@ def spectral_shape(keys):
     return run
 
 
+def fourier_lines(keys, stage):
+    """Transforms of several lines (constant p) over q; the first stage also twists by exp(-2 pi i p k / n)."""
+
+    def run(pdf):
+        n, size = int(pdf["n"].iloc[0]), int(pdf["n1" if stage == 1 else "n2"].iloc[0])
+        lines, at = np.unique(pdf["p"].to_numpy(np.int64), return_inverse=True)
+        x = np.zeros((len(lines), size), complex)
+        x[at, pdf["q"].to_numpy(np.int64)] = pdf["re"].to_numpy(float) + 1j * pdf["im"].to_numpy(float)
+        y = np.fft.fft(x, axis=1)
+        if stage == 1:
+            y *= np.exp(-2j * np.pi * ((lines[:, None] * np.arange(size)) % n) / n)
+        out = pd.DataFrame({"p": np.repeat(lines, size), "q": np.tile(np.arange(size), len(lines)), "re": y.real.ravel(), "im": y.imag.ravel()})
+        for k in ("n2", "n1", "n", *reversed(keys)):
+            out.insert(0, k, pdf[k].iloc[0])
+        return out
+
+    return run
+
+
 def dfa_exponent(x):
     """Detrended fluctuation exponent: log-log slope of residual size against window length."""
     n = len(x)
@@ -436,34 +438,42 @@ def pair_matrix(pdf, a="ci", b="cj", value="cov"):
 
 
 def flip_search(key, n_init, n_iter, max_flips, seed):
-    """Random search for the channel signs that best match a template covariance."""
+    """Channel signs that best match a template covariance.
+
+    Each of `n_init` rounds draws `n_iter` sign changes of up to `max_flips` channels of the best signs so far, scores all by one product, and
+    takes the best; then single channels are turned as long as one of them helps.
+    """
 
     def run(pdf):
         names, cov = pair_matrix(pdf)
         _, ref = pair_matrix(pdf, value="template_cov")
         i, j = np.triu_indices(len(names), k=1)
-        a, b = cov[i, j], ref[i, j]
-
-        def metric(s):
-            v = a * s[i] * s[j]
-            return float(np.corrcoef(v, b)[0, 1]) if len(v) > 1 and v.std() > 0 and b.std() > 0 else 0.0
-
-        rng = np.random.default_rng([seed, len(names)])
-        start = metric(np.ones(len(names)))
-        best, best_score = np.ones(len(names)), max(start, 0.0)
-        for _ in range(n_init):
-            flips, score = np.ones(len(names)), start
-            for _ in range(n_iter):
-                pick = rng.choice(len(names), size=rng.integers(0, min(max_flips, len(names))), replace=False)
-                trial = flips.copy()
-                trial[pick] *= -1
-                got = metric(trial)
-                if got > score:
-                    flips, score = trial, got
-            if score > best_score:
-                best, best_score = flips, score
-        return pd.DataFrame({key: pdf[key].iloc[0], "ch_name": names, "flip": best.astype(int),
-                             "metric_before": start, "metric_after": max(best_score, start)})
+        a, b = cov[i, j], ref[i, j] - ref[i, j].mean() if len(i) else ref[i, j]
+
+        def scores(signs):
+            v = a * signs[:, i] * signs[:, j]
+            v = v - v.mean(axis=1, keepdims=True)
+            size = np.sqrt((v * v).sum(axis=1) * (b @ b))
+            return np.divide(v @ b, size, out=np.zeros(len(v)), where=size > 1e-300)
+
+        def better(signs, proposals):
+            got = scores(signs * proposals)
+            top = int(got.argmax())
+            return (signs * proposals[top], got[top]) if got[top] > scores(signs[None])[0] + 1e-15 else None
+
+        best, rng = np.ones(len(names)), np.random.default_rng([seed, len(names)])
+        start = float(scores(best[None])[0]) if len(i) else 0.0
+        single = 1 - 2 * np.eye(len(names))
+        for _ in range(n_init if len(i) else 0):
+            order = rng.random((n_iter, len(names))).argsort(axis=1)
+            proposals = np.where(order < rng.integers(1, min(max_flips, len(names)) + 1, (n_iter, 1)), -1.0, 1.0)
+            found = better(best, proposals)
+            while found:
+                best = found[0]
+                found = better(best, single)
+        after = float(scores(best[None])[0]) if len(i) else 0.0
+        return pd.DataFrame({key: pdf[key].iloc[0], "ch_name": names, "flip": best.astype(int), "metric_before": start,
+                             "metric_after": max(after, start)})
 
     return run
 

@@ -126,12 +126,11 @@ def _starts(total: Column, length: int, overlap: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def window_plan(recordings: DataFrame, length: int, overlap: int, max_windows: int) -> DataFrame:
-    """Window starts per recording, thinned to evenly spaced ones beyond `max_windows`.
-
-    The thinning belongs to the operator: model input is a fixed number of windows.
-    """
+def window_plan(recordings: DataFrame, length: int, overlap: int, max_windows: int | None = None) -> DataFrame:
+    """Window starts per recording: all of them, or evenly spaced ones where a model takes at most `max_windows`."""
     s = recordings.withColumn("_s", _starts(F.col("n_times"), length, overlap))
+    if max_windows is None:
+        return s.select("recording_id", "n_times", F.explode("_s").alias("start"))
     n = F.size("_s")
     thin = F.transform(F.sequence(F.lit(0), F.lit(max_windows - 1)), lambda i: F.get(
         F.col("_s"), F.bround(i * ((n - 1) / F.lit(max_windows - 1)), 0).cast("int")))

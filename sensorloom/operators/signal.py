@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from ..functions.expr import MAD_TO_SD, finite, half_even
 from ..plans.blocks import BLOCK, neighbours, rolling, with_blocks
+from ..plans.fourier import LINE, fourier
 from ..plans.intervals import range_join
-from ..plans.quantiles import exact_median
+from ..plans.quantiles import median_and_mad
 
 CHANNEL = ["recording_id", "ch_type", "ch_name"]
 TINY = 2.2250738585072014e-308
@@ -73,13 +74,29 @@ def uniform_subsample(samples: DataFrame, n: int) -> DataFrame:
     return counted.where((F.col("n_times") <= n) | hit).drop("n_times")
 
 
-def spectral_shape(samples: DataFrame, max_samples: int = 20000) -> DataFrame:
-    """Mean skewness and kurtosis of the amplitude spectrum per recording and channel type."""
-    kept = uniform_subsample(samples, max_samples).select(*CHANNEL, "t", "value")
+def spectral_shape(samples: DataFrame, line: int = LINE) -> DataFrame:
+    """Mean skewness and kurtosis of the amplitude spectrum of whole channels per recording and channel type.
+
+    Channels of up to `line` samples are transformed by one task each, longer ones by rows and columns; the length of the longest
+    one is read first, as the plan for long ones has many stages.
+    """
+    longest = samples.agg(F.max("t")).first()[0]
+    counted = samples.join(sample_counts(samples), CHANNEL).select(*CHANNEL, "t", "value", F.col("n_times").alias("n"))
     types = dict(samples.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in CHANNEL) + ", skewness double, kurtosis double"
-    shape = kept.groupBy(*CHANNEL).applyInPandas(kernels.spectral_shape(CHANNEL), schema)
-    return shape.groupBy("recording_id", "ch_type").agg(
+    short = counted.where(F.col("n") <= line).drop("n").groupBy(*CHANNEL).applyInPandas(kernels.spectral_shape(CHANNEL), schema)
+    if longest is None or longest < line:
+        return _mean_shape(short)
+    long = fourier(counted.where(F.col("n") > line), CHANNEL, "value", line).where(F.col("k") < F.floor(F.col("n") / 2))
+    size = F.when(F.col("k") > 0, F.hypot("re", "im") / F.col("n")).otherwise(0e0)
+    level = F.sum(size) > 2.220446049250313e-16
+    long = long.groupBy(*CHANNEL).agg(F.when(level, F.coalesce(F.skewness(size), F.lit(0e0))).otherwise(0e0).alias("skewness"),
+                                      F.when(level, F.coalesce(F.kurtosis(size) + 3, F.lit(0e0))).otherwise(0e0).alias("kurtosis"))
+    return _mean_shape(short.unionByName(long))
+
+
+def _mean_shape(channels: DataFrame) -> DataFrame:
+    return channels.groupBy("recording_id", "ch_type").agg(
         F.avg(finite("skewness")).alias("skewness_amplitude"), F.avg(finite("kurtosis")).alias("kurtosis_amplitude"))
 
 
@@ -131,27 +148,18 @@ def envelope_bins(samples: DataFrame, sfreq: float, n_bins: int = 1600, with_med
     binned = _bins(samples.select(*CHANNEL, "t", "value"), n_bins)
     keys = [*CHANNEL, "bin"]
     v = finite("value")
-    out = binned.groupBy(*keys).agg(
+    # a bin holds a fixed share of a channel, so its values are counted in one group
+    median = [F.percentile(v, F.lit(0.5)).alias("vmedian")] if with_median else []
+    return binned.groupBy(*keys).agg(
         F.min(v).alias("vmin"), F.max(v).alias("vmax"),
-        (F.lit(0.5) * (F.min("t") + F.max("t")) / F.lit(float(sfreq))).alias("time"))
-    return out.join(exact_median(binned, keys, "value", "vmedian"), keys, "left") if with_median else out
-
+        (F.lit(0.5) * (F.min("t") + F.max("t")) / F.lit(float(sfreq))).alias("time"), *median)
 
-def robust_peak_score(samples: DataFrame, sfreq: float, n_bins: int = 1600, stat_samples: int = 10000) -> DataFrame:
-    """Largest excursion per channel and bin, in robust deviations.
 
-    By definition the scale statistics use every k-th sample (at most `stat_samples` per
-    channel); excursions use every sample.
-    """
+def robust_peak_score(samples: DataFrame, sfreq: float, n_bins: int = 1600) -> DataFrame:
+    """Largest excursion per channel and bin, in robust deviations of all samples of the channel."""
     keys = CHANNEL
-    strided = samples.join(sample_counts(samples), keys).where(
-        F.col("t") % F.greatest(F.lit(1), F.ceil(F.col("n_times") / F.lit(stat_samples))) == 0)
-    v = finite("value")
-    center = strided.groupBy(*keys).agg(F.percentile(v, F.lit(0.5)).alias("center"))
-    scale = (
-        strided.join(center, keys)
-        .groupBy(*keys).agg(F.first("center").alias("center"),
-                            (F.lit(MAD_TO_SD) * F.percentile(F.abs(v - F.col("center")), F.lit(0.5))).alias("scale")))
+    finite_only = samples.select(*keys, finite("value").alias("value"))
+    scale = median_and_mad(finite_only, keys, "value").withColumn("scale", F.col("mad") * F.lit(MAD_TO_SD)).drop("mad")
     usable = F.when(F.col("scale") > TINY, F.col("scale"))
     rec, typ = Window.partitionBy("recording_id"), Window.partitionBy("recording_id", "ch_type")
     scales = (

@@ -189,10 +189,9 @@ def glm_spectrum(samples: DataFrame, covariates: DataFrame, sfreq: float, nperse
 
 
 def sign_flip(subject: Column, perm: Column, seed: int) -> Column:
-    """Reproducible +1 / -1 from subject and permutation number (modular mixing, no driver-side table)."""
-    a = (subject * 7919 + perm * 104_729 + F.lit(seed)) % 65_521
-    b = (a * a + a * 3 + 7) % 65_521
-    return F.when((b * b + a) % 65_521 % 2 == 0, F.lit(1)).otherwise(F.lit(-1))
+    """Reproducible +1 / -1 for a subject (of any type) and permutation: the first digit of an md5 over both and the seed."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(subject.cast("string"), F.lit("")), perm.cast("string"), F.lit(str(seed))).cast("binary"))
+    return F.when(F.substring(digest, 1, 1) < "8", F.lit(1)).otherwise(F.lit(-1))
 
 
 def max_stat_permutation(first_level: DataFrame, cell: list[str], n_perms: int, seed: int = 0, subject: str = "subject",

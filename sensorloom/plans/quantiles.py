@@ -6,9 +6,9 @@ recording. Here the quantile is selected in two passes: a log-scaled histogram (
 aggregation with map-side combine) locates the bucket that holds each wanted rank, then only
 the values of those buckets are counted and ranked. Nothing is approximated.
 
-The wanted buckets (a few rows per group) are written once, so the second pass joins a table
-of known size: with up to some hundred thousand groups it is broadcast and the values are
-never shuffled; with more groups the join is a shuffle like any grouping would be.
+Buckets are finer near the smallest value of a group, from which they are counted, so that an offset common to all values
+does not crowd them. Keys are compared as one struct, in which NULL equals NULL. Nothing runs before the result is asked for; the
+wanted buckets are a few rows per group, and Spark decides from their size whether the values are shuffled again.
 """
 
 from __future__ import annotations
@@ -16,15 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
 STEPS_PER_OCTAVE = 4096
 
 
-def _bucket(v: Column) -> Column:
-    """Non-decreasing map from doubles to a few thousand buckets per octave."""
-    level = F.floor(F.log2(F.abs(v)) * STEPS_PER_OCTAVE) + F.lit(5_000_000)
-    return F.when(v == 0, F.lit(0)).when(v > 0, level).otherwise(-level).cast("bigint")
+def _bucket(v: Column, low: Column) -> Column:
+    """Non-decreasing map from doubles to a few thousand buckets per octave of the distance from the group's lowest finite value."""
+    d = v - low
+    return F.when(low.isNull() | (v < low), F.when(v > 0, F.lit(99_000_000)).otherwise(F.lit(-1))).when(d <= 0, F.lit(0)).when(
+        v == float("inf"), F.lit(99_000_000)).otherwise(F.floor(F.log2(d) * STEPS_PER_OCTAVE) + F.lit(5_000_000)).cast("bigint")
 
 
 def _position(p: float, n: Column, method: str) -> Column:
@@ -42,8 +41,10 @@ def exact_quantiles(
     `method`: `linear` (interpolate between the two ranks), `matlab` (interpolate at the
     sample-population position) or `midpoint` (mean of the two ranks).
     """
-    x = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
-    x = x.withColumn("_b", _bucket(F.col("_v")))
+    names, keys = keys, ["_key"]
+    x = df.select(F.struct(*names).alias("_key"), F.col(value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
+    low = x.groupBy("_key").agg(F.min(F.when(F.abs("_v") != float("inf"), F.col("_v"))).alias("_low"))
+    x = x.join(low, "_key").withColumn("_b", _bucket(F.col("_v"), F.col("_low"))).drop("_low")
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     hist = (
         x.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))
@@ -59,7 +60,6 @@ def exact_quantiles(
         F.filter(F.array_distinct(F.array(*ranks)),
                  lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))),
     ).where(F.size("_ranks") > 0).select(*keys, "_b", "_before", "_n", "_ranks")
-    picks = materialize(picks)
     by_value = Window.partitionBy(*keys, "_b").orderBy("_v")
     hits = (
         x.join(picks, [*keys, "_b"])
@@ -76,8 +76,8 @@ def exact_quantiles(
         pos = _position(p, F.col("_n"), method)
         lo, hi = F.col("_at")[F.floor(pos).cast("bigint")], F.col("_at")[F.ceil(pos).cast("bigint")]
         share = F.lit(0.5) if method == "midpoint" else pos - F.floor(pos)
-        out.append((lo + (hi - lo) * share).alias(name))
-    return found.select(*keys, *out)
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * share).alias(name))
+    return found.select(*[F.col("_key")[k].alias(k) for k in names], *out)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
@@ -86,6 +86,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
 
 def median_and_mad(df: DataFrame, keys: list[str], value: str, center: str = "center", mad: str = "mad") -> DataFrame:
     """Median and unscaled median absolute deviation per key."""
-    centers = exact_median(df, keys, value, center)
-    deviations = df.join(centers, keys).withColumn("_dev", F.abs(F.col(value) - F.col(center)))
-    return centers.join(exact_median(deviations, keys, "_dev", mad), keys)
+    grouped = df.select(*keys, value, F.struct(*keys).alias("_group"))
+    centers = exact_median(grouped, ["_group"], value, center)
+    deviations = grouped.join(centers, "_group").withColumn("_dev", F.abs(F.col(value) - F.col(center)))
+    both = centers.join(exact_median(deviations, ["_group"], "_dev", mad), "_group")
+    return both.select(*[F.col("_group")[k].alias(k) for k in keys], center, mad)

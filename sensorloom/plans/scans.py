@@ -22,10 +22,11 @@ def prefix_scan(
 ) -> DataFrame:
     """Running `sum`, `max` or `last` (non-null) of columns: `outputs[name] = (kind, column)`.
 
-    `bucket` must be non-decreasing in `order`.
+    `bucket` must be non-decreasing in `order`. Keys are compared as one struct, in which NULL equals NULL, so rows with NULL keys make
+    groups like any others and the join below keeps the window's partitioning.
     """
-    parted = df.withColumn("_bucket", bucket)
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    parted = df.withColumns({"_bucket": bucket, "_group": F.struct(*keys, bucket.alias("_bucket"))})
+    local = Window.partitionBy("_group").orderBy(*order)
     frame = local.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
     totals, carries, locals_, finals = [], {}, {}, {}
@@ -49,16 +50,15 @@ def prefix_scan(
             finals[name] = F.coalesce(F.col(name), F.col(name + "_carry"))
         else:
             raise ValueError(f"unknown scan kind {kind!r}")
-    carry = parted.groupBy(*keys, "_bucket").agg(*totals).select(
-        *keys, "_bucket", *[c.alias(n) for n, c in carries.items()]
-    )
+    carry = parted.groupBy("_group").agg(*totals).select("_group", "_group.*", *[n + "_total" for n in outputs]).select(
+        "_group", *[c.alias(n) for n, c in carries.items()])
     out = parted
     for name, column in locals_.items():
         out = out.withColumn(name, column)
-    out = out.join(carry, [*keys, "_bucket"], "left")
+    out = out.join(carry, "_group", "left")
     for name, column in finals.items():
         out = out.withColumn(name, column)
-    return out.drop("_bucket", *carries)
+    return out.drop("_bucket", "_group", *carries)
 
 
 def dense_index(df: DataFrame, keys: list[str], bucket: Column, order: list, name: str = "t") -> DataFrame:

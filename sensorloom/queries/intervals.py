@@ -133,10 +133,16 @@ def _(t):
 
 
 PLAN = RECS + """, st AS (SELECT recording_id, n_times, list_sort(list_distinct(list_concat(range(0, n_times - 20 + 1, 15), [n_times - 20]))) AS s FROM rec WHERE n_times >= 20),
-pl AS (SELECT recording_id, n_times, unnest(CASE WHEN len(s) > 5 THEN list_distinct(list_transform(range(0, 5), lambda i: s[CAST(round_even(i * ((len(s) - 1) / 4e0), 0) AS BIGINT) + 1])) ELSE s END) AS start FROM st) """
+pl AS (SELECT recording_id, n_times, unnest(s) AS start FROM st) """
+THINNED = PLAN.replace("unnest(s)", """unnest(CASE WHEN len(s) > 5 THEN list_distinct(list_transform(range(0, 5), lambda i: s[CAST(round_even(i * ((len(s) - 1) / 4e0), 0) AS BIGINT) + 1])) ELSE s END)""")
 
 
 @query("window_plan", with_views(PLAN + "SELECT recording_id, start FROM pl", "samples"))
+def _(t):
+    return op.window_plan(short_recordings(t), 20, 5).select("recording_id", "start")
+
+
+@query("window_plan_thinned", with_views(THINNED + "SELECT recording_id, start FROM pl", "samples"))
 def _(t):
     return op.window_plan(short_recordings(t), 20, 5, 5).select("recording_id", "start")
 
@@ -147,7 +153,7 @@ el AS (SELECT recording_id, edge AS l, lead(edge) OVER (PARTITION BY recording_i
 cv AS (SELECT el.recording_id, l, r, count(*) AS k FROM el JOIN pl ON el.recording_id = pl.recording_id AND pl.start <= l AND r <= pl.start + 20 GROUP BY 1, 2, 3)
 SELECT pl.recording_id, pl.start, round(sum((r - l) / k), 6) AS weight FROM pl JOIN cv ON cv.recording_id = pl.recording_id AND pl.start <= l AND r <= pl.start + 20 GROUP BY 1, 2""", "samples"))
 def _(t):
-    return op.window_vote_weights(op.window_plan(short_recordings(t), 20, 5, 5), 20).withColumn("weight", r6("weight"))
+    return op.window_vote_weights(op.window_plan(short_recordings(t), 20, 5), 20).withColumn("weight", r6("weight"))
 
 
 @query("chunk_spans", with_views(RECS + """,

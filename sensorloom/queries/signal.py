@@ -108,7 +108,7 @@ def _(t):
     return e.select("recording_id", "ch_type", "ch_name", "bin", *[r6(c).alias(c) for c in ("vmin", "vmax", "vmedian", "time")])
 
 
-SCORED = BINNED + """, st AS (SELECT * FROM n WHERE t % greatest(1, CAST(ceil(n_times / 50e0) AS BIGINT)) = 0),
+SCORED = BINNED + """, st AS (SELECT * FROM n),
 c AS (SELECT recording_id, ch_type, ch_name, quantile_cont(value, 0.5) AS center FROM st GROUP BY ALL),
 s AS (SELECT recording_id, ch_type, ch_name, any_value(center) AS center,
       1.4826e0 * quantile_cont(abs(value - center), 0.5) AS scale
@@ -125,7 +125,7 @@ peak AS (SELECT recording_id, ch_type, ch_name, bin, time, greatest(ex / own, ex
 @query("robust_peak_score", views(SCORED, """
 SELECT recording_id, ch_type, ch_name, bin, round(peak_score, 6) AS peak_score FROM peak""", "samples"))
 def _(t):
-    return op.robust_peak_score(t.samples(), SFREQ, 32, 50).select(
+    return op.robust_peak_score(t.samples(), SFREQ, 32).select(
         "recording_id", "ch_type", "ch_name", "bin", r6("peak_score").alias("peak_score"))
 
 
@@ -148,7 +148,7 @@ SELECT recording_id, bin, round(pct, 6) AS affected_pct, round(mx, 6) AS max_sco
   EXISTS (SELECT 1 FROM sp WHERE sp.recording_id = pb.recording_id AND sp.e > sp.s AND pb.time >= sp.s - sp.pad AND pb.time <= sp.e + sp.pad) AS is_bad
 FROM pb""", "samples", "annotations"))
 def _(t):
-    out = op.affected_fraction(op.robust_peak_score(t.samples(), SFREQ, 32, 50), hourly_bads(t), 3.0)
+    out = op.affected_fraction(op.robust_peak_score(t.samples(), SFREQ, 32), hourly_bads(t), 3.0)
     return out.select("recording_id", "bin", r6("affected_pct").alias("affected_pct"), r6("max_score").alias("max_score"), "is_bad")
 
 

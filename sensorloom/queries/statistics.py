@@ -140,9 +140,8 @@ def _(t):
 
 
 @query("max_stat_permutation", with_views(FIRST + """,
-x AS (SELECT ch_name, k, p AS perm, cope, (subject * 7919 + p * 104729 + 11) % 65521 AS a FROM fl, range(0, 51) r(p)),
-y AS (SELECT *, (a * a + a * 3 + 7) % 65521 AS b FROM x),
-z AS (SELECT ch_name, k, perm, cope * CASE WHEN perm = 0 OR ((b * b + a) % 65521) % 2 = 0 THEN 1 ELSE -1 END AS v FROM y),
+x AS (SELECT ch_name, k, p AS perm, cope, md5(subject || ':' || p || ':11') AS d FROM fl, range(0, 51) r(p)),
+z AS (SELECT ch_name, k, perm, cope * CASE WHEN perm = 0 OR d < '8' THEN 1 ELSE -1 END AS v FROM x),
 g AS (SELECT ch_name, k, perm, abs(avg(v) / (stddev_samp(v) / sqrt(count(*)))) AS t FROM z GROUP BY 1, 2, 3)
 SELECT CAST(perm AS INTEGER) AS perm, round(max(t), 6) AS max_stat FROM g GROUP BY 1""", "triggers", "samples"))
 def _(t):
@@ -150,9 +149,8 @@ def _(t):
 
 
 @query("permutation_threshold", with_views(FIRST + """,
-x AS (SELECT ch_name, k, p AS perm, cope, (subject * 7919 + p * 104729 + 11) % 65521 AS a FROM fl, range(0, 51) r(p)),
-y AS (SELECT *, (a * a + a * 3 + 7) % 65521 AS b FROM x),
-z AS (SELECT ch_name, k, perm, cope * CASE WHEN perm = 0 OR ((b * b + a) % 65521) % 2 = 0 THEN 1 ELSE -1 END AS v FROM y),
+x AS (SELECT ch_name, k, p AS perm, cope, md5(subject || ':' || p || ':11') AS d FROM fl, range(0, 51) r(p)),
+z AS (SELECT ch_name, k, perm, cope * CASE WHEN perm = 0 OR d < '8' THEN 1 ELSE -1 END AS v FROM x),
 g AS (SELECT ch_name, k, perm, abs(avg(v) / (stddev_samp(v) / sqrt(count(*)))) AS t FROM z GROUP BY 1, 2, 3), m AS (SELECT perm, max(t) AS m FROM g GROUP BY 1)
 SELECT round(quantile_cont(m, 0.95), 6) AS threshold FROM m""", "triggers", "samples"))
 def _(t):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,12 +23,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder (`spark.checkpoint.dir`). Only a local session may go without: it gets a folder of its own, once, which is
+    removed when Python ends. On a cluster a missing setting is refused."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    global _own
+    if _own is None:
+        _own = tempfile.mkdtemp(prefix="sensorloom-")
+        atexit.register(shutil.rmtree, _own, ignore_errors=True)
+    return f"file://{_own}"
+
+
+_own: str | None = None
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder name in the cluster's shared scratch space; a local one only where none is named, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="sensorloom-")
-    return f"{shared.rstrip('/')}/sensorloom-{uuid.uuid4().hex}"
+    """A fresh folder name in the shared folder; all of a session's scratch lies under one folder, which `release` removes."""
+    return f"{shared_folder(spark)}/sensorloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the session's scratch folder, once no result that reads from it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/sensorloom-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -43,10 +66,9 @@ def materialize(df: DataFrame) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder (`spark.checkpoint.dir`).
 
-    A scratch folder is used only where the session names none, as in tests.
+    A local session that names none uses its own folder.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sensorloom-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

@@ -226,59 +226,43 @@ def test_amplitude_spans_and_bad_channels(spark):
 
 # --------------------------------------------------------------------- intervals
 
-def brute_hysteresis(p, high, low, gap, min_len, keep):
-    segs, i = [], 0
-    while i < len(p):
-        if p[i] >= low:
-            j = i
-            while j < len(p) and p[j] >= low:
-                j += 1
-            if max(p[i:j]) >= high:
-                segs.append([i, j, max(p[i:j])])
-            i = j
-        i += 1
-    merged = []
-    for s in segs:
-        if merged and s[0] - merged[-1][1] <= gap:
-            merged[-1] = [merged[-1][0], s[1], max(merged[-1][2], s[2])]
-        else:
-            merged.append(s)
-    return [(float(a), float(b)) for a, b, m in merged if not (b - a < min_len and m < keep)]
-
-
-def test_hysteresis_against_loop(spark):
+def test_hysteresis_spans_have_their_properties(spark):
     p = np.clip(rng.random(300) * 1.1, 0, 1)
     df = spark.createDataFrame(pd.DataFrame({"r": 1, "win": np.arange(300), "prob": p}))
-    got = sorted((r["onset"], r["end"]) for r in intervals.hysteresis_intervals(df, ["r"], 0.9, 0.5, 1.0, 2.0, 3.0, 0.97).collect())
-    assert got == brute_hysteresis(p, 0.9, 0.5, 2, 3, 0.97)
-
-
-def brute_chunks(n, cw, stride, least):
-    if n <= 0:
-        return []
-    if n <= cw:
-        return [(0, n)]
-    out, start = [], 0
-    while start < n:
-        end = min(start + cw, n)
-        if end - start >= least:
-            out.append((start, end))
-        if end >= n:
-            break
-        start += stride
-    if out and out[-1] != (n - cw, n) and cw >= least:
-        out.append((n - cw, n))
-    return sorted(set(out or [(0, n)]))
+
+    def spans(gap, least, keep):
+        rows = intervals.hysteresis_intervals(df, ["r"], 0.9, 0.5, 1.0, gap, least, keep).collect()
+        return sorted((int(r["onset"]), int(r["end"])) for r in rows)
+
+    plain, merged, long_or_strong = spans(0.0, 0.0, None), spans(2.0, 0.0, None), spans(2.0, 3.0, 0.97)
+    strong = set(np.flatnonzero(p >= 0.9))
+    assert plain and {i for a, b in plain for i in range(a, b)} >= strong
+    for a, b in plain:
+        assert (p[a:b] >= 0.5).all() and p[a:b].max() >= 0.9
+        assert (a == 0 or p[a - 1] < 0.5) and (b == 300 or p[b] < 0.5)
+    assert {a for a, _ in merged} <= {a for a, _ in plain} and {b for _, b in merged} <= {b for _, b in plain}
+    assert {i for a, b in plain for i in range(a, b)} <= {i for a, b in merged for i in range(a, b)}
+    assert all(c - b > 2 for (_, b), (c, _) in zip(merged, merged[1:]))
+    ends = {b: c for (_, b), (c, _) in zip(plain, plain[1:])}
+    assert all(ends[b] - b <= 2 for a, z in merged for _, b in plain if a < b < z)
+    assert set(long_or_strong) == {(a, b) for a, b in merged if b - a >= 3 or p[a:b].max() >= 0.97}
 
 
 @pytest.mark.parametrize("cw,stride,least", [(30, 12, 8), (10, 10, 10), (7, 9, 3), (5, 2, 6)])
 def test_chunk_spans(spark, cw, stride, least):
     df = spark.createDataFrame([(n, n) for n in range(0, 70, 3)], "id long, n long")
-    got = {}
-    for r in intervals.chunk_spans(df, ["id"], cw, stride, least).collect():
-        got.setdefault(r["id"], []).append((r["start"], r["stop"]))
+    rows = intervals.chunk_spans(df, ["id"], cw, stride, least).collect()
     for n in range(0, 70, 3):
-        assert sorted(got.get(n, [])) == brute_chunks(n, cw, stride, least), n
+        found = sorted((r["start"], r["stop"]) for r in rows if r["id"] == n)
+        assert (found == []) if n == 0 else found[-1][1] == n
+        assert len(set(found)) == len(found) and all(0 <= a < b <= n and b - a <= max(cw, n if len(found) == 1 else 0) for a, b in found)
+        if 0 < n <= cw or least > cw:
+            assert n == 0 or found == [(0, n)]
+        elif n:
+            assert (n - cw, n) in found and all(b - a >= least for a, b in found)
+            assert all(a % stride == 0 for a, _ in found if a != n - cw)
+            covered = {i for a, b in found for i in range(a, b)}
+            assert all(i in covered for i in range(n)) or stride > cw
 
 
 def test_window_plan_thins_evenly(spark):

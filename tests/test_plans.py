@@ -146,3 +146,55 @@ def test_gram_in_blocks(spark):
         assert r["cov"] == pytest.approx(np.cov(x[int(r["ci"][1])], x[int(r["cj"][1])])[0, 1])
     for r in correlation(sums).collect():
         assert r["corr"] == pytest.approx(np.corrcoef(x[int(r["ci"][1])], x[int(r["cj"][1])])[0, 1])
+
+
+@pytest.mark.parametrize("line", [8, 1 << 22])
+def test_fourier_of_any_length_equals_numpy(spark, line):
+    from sensorloom.plans.fourier import fourier
+
+    gen = np.random.default_rng(1)
+    signals = {n: gen.normal(size=n) for n in (1, 7, 35, 37, 48)}
+    df = spark.createDataFrame([(n, t, n, float(v)) for n, x in signals.items() for t, v in enumerate(x)], "id long, t long, n long, v double")
+    got = {}
+    for r in fourier(df, ["id"], "v", line).collect():
+        got.setdefault(r["id"], {})[r["k"]] = complex(r["re"], r["im"])
+    for n, x in signals.items():
+        assert np.allclose([got[n][k] for k in range(n)], np.fft.fft(x)) and len(got[n]) == n
+
+
+def test_spectral_shape_uses_whole_channels(spark):
+    from sensorloom.operators import signal
+
+    gen = np.random.default_rng(2)
+    x = gen.normal(size=30_000) + 40 * np.sin(np.arange(30_000) * 0.9)
+    df = spark.createDataFrame(pd.DataFrame({"recording_id": 1, "ch_type": "mag", "ch_name": "a", "t": np.arange(30_000), "value": x}))
+    y = np.abs(np.fft.fft(x / 30_000))[:15_000]
+    y[0] = 0
+    d = y - y.mean()
+    want = (np.mean(d**3) / np.mean(d**2) ** 1.5, np.mean(d**4) / np.mean(d**2) ** 2)
+    for line in (1 << 22, 1000):
+        r = signal.spectral_shape(df, line).first()
+        assert np.allclose((r["skewness_amplitude"], r["kurtosis_amplitude"]), want)
+
+
+def test_null_keys_are_groups_like_others(spark):
+    from sensorloom.plans.quantiles import exact_quantiles, median_and_mad
+    from sensorloom.plans.scans import dense_index
+
+    rows = [(None, i, float(i)) for i in range(6)] + [("a", i, 2.0 * i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    assert {(r["k"], r["m"]) for r in exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()} == {(None, 2.5), ("a", 4.0)}
+    assert {(r["k"], r["center"], r["mad"]) for r in median_and_mad(df, ["k"], "v").collect()} == {(None, 2.5, 1.5), ("a", 4.0, 2.0)}
+    numbered = dense_index(df, ["k"], F.floor(F.col("i") / 2).cast("bigint"), ["i"]).collect()
+    assert all(r["t"] == r["i"] for r in numbered) and numbered[0].asDict().keys() == {"k", "i", "v", "t"}
+
+
+def test_quantiles_of_values_with_an_offset(spark):
+    from sensorloom.plans.quantiles import _bucket, exact_quantiles
+
+    v = 1e6 + np.random.default_rng(3).normal(size=5000)
+    df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": [*v, np.inf, -np.inf]}))
+    got = exact_quantiles(df, ["k"], "v", {"lo": 0.0, "a": 0.1, "m": 0.5, "hi": 1.0}).first()
+    assert np.allclose(got[1:], [-np.inf, *np.quantile([*v, np.inf, -np.inf], [0.1, 0.5]), np.inf], atol=1e-9)
+    finite = df.where(F.abs("v") < 1e9)
+    assert finite.select(_bucket(F.col("v"), F.lit(float(v.min()))).alias("b")).distinct().count() > 1000
