@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..session import scratch_folder
 
 ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, 32 << 20
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,11 @@ def split_number(id_column: str, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(parts)), F.lit(0)).cast("int")
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their exact names, also where a name has dots."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
@@ -80,18 +86,20 @@ def add_columns(docs: DataFrame, text_col: str, start: Callable[[], Callable[[li
     """
     arrow_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
-    rows = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
+    names = keep if text_col in keep else [*keep, text_col]
+    at, plain = names.index(text_col), [f"c{i}" for i in range(len(keep))]
+    rows = docs.select(*quoted(names)).toDF(*[f"c{i}" for i in range(len(names))])
     types_ = {"string": pa.string(), "double": pa.float64(), "long": pa.int64(), "int": pa.int32()}
-    schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items())])
+    schema = T.StructType([*rows.select(*plain).schema.fields, *(T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = start()
         for b in batches:
-            made = score(column_bytes(b, text_col))
+            made = score(column_bytes(b, f"c{at}"))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *(pa.array(made[n], types_[t]) for n, t in fields.items())],
-                                             names=[*keep, *fields])
+                                             names=[*plain, *fields])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*keep, *fields)
 
 
 def record(arrays: dict, types_: dict[str, pa.DataType]) -> pa.RecordBatch:
@@ -102,6 +110,19 @@ def slices(n: int, size: int) -> Iterator[slice]:
     return (slice(i, min(n, i + size)) for i in range(0, n, size))
 
 
+class Places(dict):
+    """Place of each word; a word that is looked up for the first time gets the next place and is listed in `new`."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class WordIds:
     """Token ids of words, each word encoded once per worker; ids of a text are gathered from the pool of its words.
 
@@ -110,17 +131,20 @@ class WordIds:
     when it holds `limit` words, which bounds its memory and changes no result.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000, group: int = 256):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.limit, self.group = Tokenizer.from_file(path), limit, group
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(1 + max(vocabulary.values()), bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = Places()
         self.start, self.length, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(4096, np.uint16), 0
 
     def _grow(self, name: str, need: int) -> None:
@@ -130,22 +154,53 @@ class WordIds:
             new[: len(old)] = old
             setattr(self, name, new)
 
-    def _learn(self, words: list[bytes]) -> None:
-        for part in slices(len(words), 20_000):
-            some = words[part]
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
-            first, lengths = len(self.index), np.fromiter(map(len, ids), np.int64, len(ids))
-            total = int(lengths.sum())
-            for name, need in (("start", first + len(some)), ("length", first + len(some)), ("pool", self.used + total)):
-                self._grow(name, need)
-            self.start[first : first + len(some)] = self.used + np.cumsum(lengths) - lengths
-            self.length[first : first + len(some)] = lengths
-            self.pool[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint16, total)
-            self.used += total
-            self.index.update(zip(some, range(first, first + len(some))))
+    def _put(self, places: list[int], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self._grow("pool", self.used + len(ids))
+        self.start[places] = self.used + np.cumsum(lengths) - lengths
+        self.length[places] = lengths
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _encode(self, places: list[int], words: list[str]) -> None:
+        """Words of letters alone are encoded in groups, as each of them ends with the one closing token of its group of ids; if the
+        closing tokens of a group do not match its words, and for other words, each word is encoded by itself."""
+        alone = [i for i, w in enumerate(words) if not w.isalpha()]
+        letters = [i for i, w in enumerate(words) if w.isalpha()]
+        groups = [letters[part] for part in slices(len(letters), self.group)]
+        for found, group in zip(self.tokenizer.encode_batch_fast([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False), groups):
+            ids = np.array(found.ids, np.uint16)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                self._put([places[i] for i in group], np.diff(ends, prepend=0), ids)
+            else:
+                alone += group
+        for part in slices(len(alone), 20_000):
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast([words[i] for i in alone[part]], add_special_tokens=False)]
+            self._put([places[i] for i in alone[part]], np.fromiter(map(len, ids), np.int64, len(ids)), np.array([i for x in ids for i in x], np.uint16))
+
+    def _learn(self) -> None:
+        """Encode the new words. Closing ASCII punctuation is a token run of its own after an ASCII letter or digit, so such a word takes the
+        ids of its stem and of its punctuation, which are often known."""
+        index, new = self.index, self.index.new
+        first = len(index) - len(new)
+        whole, joined, both = [], [], []
+        for i, w in enumerate(new):  # grows while stems are looked up
+            stem = w.rstrip(PUNCTUATION)
+            if len(stem) < len(w) and stem[-1:].isalnum() and b"<|" not in w:
+                joined.append(first + i)
+                both += (index[stem], index[w[len(stem) :]])
+            else:
+                whole.append(i)
+        for name in ("start", "length"):
+            self._grow(name, len(index))
+        for part in slices(len(whole), 50_000):
+            self._encode([first + i for i in whole[part]], [new[i].decode() for i in whole[part]])
+        if joined:
+            self._put(joined, self.length[both].astype(np.int64).reshape(-1, 2).sum(axis=1), self.gather(np.array(both)))
+        new.clear()
 
     def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Index of each word of the texts, and the number of words of each text. A special token's spelling counts
+        """Place of each word of the texts, and the number of words of each text. A special token's spelling counts
         only as it is written, so a text that may hold one keeps its case."""
         flat: list[bytes] = []
         counts = np.zeros(len(texts), np.int64)
@@ -155,10 +210,10 @@ class WordIds:
             flat += found
         if len(self.index) > self.limit:
             self.clear()
-        new = [w for w in dict.fromkeys(flat) if w not in self.index]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat)), counts
+        places = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        if self.index.new:
+            self._learn()
+        return places, counts
 
     def gather(self, words: np.ndarray) -> np.ndarray:
         lengths = self.length[words].astype(np.int64)
