@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, arrow_batches, column_bytes, record, shipped, split_number, text_bytes
+from .common import add_columns, arrow_batches, column_bytes, record, shipped, split_number, text_bytes, written
 
 BUCKETS = 1 << 18
 SAMPLE = 6000
@@ -125,58 +125,70 @@ def logistic(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float
     return max(a, 0.1), b
 
 
-def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Documents of each class that have each bucket, over all labelled rows (columns text, label), summed within tasks first; and class totals."""
+def counts_and_sample(rows: DataFrame, shares: list[float]) -> DataFrame:
+    """One pass over all labelled rows (doc_id, text, label): documents of each class (k) that have each bucket, summed within tasks; and the texts
+    of a share of each class, chosen by a hash of the id, with a fold of 0 to 3. Bucket BUCKETS counts all documents of a class."""
+    kinds = {"k": pa.int32(), "bucket": pa.int32(), "n": pa.int64(), "sample": pa.binary(), "fold": pa.int32()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros((2, BUCKETS + 1), np.int64), np.zeros(BUCKETS, bool)
         for b in batches:
-            for text, label in zip(column_bytes(b, "text"), b.column(1).to_pylist()):
+            texts, labels, draws, folds = column_bytes(b, "text"), *(b.column(i).to_pylist() for i in (1, 2, 3))
+            for text, label in zip(texts, labels):
                 total[label, indicators(text, seen)] += 1
                 total[label, BUCKETS] += 1
+            some = [i for i, d in enumerate(draws) if d < shares[labels[i]] * 1_000_000]
+            if some:
+                yield record({"k": [labels[i] for i in some], "bucket": [None] * len(some), "n": [None] * len(some), "sample": [texts[i] for i in some],
+                              "fold": [folds[i] for i in some]}, kinds)
         k, bucket = np.nonzero(total)
-        yield record({"k": k, "bucket": bucket, "n": total[k, bucket]}, {"k": pa.int32(), "bucket": pa.int32(), "n": pa.int64()})
+        yield record({"k": k, "bucket": bucket, "n": total[k, bucket], "sample": [None] * len(k), "fold": [None] * len(k)}, kinds)
 
-    found = rows.mapInArrow(run, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((2, BUCKETS + 1))
-    out[found.k, found.bucket] = found.n
-    return out[:, :BUCKETS], out[:, BUCKETS]
+    drawn = rows.select("text", "label", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(1_000_000)).alias("draw"),
+                        F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(4)).cast("int").alias("fold"))
+    return drawn.mapInArrow(run, "k int, bucket int, n long, sample binary, fold int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", label_col: str = "quality",
         sample: int = SAMPLE) -> Model:
     """Learn from the labelled rows where `training` holds: class counts from all of them, the hinge-loss weights from about `sample` of
-    them (at most twice that reach the driver), chosen by a hash of the id, up to half of them of each class."""
+    them (at most twice that reach the driver), chosen by a hash of the id, up to half of them of each class.
+
+    Texts meet their labels in a shuffled join whatever the size of the labels, so the plan is the same at any scale.
+    """
     arrow_batches(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min(label_col).cast("int").alias("label"))
-    rows = docs.where(training).join(known, F.col(id_col).cast("long") == F.col("__id")).select(
-        F.col("__id").alias("doc_id"), text_bytes().alias("text"), "label")
-    counts, totals = bucket_counts(rows.select("text", "label"))
+    rows = docs.where(training).select(F.col(id_col).cast("long").alias("doc_id"), text_bytes().alias("text")).join(
+        known.hint("shuffle_hash"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
+    labelled = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    shares = [min(1.0, sample / 2 / max(labelled.get(k, 0), 1)) for k in (0, 1)]
+    found = written(counts_and_sample(rows, shares))
+    sums = found.where("bucket is not null").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros((2, BUCKETS + 1))
+    table[sums.k, sums.bucket] = sums.n
+    counts, totals = table[:, :BUCKETS], table[:, BUCKETS]
     p, q = counts[1] + 1, counts[0] + 1
     ratio = np.log((p / (totals[1] + 2)) / (q / (totals[0] + 2)))
     ratio[counts.sum(axis=0) == 0] = 0
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(1_000_000))
-    share = [max(1, round(1_000_000 * min(1.0, sample / 2 / max(totals[k], 1)))) for k in (0, 1)]
-    some = rows.where(draw < F.when(F.col("label") == 0, share[0]).otherwise(share[1])).select(
-        "text", "label", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(4)).cast("int").alias("fold")).limit(2 * sample).toPandas()
-    y = np.where(some.label.to_numpy() == 1, 1, -1)
+    some = found.where("sample is not null").select("sample", "k", "fold").limit(2 * sample).toPandas()
+    y = np.where(some.k.to_numpy() == 1, 1, -1)
     if len(set(y.tolist())) < 2:
         return Model(ratio, np.zeros(BUCKETS), 0.0, 1.0, float(np.log((totals[1] + 1) / (totals[0] + 1))))
     seen = np.zeros(BUCKETS, bool)
-    found = [indicators(bytes(t), seen) for t in some.text]
+    marks = [indicators(bytes(t), seen) for t in some["sample"]]
     fold, margins = some.fold.to_numpy(), np.zeros(len(y))
     for k in range(4):
         use, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
         if len(rest) and len(set(y[use].tolist())) == 2:
-            m = Model(ratio, *dual_coordinate_descent([found[i] for i in use], ratio, y[use]), 1.0, 0.0)
-            margins[rest] = [m.margin(found[i]) for i in rest]
-    w, bias = dual_coordinate_descent(found, ratio, y)
+            m = Model(ratio, *dual_coordinate_descent([marks[i] for i in use], ratio, y[use]), 1.0, 0.0)
+            margins[rest] = [m.margin(marks[i]) for i in rest]
+    w, bias = dual_coordinate_descent(marks, ratio, y)
     slope, shift = logistic(margins, y)
-    taken = np.array([min(1.0, s / 1_000_000) for s in share])
-    return Model(ratio, w, bias, slope, shift + float(np.log(taken[0] / taken[1])))
+    return Model(ratio, w, bias, slope, shift + float(np.log(shares[0] / shares[1])))
 
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs` with quality_score of every row, from its whole text.
+    """`docs` with __quality_score of every row, from its whole text.
 
     Null and empty texts have no n-grams and get the model's score of its bias alone. Repeated rows give a row each, null ids are
     passed on, equal texts have equal scores. Empty input gives no rows; extra columns pass through.
@@ -185,15 +197,15 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
 
     def start():
         m, seen = sent(), np.zeros(BUCKETS, bool)
-        return lambda texts: {"quality_score": m.score(np.array([m.margin(indicators(t, seen)) for t in texts]))}
+        return lambda texts: {"__quality_score": m.score(np.array([m.margin(indicators(t, seen)) for t in texts]))}
 
-    return add_columns(docs, text_col, start, {"quality_score": "double"}, keep)
+    return add_columns(docs, text_col, start, {"__quality_score": "double"}, keep)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row; see `annotate`."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return annotate(rows, model, "text", ["doc_id"]).withColumnRenamed("quality_score", "score")
+    return annotate(rows, model, "text", ["doc_id"]).toDF("doc_id", "score")
 
 
 def training_rows(id_col: str = "doc_id") -> Column:
