@@ -15,8 +15,12 @@ from sensorloom.llm import language_id, packing, quality, simhash
 from sensorloom.llm.common import split_number, table, written
 from sensorloom.llm.queries import send_by_value, vocabulary
 
-#: A document is rejected below these: share of its main language among its words; quality score.
-LEAST_LANGUAGE, LEAST_QUALITY = 0.5, 0.3
+#: A document is rejected below these: share of its main language among its words (short texts of one language may have little more
+#: than an even share); quality score.
+LEAST_LANGUAGE, LEAST_QUALITY = 0.3, 0.3
+#: Near-duplicates: fingerprints of the distinct words within 6 bits. That is where texts whose five-word shingles are similar by 0.8 lie:
+#: such shingles themselves differ in some ten bits, more than blocks can tell from chance.
+NEAR = {"shingle": 1, "distinct": True, "max_distance": 6, "blocks": 9}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +38,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, **NEAR)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

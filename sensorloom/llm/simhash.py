@@ -21,8 +21,8 @@ from .common import arrow_batches, column_bytes, record, text_bytes, written
 BITS = 64
 
 
-def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """Majority bits of the XXH64 (seed 42) of all word shingles, repeats included; zero for a text without words."""
+def fingerprint(text: bytes, shingle: int = 3, distinct: bool = False) -> int:
+    """Majority bits of the XXH64 (seed 42) of all word shingles, repeats included unless `distinct`; zero for a text without words."""
     import xxhash
 
     words = text.lower().split()
@@ -30,6 +30,9 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
         return 0
     n = max(1, len(words) - shingle + 1)
     parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    if distinct:
+        parts = dict.fromkeys(parts)
+        n = len(parts)
     h = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in parts), np.uint64, n)
     total = np.zeros(BITS, np.int64)
     for i in range(0, n, 65536):
@@ -37,13 +40,13 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distinct: bool = False) -> DataFrame:
     """(doc_id, text_key, fp): fp as a signed long, text_key a hash that tells apart rows of equal id."""
     arrow_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in column_bytes(b, "text")], np.uint64).view(np.int64)
+            fps = np.array([fingerprint(t, shingle, distinct) for t in column_bytes(b, "text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=["doc_id", "text_key", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
@@ -210,17 +213,17 @@ def hex16(column: Column) -> Column:
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3,
-            blocks: int = 6, limit: int = 65536) -> DataFrame:
+            blocks: int = 6, limit: int = 65536, distinct: bool = False) -> DataFrame:
     """(doc_id, text_key, fp, root, component_id) for every row; root: a fingerprint that stands for the component."""
-    rows = written(fingerprints(docs, id_col, text_col, shingle))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    root_of = components(similar_links(distinct.select("fp"), max_distance, blocks, limit))
-    member = distinct.join(root_of, F.col("fp") == F.col("node")).select("root", "fp", "first_id")
+    rows = written(fingerprints(docs, id_col, text_col, shingle, distinct))
+    every = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    root_of = components(similar_links(every.select("fp"), max_distance, blocks, limit))
+    member = every.join(root_of, F.col("fp") == F.col("node")).select("root", "fp", "first_id")
     lowest = member.groupBy("root").agg(F.min("first_id").alias("lowest"))
     in_groups = member.join(lowest, "root").select("fp", "root", "lowest")
-    ids = distinct.join(in_groups, "fp", "left").select(
+    ids = every.join(in_groups, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("lowest", "first_id").alias("component_id"))
-    return rows.join(ids, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+    return rows.join(written(ids), "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -241,4 +244,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     winners = groups.groupBy("root").agg(F.min(order).alias("w")).select("w.kept_id", "w.kept_key")
     marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__key": F.xxhash64(F.col(text_col))})
     kept = marked.join(winners, F.col("__id").eqNullSafe(F.col("kept_id")) & (F.col("__key") == F.col("kept_key")), "left_semi")
-    return kept.dropDuplicates(["__id", "__key"]).select(*docs.columns)
+    return kept.dropDuplicates(["__id", "__key"]).drop("__id", "__key")

@@ -112,6 +112,21 @@ def test_large_bucket_is_split_without_losing_links():
     assert parts(direct) == parts(split)
 
 
+def test_distinct_words_find_edited_copies(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    texts = [[rng.choice(words) for _ in range(150)] for _ in range(40)]
+    edited = [[*t[:60], "edited", *t[61:]] for t in texts]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts + edited)], "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(docs, **corpus_pipeline.NEAR).collect()}
+    assert set(range(40)) <= kept and len(kept) <= 42
+    options = {k: v for k, v in corpus_pipeline.NEAR.items() if k != "limit"}
+    fps = {i: simhash.fingerprint(" ".join(t).encode(), 1, True) for i, t in enumerate(texts + edited)}
+    root = roots(sorted(set(fps.values())), 6)
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, **options).collect()}
+    assert found == {i: min(j for j in fps if root[fps[j]] == root[f]) for i, f in fps.items()}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (202, 202)]
     found = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
