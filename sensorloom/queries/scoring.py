@@ -8,6 +8,7 @@ from ..operators import signal
 from ..session import cut_lineage
 from ..sources.bindings import with_views
 from . import query
+from .signal import SPECTRUM, dfa_sql
 
 REF = """, x AS (SELECT unnest([
     {'scope': 'device_category', 'device_type': device_type, 'category': category},
@@ -73,31 +74,37 @@ def _(t):
 
 # ---- recordings of the samples view scored against their own population (the flagship query)
 
-FLAG = """, d AS (SELECT *, abs(value - lag(value) OVER (PARTITION BY recording_id, ch_name ORDER BY t)) AS d FROM samples),
+FLAG = f", {dfa_sql(50)}, " + SPECTRUM.replace("c AS (SELECT", "spc AS (SELECT") + """, d AS (SELECT *, abs(value - lag(value) OVER (PARTITION BY recording_id, ch_name ORDER BY t)) AS d FROM samples),
 ch AS (SELECT recording_id, ch_type, ch_name, max(d) AS m, max(value) - min(value) AS p FROM d GROUP BY ALL),
 w AS (SELECT recording_id, ch_type, quantile_cont(m, 0.95) AS a1, quantile_cont(m, 0.75) AS a2,
   quantile_cont(m, 0.75) - quantile_cont(m, 0.25) AS a3, avg(m) AS a4, quantile_cont(p, 0.95) AS a5 FROM ch GROUP BY 1, 2),
+sp AS (SELECT recording_id, ch_type, avg(sk) AS a6, avg(ku) AS a7 FROM spc GROUP BY 1, 2),
 metrics AS (SELECT recording_id, 'dev' || (recording_id % 2) AS device_type, CASE WHEN recording_id % 3 = 0 THEN 'rest' ELSE 'task' END AS category,
-  u.family AS family, u.dom AS dom, u.rank AS rank, u.value AS value, u.stem || '.' || ch_type || '.' || u.stat AS metric
-  FROM w, unnest([
+  u.family AS family, u.dom AS dom, u.rank AS rank, u.value AS value, CASE WHEN u.stem IN ('max_abs_diff', 'ptp_amp') THEN u.stem || '.' || ch_type || '.' || u.stat ELSE u.family || '.' || ch_type END AS metric
+  FROM (SELECT * FROM w JOIN sp USING (recording_id, ch_type) JOIN dfa USING (recording_id, ch_type)) q, unnest([
     {'rank': 1, 'family': 'max_abs_diff.abs_q95', 'dom': 'Temporal', 'stem': 'max_abs_diff', 'stat': 'abs_q95', 'value': a1},
     {'rank': 2, 'family': 'max_abs_diff.q75', 'dom': 'Temporal', 'stem': 'max_abs_diff', 'stat': 'q75', 'value': a2},
     {'rank': 3, 'family': 'max_abs_diff.iqr', 'dom': 'Temporal', 'stem': 'max_abs_diff', 'stat': 'iqr', 'value': a3},
     {'rank': 4, 'family': 'max_abs_diff.mean', 'dom': 'Temporal', 'stem': 'max_abs_diff', 'stat': 'mean', 'value': a4},
+    {'rank': 5, 'family': 'freq_domain.skewness_amplitude', 'dom': 'Spectral', 'stem': 'freq_domain', 'stat': 'skewness_amplitude', 'value': a6},
+    {'rank': 6, 'family': 'freq_domain.kurtosis_amplitude', 'dom': 'Spectral', 'stem': 'freq_domain', 'stat': 'kurtosis_amplitude', 'value': a7},
+    {'rank': 8, 'family': 'fractal_domain.DFA', 'dom': 'Fractal', 'stem': 'fractal_domain', 'stat': 'DFA', 'value': dfa},
     {'rank': 7, 'family': 'ptp_amp.abs_q95', 'dom': 'Statistical', 'stem': 'ptp_amp', 'stat': 'abs_q95', 'value': a5}]) z(u))""" + REF + CAND + """,
 sc AS (SELECT *, CASE WHEN q95 > q05 THEN 1e0 - least(1e0, greatest(0e0, (value - q05) / (q95 - q05))) END AS score FROM lk),
 fam AS (SELECT recording_id, rank, family, dom, avg(score) * 100 AS family_score, count(score) AS n_components FROM sc GROUP BY 1, 2, 3, 4) """
 
-FAMILIES = [f for f in op.DEFAULT_FAMILIES if f[1].startswith(("max_abs_diff", "ptp_amp"))]
-
-
 def sample_metrics(t):
-    """Metric rows of all recordings. The samples are read once; the small result is kept for the later steps."""
+    """Metric rows of all recordings. The small result is kept for the later steps."""
     channels = signal.channel_metrics(t.samples())
     keys = ["recording_id", "ch_type"]
     diff = signal.summarize_vector(channels, keys, "max_abs_diff", "max_abs_diff")
-    return cut_lineage(diff.unionByName(signal.summarize_vector(channels, keys, "ptp", "ptp_amp")).select(
-        "recording_id", device(), category(), "metric", "value"))
+    shape = signal.spectral_shape(t.samples()).join(signal.segmented_dfa(t.samples(), 50), keys, "full")
+    named = {"freq_domain.skewness_amplitude.": "skewness_amplitude", "freq_domain.kurtosis_amplitude.": "kurtosis_amplitude", "fractal_domain.DFA.": "dfa"}
+    shape = shape.select("recording_id", F.inline(F.array(*[
+        F.struct(F.concat(F.lit(n), F.col("ch_type")).alias("metric"), F.col(c).alias("value")) for n, c in named.items()])))
+    columns = ["recording_id", "metric", "value"]
+    both = diff.unionByName(signal.summarize_vector(channels, keys, "ptp", "ptp_amp")).select(*columns).unionByName(shape.select(*columns))
+    return cut_lineage(both.select("recording_id", device(), category(), "metric", "value"))
 
 
 def device():
@@ -110,7 +117,7 @@ def category():
 
 def scored_components(t):
     metrics = sample_metrics(t)
-    profile = op.family_rows(FAMILIES)
+    profile = op.family_rows()
     wanted = metrics.where(F.exists(F.transform(profile, lambda f: f["metric"]), lambda m: m == F.col("metric")))
     recordings = metrics.select("recording_id", "device_type", "category").distinct()
     return op.component_scores(metrics, recordings, profile, op.build_reference_intervals(wanted))

@@ -55,11 +55,14 @@ def _(t):
     return op.uniform_subsample(t.samples(), 40).select("recording_id", "ch_name", "t", "value")
 
 
-@query("spectral_shape", views(COUNTED, """,
+SPECTRUM = COUNTED + """,
 f AS (SELECT recording_id, ch_type, ch_name, n_times, k, CASE WHEN k = 0 THEN 0e0 ELSE sqrt(pow(sum(value * cos(2 * pi() * ((k * t) % n_times) / n_times)), 2)
   + pow(sum(value * sin(2 * pi() * ((k * t) % n_times) / n_times)), 2)) / n_times END AS y FROM (SELECT *, unnest(range(0, n_times // 2)) AS k FROM n) GROUP BY 1, 2, 3, 4, 5),
 m AS (SELECT *, avg(y) OVER w AS m, stddev_pop(y) OVER w AS s FROM f WINDOW w AS (PARTITION BY recording_id, ch_name)),
-c AS (SELECT recording_id, ch_type, ch_name, avg(pow((y - m) / s, 3)) AS sk, avg(pow((y - m) / s, 4)) AS ku FROM m GROUP BY 1, 2, 3)
+c AS (SELECT recording_id, ch_type, ch_name, avg(pow((y - m) / s, 3)) AS sk, avg(pow((y - m) / s, 4)) AS ku FROM m GROUP BY 1, 2, 3) """
+
+
+@query("spectral_shape", views(SPECTRUM, """
 SELECT recording_id, ch_type, round(avg(sk), 6) AS skewness, round(avg(ku), 6) AS kurtosis FROM c GROUP BY 1, 2""", "samples"))
 def _(t):
     return op.spectral_shape(t.samples()).select(
@@ -83,7 +86,27 @@ def _(t):
     return op.segment_bounds(recordings(t), 3.0)
 
 
-@query("segmented_dfa")
+def dfa_sql(length: int, longest: int = 1000) -> str:
+    """Common table expressions that end in `dfa (recording_id, ch_type, dfa)`: window sizes grow by a fifth from 4 to a tenth of a segment."""
+    sizes, last = ["(4, 0)"], 4
+    while last < longest:
+        need = int(last * 1.2)
+        last = max(need, last + 1)
+        sizes.append(f"({last}, {need})")
+    where = f"CASE WHEN t % {length} = 0 AND t > 0 THEN [t // {length} - 1, t // {length}] ELSE [t // {length}] END"
+    return f"""d0 AS (SELECT recording_id, ch_type, ch_name, t, unnest({where}) AS segment, coalesce(value, 0) AS x FROM samples),
+d1 AS (SELECT *, t - segment * {length} AS i, x - avg(x) OVER g AS d, count(*) OVER g AS n FROM d0 WINDOW g AS (PARTITION BY recording_id, ch_name, segment)),
+d2 AS (SELECT *, sum(d) OVER (PARTITION BY recording_id, ch_name, segment ORDER BY i) AS w FROM d1 WHERE n >= 12),
+d3 AS (SELECT recording_id, ch_type, ch_name, segment, z, sqrt(greatest(0e0, regr_syy(w, i) - regr_slope(w, i) * regr_sxy(w, i)) / z) AS f
+  FROM d2 JOIN (VALUES {', '.join(sizes)}) v(z, need) ON need <= floor(0.1e0 * n) WHERE i // z < n // z GROUP BY recording_id, ch_type, ch_name, segment, z, i // z),
+d4 AS (SELECT recording_id, ch_type, ch_name, segment, z, avg(f) AS f FROM d3 GROUP BY ALL),
+d5 AS (SELECT recording_id, ch_type, ch_name, segment, regr_slope(ln(f), ln(z)) AS a FROM d4 WHERE f > 0 GROUP BY ALL HAVING count(*) >= 2),
+d6 AS (SELECT recording_id, ch_type, ch_name, avg(a) AS a FROM d5 GROUP BY ALL),
+d7 AS (SELECT DISTINCT recording_id, ch_type FROM samples),
+dfa AS (SELECT recording_id, ch_type, avg(a) AS dfa FROM d7 LEFT JOIN d6 USING (recording_id, ch_type) GROUP BY ALL) """
+
+
+@query("segmented_dfa", views(dfa_sql(50), "SELECT recording_id, ch_type, round(dfa, 6) AS dfa FROM dfa", "samples"))
 def _(t):
     return op.segmented_dfa(t.samples(), 50).withColumn("dfa", r6("dfa"))
 
