@@ -79,14 +79,32 @@ def bad_time_by_modality(annotations: DataFrame, recordings: DataFrame) -> DataF
         (F.col("bad_samples") * 100 / F.col("n_times")).alias("bad_percent"))
 
 
-def annotate_break(annotations: DataFrame, min_break: float, bucket_width: float = DAY) -> DataFrame:
-    """Gaps between the end of everything so far and the next annotation that last at least `min_break`."""
-    ends = annotations.withColumn("end", F.col("onset") + F.col("duration"))
+def annotate_break(annotations: DataFrame, min_break: float, bucket_width: float = DAY, lead_in: float = 0.0, lead_out: float = 0.0,
+                   ignore: tuple[str, ...] = (), recordings: DataFrame | None = None) -> DataFrame:
+    """Gaps between the end of everything so far and the next annotation that last at least `min_break`.
+
+    A break starts `lead_in` after the last annotation and ends `lead_out` before the next one. Annotations whose text starts with one of
+    `ignore` (in any case) do not count. With `recordings(recording_id, start, stop)`, gaps at both ends of a recording count too, without
+    a lead at the recording's own end.
+    """
+    if lead_in + lead_out > min_break:
+        raise ValueError("the leads of a break exceed its least length")
+    named = F.lower("description")
+    counted = annotations.where(~F.coalesce(F.array_contains(F.array(*[named.startswith(w.lower()) for w in ignore]), True), F.lit(False))) if ignore else annotations
+    ends = counted.select("recording_id", F.col("onset").cast("double").alias("onset"), (F.col("onset") + F.col("duration")).cast("double").alias("end"), F.lit(0).alias("edge"))
+    if recordings is not None:
+        for edge, at in ((-1, "start"), (1, "stop")):
+            moment = F.col(at).cast("double")
+            ends = ends.unionByName(recordings.select("recording_id", moment.alias("onset"), moment.alias("end"), F.lit(edge).alias("edge")))
+    # whether the furthest end so far is that of an annotation rather than the recording's start
+    ends = ends.withColumn("last", F.struct("end", (F.col("edge") == 0).alias("inner")))
     bucket = F.floor(F.col("onset") / F.lit(bucket_width)).cast("bigint")
-    seen = prefix_scan(ends, ["recording_id"], bucket, ["onset", "end"], {"reach": ("max", "end")}, inclusive=False)
-    gap = F.col("onset") - F.col("reach")
-    return seen.where(gap >= min_break).select(
-        "recording_id", F.col("reach").alias("onset"), gap.alias("duration"), F.lit("BAD_break").alias("description")).distinct()
+    seen = prefix_scan(ends, ["recording_id"], bucket, ["onset", "end", "edge"], {"reach": ("max", "last")}, inclusive=False)
+    gap = F.col("onset") - F.col("reach.end")
+    start = F.col("reach.end") + F.when(F.col("reach.inner"), lead_in).otherwise(0.0)
+    stop = F.col("onset") - F.when(F.col("edge") == 1, 0.0).otherwise(lead_out)
+    return seen.where((gap >= min_break) & (stop > start)).select(
+        "recording_id", start.alias("onset"), (stop - start).alias("duration"), F.lit("BAD_break").alias("description")).distinct()
 
 
 def artifact_mask_bins(channels: DataFrame, annotations: DataFrame, recordings: DataFrame, max_bins: int = 2400,

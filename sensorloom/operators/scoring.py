@@ -70,7 +70,9 @@ def lookup_reference(components: DataFrame, reference: DataFrame, scope: str = "
     candidates = F.array(*[
         F.struct(F.lit(i).alias("priority"), F.lit(s).alias("scope"), all_candidates[s][0].alias("device_type"),
                  all_candidates[s][1].alias("category")) for i, s in enumerate(order)])
-    exploded = components.withColumn("_c", F.explode(candidates))
+    # equal component rows are looked up once and given back as often as they came
+    distinct = components.groupBy(*components.columns).agg(F.count("*").cast("int").alias("_times"))
+    exploded = distinct.withColumn("_c", F.explode(candidates))
     ref = reference.select(F.col("scope").alias("reference_scope"), F.col("device_type").alias("reference_device"),
                            F.col("category").alias("reference_category"), F.col("metric").alias("_metric"),
                            F.col("n").alias("reference_n"), "q05", "q50", "q95")
@@ -81,7 +83,8 @@ def lookup_reference(components: DataFrame, reference: DataFrame, scope: str = "
     best = F.when(found, F.struct(
         (F.col("reference_n") < min_n).cast("int").alias("thin"), F.col("_c.priority").alias("priority"),
         "reference_scope", "reference_device", "reference_category", "reference_n", "q05", "q50", "q95"))
-    return joined.groupBy(*components.columns).agg(F.min(best).alias("_ref")).select(
+    return joined.groupBy(*components.columns, "_times").agg(F.min(best).alias("_ref")).withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select(
         *components.columns, *[F.col("_ref." + c).alias(c) for c in (
             "reference_scope", "reference_device", "reference_category", "reference_n", "q05", "q50", "q95")])
 

@@ -96,6 +96,20 @@ def _(t):
         "recording_id", r6("onset").alias("onset"), r6("duration").alias("duration"), "description")
 
 
+@query("annotate_break_padded", with_views(""",
+r AS (SELECT DISTINCT recording_id, 0e0 AS s, 2592000e0 AS e FROM annotations),
+x AS (SELECT recording_id, onset, onset + duration AS fin, 0 AS edge FROM annotations WHERE NOT starts_with(lower(description), 'bad')
+  UNION ALL SELECT recording_id, s, s, -1 FROM r UNION ALL SELECT recording_id, e, e, 1 FROM r),
+n AS (SELECT *, max(fin) OVER (PARTITION BY recording_id ORDER BY onset, fin, edge ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM x),
+b AS (SELECT recording_id, reach + CASE WHEN reach > 0 THEN 500e0 ELSE 0e0 END AS st, onset - CASE WHEN edge = 1 THEN 0e0 ELSE 300e0 END AS en
+  FROM n WHERE onset - reach >= 20000e0)
+SELECT DISTINCT recording_id, round(st, 6) AS onset, round(en - st, 6) AS duration, 'BAD_break' AS description FROM b""", "annotations"))
+def _(t):
+    recs = t.annotations().select("recording_id", F.lit(0e0).alias("start"), F.lit(2592000e0).alias("stop")).distinct()
+    return op.annotate_break(t.annotations(), 20000.0, lead_in=500.0, lead_out=300.0, ignore=("BAD", "EDGE"), recordings=recs).select(
+        "recording_id", r6("onset").alias("onset"), r6("duration").alias("duration"), "description")
+
+
 MASK_REC = """, rec AS (SELECT recording_id, count(DISTINCT ch_name) AS nc, 2592000 AS n_times FROM samples GROUP BY 1),
 nb AS (SELECT *, least(2400, greatest(240, least(n_times, nc * 10))) AS n_bins FROM rec),
 ch AS (SELECT recording_id, ch_name, max(value) > 190e0 AS is_bad FROM samples GROUP BY 1, 2),

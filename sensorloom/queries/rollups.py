@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import r6
 from ..operators import rollups as op
+from ..session import scratch_folder
+from ..sources import readers
 from ..sources.bindings import with_views
 from . import query
 
@@ -114,8 +116,9 @@ def traced(t):
 @query("read_trace", with_views(
     "SELECT task_id, process, tag, split_part(tag, ':', 1) AS tag_dataset, split_part(tag, ':', 2) AS tag_subject FROM trace", "trace"))
 def _(t):
-    named = t.trace().select("task_id", F.concat("process", F.lit("  ("), "tag", F.lit(")")).alias("name"))
-    return named.select("task_id", *[c.alias(k) for k, c in op.parse_task_name(F.translate("name", "\0", "")).items()])
+    path = scratch_folder(t.spark) + "/trace"
+    t.trace().select("task_id", F.concat("process", F.lit("  ("), "tag", F.lit(")")).alias("name")).write.csv(path, sep="\t", header=True)
+    return readers.read_trace(t.spark, path).withColumn("task_id", F.col("task_id").cast("bigint")).drop("name")
 
 
 @query("trace_failed", with_views(TR + "SELECT task_id, failed FROM tf", "trace"))

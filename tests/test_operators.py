@@ -248,6 +248,27 @@ def test_hysteresis_spans_have_their_properties(spark):
     assert set(long_or_strong) == {(a, b) for a, b in merged if b - a >= 3 or p[a:b].max() >= 0.97}
 
 
+def test_breaks_with_leads_ignored_spans_and_recording_ends(spark):
+    rows = [(1, 30.0, 5.0, "task"), (1, 40.0, 2.0, "BAD_x"), (1, 60.0, 1.0, "task"), (1, 70.0, 1.0, "task"), (1, 95.0, 5.0, None)]
+    a = spark.createDataFrame(rows, "recording_id int, onset double, duration double, description string")
+    recs = spark.createDataFrame([(1, 0.0, 100.0), (2, 0.0, 50.0)], "recording_id int, start double, stop double")
+
+    def found(**options):
+        return sorted((r["recording_id"], r["onset"], r["onset"] + r["duration"]) for r in intervals.annotate_break(a, 15.0, **options).collect())
+
+    assert found() == [(1, 42.0, 60.0), (1, 71.0, 95.0)]
+    assert found(lead_in=5.0, lead_out=3.0, ignore=("bad", "edge"), recordings=recs) == [(1, 0.0, 27.0), (1, 40.0, 57.0), (1, 76.0, 92.0), (2, 0.0, 50.0)]
+    with pytest.raises(ValueError):
+        intervals.annotate_break(a, 5.0, lead_in=4.0, lead_out=2.0)
+
+
+def test_repeated_components_are_all_looked_up(spark):
+    rows = [(1, "dev", "rest", "m", 2.0)] * 3 + [(2, "dev", "rest", "m", None)]
+    c = spark.createDataFrame(rows, "recording_id int, device_type string, category string, metric string, value double")
+    out = scoring.lookup_reference(c, scoring.build_reference_intervals(c)).collect()
+    assert sorted(r["recording_id"] for r in out) == [1, 1, 1, 2] and {r["reference_n"] for r in out} == {3}
+
+
 @pytest.mark.parametrize("cw,stride,least", [(30, 12, 8), (10, 10, 10), (7, 9, 3), (5, 2, 6)])
 def test_chunk_spans(spark, cw, stride, least):
     df = spark.createDataFrame([(n, n) for n in range(0, 70, 3)], "id long, n long")
