@@ -373,7 +373,8 @@ def matlab_quantile(x, q):
 def _window_scores(x, q):
     med = np.nanmedian(x, axis=1, keepdims=True)
     live = np.nanmedian(np.abs(x - med), axis=1) > 0
-    score = np.zeros(len(x))
+    # a channel that is alone in its window has nothing to be compared with
+    score = np.where(live & (len(x) == 1), np.nan, 0.0)
     if live.sum() > 1:
         with np.errstate(all="ignore"):
             corr = np.corrcoef(x[live])
@@ -388,9 +389,10 @@ def window_correlation(key, length, q=0.98):
     def run(pdf):
         names, times, x = matrix(pdf.rename(columns={"ch_name": "c", "value": "v"}))
         parts = []
-        for win in np.unique(times // length):
-            score, flat = _window_scores(x[:, times // length == win], q)
-            parts.append(pd.DataFrame({key: pdf[key].iloc[0], "win": win, "ch_name": names, "max_corr": score, "dropout": flat}))
+        for win, here in pdf.groupby("win")["ch_name"]:
+            some = np.isin(names, here.unique())
+            score, flat = _window_scores(x[np.ix_(some, times // length == win)], q)
+            parts.append(pd.DataFrame({key: pdf[key].iloc[0], "win": win, "ch_name": names[some], "max_corr": score, "dropout": flat}))
         return pd.concat(parts)
 
     return run

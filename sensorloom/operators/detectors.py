@@ -79,17 +79,21 @@ def filtered(samples: DataFrame, taps, name: str, size: int = BLOCK, keys: list[
     return blocked.groupBy(*keys, "_block").applyInPandas(kernels.fir_block(keys, taps, name), schema)
 
 
-def windowed(samples: DataFrame, win: int) -> DataFrame:
-    """Complete correlation windows of each recording; the last one is left out as in the detector's window count."""
-    per = samples.groupBy(*CHANNEL).agg((F.max("t") + 1).alias("_n")).groupBy("recording_id").agg(F.min("_n").alias("_n"))
-    count = F.ceil((F.col("_n") - win - 1) / F.lit(win))
-    return samples.join(per, "recording_id").withColumn("win", F.floor(F.col("t") / win).cast("bigint")).where(
+def windowed(samples: DataFrame, win: int, common: bool = False, skip_last: bool = False) -> DataFrame:
+    """Complete correlation windows of each channel, or with `common` those that all channels of the recording have; `skip_last` leaves out
+    the last one where the length is a multiple of the window."""
+    per = samples.groupBy(*CHANNEL).agg((F.max("t") + 1).alias("_n"))
+    keys = ["recording_id"] if common else CHANNEL
+    if common:
+        per = per.groupBy("recording_id").agg(F.min("_n").alias("_n"))
+    count = F.ceil((F.col("_n") - win - 1) / F.lit(win)) if skip_last else F.floor(F.col("_n") / F.lit(win))
+    return samples.join(per, keys).withColumn("win", F.floor(F.col("t") / win).cast("bigint")).where(
         F.col("win") < count).select(*CHANNEL, "win", "t", "value")
 
 
-def _chunks(samples: DataFrame, win: int, size: int) -> DataFrame:
+def _chunks(samples: DataFrame, win: int, size: int, common: bool = False) -> DataFrame:
     """Group several windows per task call; the group stays at about `size` samples of each channel."""
-    return windowed(samples, win).withColumn("_chunk", F.floor(F.col("win") / max(1, size // win)).cast("bigint"))
+    return windowed(samples, win, common).withColumn("_chunk", F.floor(F.col("win") / max(1, size // win)).cast("bigint"))
 
 
 CHUNK = 1 << 13
@@ -134,7 +138,7 @@ def bad_by_ransac(samples: DataFrame, weights: DataFrame, win: int, corr_thresho
         table.setdefault(r["ch_name"], {}).setdefault(r["subset"], {})[r["predictor"]] = r["weight"]
     table = {ch: [subsets[k] for k in sorted(subsets)] for ch, subsets in table.items()}
     schema = _schema(samples, ["recording_id"], "win bigint, ch_name string, corr double")
-    per = _chunks(samples, win, CHUNK).groupBy("recording_id", "_chunk").applyInPandas(
+    per = _chunks(samples, win, CHUNK, common=True).groupBy("recording_id", "_chunk").applyInPandas(
         kernels.ransac_windows("recording_id", win, table), schema)
     share = F.avg((F.col("corr") < corr_threshold).cast("double"))
     return per.groupBy(*CHANNEL).agg(share.alias("bad_fraction"), F.avg("corr").alias("mean_corr")).withColumn(

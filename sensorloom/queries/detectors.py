@@ -52,8 +52,8 @@ def _(t):
     return hf(t).withColumns({"noisiness": r6("noisiness"), "z": r6("z")})
 
 
-CW = f""", n0 AS (SELECT recording_id, min(n) AS n FROM (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2) GROUP BY 1),
-wn AS (SELECT s.recording_id, ch_name, t // {WIN} AS win, t, value FROM samples s JOIN n0 USING (recording_id) WHERE t // {WIN} < ceil((n - {WIN} - 1) / {WIN}e0)),
+CW = f""", n0 AS (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2),
+wn AS (SELECT s.recording_id, ch_name, t // {WIN} AS win, t, value FROM samples s JOIN n0 USING (recording_id, ch_name) WHERE t // {WIN} < n // {WIN}),
 md AS (SELECT recording_id, win, ch_name, quantile_cont(value, 0.5) AS m FROM wn GROUP BY 1, 2, 3),
 fl AS (SELECT recording_id, win, ch_name, quantile_cont(abs(value - m), 0.5) = 0 AS dropout FROM wn JOIN md USING (recording_id, win, ch_name) GROUP BY 1, 2, 3),
 pc AS (SELECT a.recording_id, a.win, a.ch_name, b.ch_name AS other, abs(corr(a.value, b.value)) AS c FROM wn a JOIN wn b ON a.recording_id = b.recording_id AND a.t = b.t AND a.ch_name <> b.ch_name GROUP BY 1, 2, 3, 4),
@@ -70,7 +70,7 @@ def _(t):
 
 
 @query("bad_by_correlation", with_views(CW + """
-SELECT recording_id, ch_name, round(avg(CASE WHEN max_corr < 0.3e0 THEN 1e0 ELSE 0e0 END), 6) AS bad_fraction, avg(CASE WHEN max_corr < 0.3e0 THEN 1e0 ELSE 0e0 END) > 0.2e0 AS is_bad FROM cc GROUP BY 1, 2""", "samples"))
+SELECT recording_id, ch_name, round(avg(CASE WHEN max_corr < 0.3e0 THEN 1e0 WHEN max_corr IS NOT NULL THEN 0e0 END), 6) AS bad_fraction, avg(CASE WHEN max_corr < 0.3e0 THEN 1e0 WHEN max_corr IS NOT NULL THEN 0e0 END) > 0.2e0 AS is_bad FROM cc GROUP BY 1, 2""", "samples"))
 def _(t):
     return op.bad_by_correlation(consistency(t), 0.3, 0.2).withColumn("bad_fraction", r6("bad_fraction"))
 
@@ -82,12 +82,13 @@ def _(t):
 
 
 @query("bad_by_snr", with_views(HF + CW.replace("md AS", "wm AS").replace("JOIN md USING", "JOIN wm USING") + """
-SELECT recording_id, ch_name FROM hf WHERE is_bad INTERSECT SELECT recording_id, ch_name FROM cc GROUP BY 1, 2 HAVING avg(CASE WHEN max_corr < 0.45e0 THEN 1e0 ELSE 0e0 END) > 0.1e0""", "samples"))
+SELECT recording_id, ch_name FROM hf WHERE is_bad INTERSECT SELECT recording_id, ch_name FROM cc GROUP BY 1, 2 HAVING avg(CASE WHEN max_corr < 0.45e0 THEN 1e0 WHEN max_corr IS NOT NULL THEN 0e0 END) > 0.1e0""", "samples"))
 def _(t):
     return op.bad_by_snr(hf(t), op.bad_by_correlation(consistency(t), 0.45, 0.1))
 
 
-@query("bad_by_ransac", with_views(CW + """,
+@query("bad_by_ransac", with_views(f""", n0 AS (SELECT recording_id, min(n) AS n FROM (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2) GROUP BY 1),
+wn AS (SELECT s.recording_id, ch_name, t // {WIN} AS win, t, value FROM samples s JOIN n0 USING (recording_id) WHERE t // {WIN} < n // {WIN})""" + """,
 pr AS (SELECT a.recording_id, a.win, a.ch_name, a.t, any_value(a.value) AS own, (sum(b.value) - quantile_cont(b.value, 0.5)) / 3 AS est
   FROM wn a JOIN wn b ON a.recording_id = b.recording_id AND a.t = b.t AND a.ch_name <> b.ch_name GROUP BY 1, 2, 3, 4),
 rc AS (SELECT recording_id, win, ch_name, corr(own, est) AS c FROM pr GROUP BY 1, 2, 3)
