@@ -67,10 +67,11 @@ def _(t):
 
 
 @query("bad_segment_stats", with_views("""
-SELECT recording_id, count(*) AS n_segments, round(sum(duration), 6) AS bad_seconds, round(sum(duration) / 2592000e0, 6) AS bad_ratio
-FROM annotations GROUP BY 1""", "annotations"))
+SELECT r.recording_id, count(a.recording_id) AS n_segments, round(coalesce(sum(duration), 0e0), 6) AS bad_seconds,
+  round(coalesce(sum(duration), 0e0) / 2592000e0, 6) AS bad_ratio
+FROM (SELECT DISTINCT user_id % 20 AS recording_id FROM events) r LEFT JOIN annotations a ON a.recording_id = r.recording_id GROUP BY 1""", "annotations"))
 def _(t):
-    return op.bad_segment_stats(t.annotations(), recordings(t)).where("n_segments > 0").select(
+    return op.bad_segment_stats(t.annotations(), recordings(t)).select(
         "recording_id", "n_segments", r6("bad_seconds").alias("bad_seconds"), r6("bad_ratio").alias("bad_ratio"))
 
 
