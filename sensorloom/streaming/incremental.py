@@ -1,15 +1,16 @@
 """Per-recording metrics kept up to date from a growing folder of sample files.
 
-A file stream finds new files; for every micro-batch only the recordings it touches are read
-again, and only those whose content hash changed are recomputed. Results go to one folder
-per batch id, written in overwrite mode, so a replayed batch after a failure replaces itself.
+A file stream finds new files. The rows of every micro-batch are kept once more, dealt into buckets of recordings, so that a
+batch reads again only the buckets of the recordings it touches, and of these only recordings whose content hash changed are
+recomputed. Rows and results go to one folder per batch id, written in overwrite mode, so a replayed batch after a failure
+replaces itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,15 +35,31 @@ def latest(spark: SparkSession, store: str, key: str = "recording_id") -> DataFr
     return h.groupBy(key).agg(F.max_by(F.struct(*columns), "batch").alias("_r")).select(key, "_r.*")
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def rows_of(spark: SparkSession, rows: str, schema: T.StructType, numbers: list[int], before: int) -> DataFrame:
+    """Rows of the given buckets from all batches up to `before`; folders of other buckets are not opened."""
+    kept = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())])).parquet(rows)
+    return kept.where(F.col("bucket").isin(numbers) & (F.col("batch") <= before)).drop("batch", "bucket")
+
+
 def incremental_metrics(spark: SparkSession, source: str, schema: T.StructType, store: str, checkpoint: str,
                         derive: Callable[[DataFrame], DataFrame], metrics: Callable[[DataFrame], DataFrame],
-                        key: str = "recording_id", available_now: bool = True, **options: str) -> StreamingQuery:
-    """Start the stream. `derive` maps source rows to sample rows, `metrics` samples to one row per recording."""
+                        key: str = "recording_id", available_now: bool = True, buckets: int = 256, **options: str) -> StreamingQuery:
+    """Start the stream. `derive` maps source rows to sample rows, `metrics` samples to one row per recording. The dealt rows lie beside
+    `store`, in `<store>-rows`; a recording is read with the others of its bucket, so `buckets` should grow with their number."""
+    kept = f"{store.rstrip('/')}-rows"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        touched = derive(batch).select(key).distinct()
-        every = derive(session.read.schema(schema).options(**options).parquet(source)).join(touched, key, "left_semi")
+        fresh = derive(batch)
+        dealt = fresh.withColumn("bucket", bucket_of(key, buckets))
+        dealt.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{kept}/batch={batch_id}")
+        written = session.read.schema(dealt.schema).parquet(f"{kept}/batch={batch_id}")
+        numbers = [r[0] for r in written.select("bucket").distinct().collect()]  # at most `buckets`
+        every = rows_of(session, kept, fresh.schema, numbers, batch_id).join(written.select(key).distinct(), key, "left_semi")
         hashes = content_hash(every, [key], [c for c in every.columns if c != key])
         known = _history(session, store)
         if known is not None:

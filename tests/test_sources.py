@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.sources import catalogue, readers
-from sensorloom.streaming.incremental import incremental_metrics, latest
+from sensorloom.streaming.incremental import bucket_of, incremental_metrics, latest, rows_of
 
 
 def test_events_tsv_with_bom(spark, tmp_path):
@@ -116,3 +116,8 @@ def test_incremental_only_touches_what_changed(spark, tmp_path):
     assert batches[1] == {2, 3} and now == {1: (2, 3.0), 2: (2, 11.0), 3: (1, 7.0)}
     batches, _ = run()
     assert set(batches) == {0, 1}
+    by_id = {r["id"]: r["b"] for r in spark.range(4).select("id", bucket_of("id", 256).alias("b")).collect()}
+    read = rows_of(spark, store + "-rows", SCHEMA, [by_id[3]], 1)
+    assert {r["recording_id"] for r in read.collect()} == {i for i in (1, 2, 3) if by_id[i] == by_id[3]}
+    files = {r["f"] for r in read.select(F.input_file_name().alias("f")).collect()}
+    assert files and all(f"/batch=1/bucket={by_id[3]}/" in f for f in files)
