@@ -228,5 +228,5 @@ class WordIds:
         return self.gather(words), np.diff(ends[at])
 
 
-def word_ids(path: str) -> WordIds:
-    return worker_cache("word_ids_" + "".join(c if c.isalnum() else "_" for c in path), lambda: WordIds(path))
+def word_ids(path: str, limit: int = 1_000_000) -> WordIds:
+    return worker_cache(f"word_ids_{limit}_" + "".join(c if c.isalnum() else "_" for c in path), lambda: WordIds(path, limit))
