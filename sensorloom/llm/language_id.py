@@ -267,7 +267,7 @@ def lexicon_counts(docs: DataFrame, langs: list[str]) -> np.ndarray:
         k, bucket = np.nonzero(total)
         yield record({"k": k, "bucket": bucket, "n": total[k, bucket]}, {"k": pa.int32(), "bucket": pa.int32(), "n": pa.int64()})
 
-    found = docs.select(text_bytes().alias("text"), "lang").mapInArrow(run, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select(text_bytes().alias("text"), "lang").mapInArrow(run, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     out = np.zeros((LEXICON, len(langs)))
     out[found.bucket, found.k] = found.n
     return out
@@ -283,7 +283,7 @@ def fit(docs: DataFrame, training: Column, id_col: str = "doc_id", sample: int =
     if not langs:
         return Model(["und"], np.zeros((LEXICON, 1)))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(11)), F.lit(1_000_000))
-    some = rows.where(draw < max(1, round(1_000_000 * min(1.0, sample / max(n, 1))))).select(text_bytes().alias("text"), "lang").limit(2 * sample).toPandas()
+    some = rows.where(draw < max(1, round(1_000_000 * min(1.0, sample / max(n, 1))))).select(text_bytes().alias("text"), "lang").limit(2 * sample).toArrow().to_pandas()
     lexicon = lexicon_counts(rows, langs)
     return train([bytes(x) for x in some.text], [langs.index(x) for x in some.lang], langs, lexicon)
 

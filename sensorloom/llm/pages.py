@@ -230,7 +230,7 @@ def recurring(found: DataFrame, share: float, least_pages: int) -> DataFrame:
     """(host, hashes): subtrees on at least `share` of a host's pages, for hosts of `least_pages` or more. A host's list is no longer
     than 1 / share times the mean number of subtrees of its pages."""
     totals = found.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    counts = found.select("host", F.explode(F.array_distinct(F.flatten("blocks.inside"))).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    counts = found.select("host", F.explode(F.array_distinct(F.flatten("blocks.inside"))).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= share * least_pages)
     return counts.join(totals, "host").where(F.col("n") >= F.col("pages") * share).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 

@@ -163,14 +163,14 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc
     labelled = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     shares = [min(1.0, sample / 2 / max(labelled.get(k, 0), 1)) for k in (0, 1)]
     found = written(counts_and_sample(rows, shares))
-    sums = found.where("bucket is not null").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    sums = found.where("bucket is not null").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     table = np.zeros((2, BUCKETS + 1))
     table[sums.k, sums.bucket] = sums.n
     counts, totals = table[:, :BUCKETS], table[:, BUCKETS]
     p, q = counts[1] + 1, counts[0] + 1
     ratio = np.log((p / (totals[1] + 2)) / (q / (totals[0] + 2)))
     ratio[counts.sum(axis=0) == 0] = 0
-    some = found.where("sample is not null").select("sample", "k", "fold").limit(2 * sample).toPandas()
+    some = found.where("sample is not null").select("sample", "k", "fold").limit(2 * sample).toArrow().to_pandas()
     y = np.where(some.k.to_numpy() == 1, 1, -1)
     if len(set(y.tolist())) < 2:
         return Model(ratio, np.zeros(BUCKETS), 0.0, 1.0, float(np.log((totals[1] + 1) / (totals[0] + 1))))
