@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
@@ -230,11 +230,18 @@ class MediaArchive(DataSource):
         return ArchiveWriter(self.options)
 
 
+def register(spark: SparkSession) -> None:
+    """Make the format known to the session, also where another one (of a stream's batch, for one) was active last in this thread."""
+    for session in {spark, SparkSession.getActiveSession() or spark}:
+        session.dataSource.register(MediaArchive)
+    spark._jvm.org.apache.spark.sql.SparkSession.setActiveSession(spark._jsparkSession)
+
+
 def store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", **options) -> None:
     """Write every row's text as an image into archives in a folder that all machines share."""
     spark = docs.sparkSession
     arrow_batches(spark)
-    spark.dataSource.register(MediaArchive)
+    register(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -249,7 +256,7 @@ def store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
 
 def stored(spark, folder: str, **options) -> DataFrame:
     """The members of all archives of a folder: doc_id, n_bytes, archive, offset, attempts, media."""
-    spark.dataSource.register(MediaArchive)
+    register(spark)
     return spark.read.format("media_archive").options(path=folder, **options).load()
 
 
