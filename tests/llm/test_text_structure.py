@@ -414,3 +414,10 @@ def test_pipeline_stages_on_odd_rows_and_run(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} <= {r.doc_id for r in docs.select("doc_id").collect()}
     kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, SF).select("doc_id").collect()}
     assert good <= kept
+
+
+def test_media_source_is_found_whichever_session_is_active(spark, tmp_path):
+    sessions = spark._jvm.org.apache.spark.sql.SparkSession
+    sessions.setActiveSession(spark.newSession()._jsparkSession)
+    docs = spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string")
+    assert media.media_columns(docs, folder=str(tmp_path / "m")).count() == 2
