@@ -11,16 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import language_id, packing, quality, simhash
+from sensorloom.llm import copies, language_id, packing, quality
 from sensorloom.llm.common import split_number, table, written
 from sensorloom.llm.queries import send_by_value, vocabulary
 
 #: A document is rejected below these: share of its main language among its words (short texts of one language may have little more
 #: than an even share); quality score.
 LEAST_LANGUAGE, LEAST_QUALITY = 0.3, 0.3
-#: Near-duplicates: fingerprints of the distinct words within 6 bits. That is where texts whose five-word shingles are similar by 0.8 lie:
-#: such shingles themselves differ in some ten bits, more than blocks can tell from chance.
+#: Fingerprints of distinct words within 6 bits, for `simhash`.
 NEAR = {"shingle": 1, "distinct": True, "max_distance": 6, "blocks": 9}
+#: Near-duplicates: five-word shingles similar by 80 hundredths. Candidates are texts of which one of four fingerprints of distinct words is within 5 bits.
+SIMILAR = {"shingle": 5, "percent": 80, "many": 4, "max_distance": 5, "blocks": 8}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +38,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates."""
-    return simhash.keep_one(docs, **NEAR)
+    """Keep one document of each group of near-duplicates, linked by pairs of confirmed similarity."""
+    return copies.keep_one(docs, **SIMILAR)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

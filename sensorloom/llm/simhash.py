@@ -242,6 +242,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     groups = grouped(docs, id_col, text_col, **options)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
     winners = groups.groupBy("root").agg(F.min(order).alias("w")).select("w.kept_id", "w.kept_key")
+    return only(docs, winners, id_col, text_col)
+
+
+def only(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` named by (kept_id, kept_key), one of each."""
     marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__key": F.xxhash64(F.col(text_col))})
     kept = marked.join(winners, F.col("__id").eqNullSafe(F.col("kept_id")) & (F.col("__key") == F.col("kept_key")), "left_semi")
     return kept.dropDuplicates(["__id", "__key"]).drop("__id", "__key")

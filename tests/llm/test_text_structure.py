@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sensorloom.llm import licenses, media, packing, pages, pieces, simhash, topk
+from sensorloom.llm import copies, licenses, media, packing, pages, pieces, simhash, topk
 from sensorloom.llm.common import table
 from sensorloom.llm.queries import vocabulary
 
@@ -127,6 +127,45 @@ def test_distinct_words_find_edited_copies(spark):
     assert found == {i: min(j for j in fps if root[fps[j]] == root[f]) for i, f in fps.items()}
 
 
+def by_shingles(texts: list[bytes], n: int = 5, share: float = 0.8) -> list[int]:
+    """Least number of each text's group, by all pairs."""
+    words = [t.lower().split() for t in texts]
+    sets = [frozenset(b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset() for w in words]
+    group = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if min(len(sets[i]), len(sets[j])) >= share * max(len(sets[i]), len(sets[j])) and len(sets[i] & sets[j]) >= share * len(sets[i] | sets[j]):
+            low, high = sorted((group[i], group[j]))
+            group = [low if g == high else g for g in group]
+    return group
+
+
+def test_pipeline_drops_only_confirmed_copies(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    texts = [[rng.choice(words) for _ in range(rng.choice((60, 150, 400)))] for _ in range(30)]
+    mixed = [rng.sample(t, len(t)) for t in texts[:10]]
+    edited = [[*t[:20], "edited", *t[21:]] for t in texts[10:]]
+    far = [[w if i % 12 else "changed" for i, w in enumerate(t)] for t in texts[20:]]
+    chain = [texts[0]]
+    for i in range(12):
+        chain.append([*chain[-1][: 5 * i], f"step{i}", *chain[-1][5 * i + 1 :]])
+    every = [" ".join(t) for t in texts + mixed + edited + far + chain[1:]] + ["", " ", "A b", "a  B"]
+    docs = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    assert kept == set(by_shingles([t.encode() for t in every]))
+    assert set(range(40)) <= kept
+
+
+def test_similar_texts_meet_though_their_edge_was_refused(spark):
+    texts = {1: range(0, 50), 2: range(100, 150), 3: range(100, 149), 4: range(0, 49), 5: range(300, 350)}
+    sets = spark.createDataFrame([(k, list(v)) for k, v in texts.items()], "node long, shingles array<bigint>")
+    edges = spark.createDataFrame([(1, 2), (1, 3), (2, 4), (1, 5)], "a long, b long")
+    found = copies.confirmed(edges, sets, 80)
+    assert found.count() == 0
+    more = copies.unjoined(edges, found, sets, 80)
+    assert {tuple(r) for r in copies.confirmed(more, sets, 80).collect()} == {(1, 4), (2, 3)}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (202, 202)]
     found = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
