@@ -22,21 +22,32 @@ BUCKETS = 1 << 16
 LEXICON = 1 << 17
 SAMPLE = 3000
 LONGEST = 24
+#: Letters of a unit of a longer run, and from one unit to the next, so that each four letters in a row are in one unit.
+UNIT, STEP = 6, 3
 
 
 def word_bytes(text: bytes) -> list[bytes]:
-    """Lower-case words: runs of letters (any script), as UTF-8."""
+    """Lower-case words: runs of letters (any script), as UTF-8. A run of over LONGEST bytes, as in scripts without spaces, gives
+    overlapping units instead, whose ends inside the run are marked."""
     import re
 
     pattern = worker_cache("letters", lambda: re.compile(r"[^\W\d_]+"))
-    return " ".join(pattern.findall(text.decode("utf-8", "replace").lower())).encode().split()
+    words = " ".join(pattern.findall(text.decode("utf-8", "replace").lower())).encode().split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [u for w in words for u in ((w,) if len(w) <= LONGEST else units(w.decode()))]
+
+
+def units(run: str) -> list[bytes]:
+    last = len(run) - UNIT
+    return [b"\x03" * (i > 0) + run[i : i + UNIT].encode() + b"\x03" * (i < last) for i in range(0, last + STEP, STEP)]
 
 
 def char_table(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the words between marks, one row each (the middle of a word over LONGEST bytes is left to its hash), and lengths."""
-    cut = [b"\x01" + (w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :]) + b"\x02" for w in words]
-    lengths = np.fromiter(map(len, cut), np.int64, len(cut))
-    table = np.array(cut, dtype=f"S{LONGEST + 2}").view(np.uint8).reshape(len(cut), LONGEST + 2).astype(np.uint64)
+    """Bytes of the words between marks, one row each, and lengths. Words have LONGEST bytes at most, units two more."""
+    marked = [b"\x01" + w + b"\x02" for w in words]
+    lengths = np.fromiter(map(len, marked), np.int64, len(marked))
+    table = np.array(marked, dtype=f"S{LONGEST + 4}").view(np.uint8).reshape(len(marked), LONGEST + 4).astype(np.uint64)
     return table, lengths
 
 

@@ -70,6 +70,28 @@ def test_language_of_switched_text_and_odd_rows(spark):
     assert {r.lang_pred for r in language_id.predict(odd, empty).collect()} <= {"und"}
 
 
+def test_language_of_a_long_run_that_changes_in_the_middle(spark):
+    rng = np.random.default_rng(4)
+    letters = {"aa": "あいうえおかきくけこさしすせそ", "bb": "たちつてとなにぬねのはひふへほ"}
+
+    def run(lang, n):
+        return "".join(rng.choice(list(letters[lang]), n))
+
+    docs = spark.createDataFrame([(i, run(lang, 120), lang) for i, lang in enumerate(["aa", "bb"] * 60)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, F.lit(True))
+    texts = [(1, run("aa", 30) + run("bb", 300) + run("aa", 30)), (2, run("bb", 30) + run("aa", 300) + run("bb", 30)), (3, run("aa", 200) + run("bb", 100))]
+    got = {r.doc_id: r for r in language_id.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 3)] == ["bb", "aa", "aa"]
+    assert abs(got[1].score - 5 / 6) < 0.1 and abs(got[3].score - 2 / 3) < 0.1
+
+
+@pytest.mark.parametrize("run", ["x" * 25, "abcdefghijklmnopqrstuvwxyzabc", "あいうえおかきくけ", "𐌰𐌱𐌲𐌳𐌴𐌵𐌶"])
+def test_units_hold_all_letters_of_a_run(run):
+    units = [u.decode().strip("\x03") for u in language_id.word_bytes(run.encode())]
+    assert {run[i : i + 4] for i in range(len(run) - 3)} == {u[i : i + 4] for u in units for i in range(len(u) - 3)}
+    assert all(len(u) <= language_id.LONGEST + 2 for u in language_id.word_bytes(run.encode()))
+
+
 def indicators_by_hand(text: bytes) -> set:
     """The n-grams themselves, not hashed."""
     out = {text[i : i + n] for n in (1, 2, 3) for i in range(len(text) - n + 1)}
