@@ -8,6 +8,7 @@ language's share.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,6 +25,8 @@ SAMPLE = 3000
 LONGEST = 24
 #: Letters of a unit of a longer run, and from one unit to the next, so that each four letters in a row are in one unit.
 UNIT, STEP = 6, 3
+#: Least rows drawn of a language that has them, runs drawn of a text, sequences that begin with a language.
+LEAST_ROWS, TEXT_RUNS, LANGUAGE_RUNS = 300, 20, 4000
 
 
 def word_bytes(text: bytes) -> list[bytes]:
@@ -212,19 +215,24 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, moves
 
 def train(texts: list[bytes], labels: list[int], langs: list[str], lexicon: np.ndarray, rounds: int = 6, rate: float = 0.5,
           seed: int = 7) -> Model:
-    """Maximum likelihood by AdaGrad over sequences of up to 40 words, two thirds of which switch language once or twice."""
+    """Maximum likelihood by AdaGrad over sequences of up to 60 words, half of which switch language once or twice. Their runs of 20 words are
+    drawn at random over whole texts, TEXT_RUNS of a text and as many sequences begin with each language, LANGUAGE_RUNS at most."""
     rng, model = np.random.default_rng(seed), Model(langs, lexicon)
     runs = [[] for _ in langs]
     for text, y in zip(texts, labels):
         words = word_bytes(text)
-        runs[y] += [words[i : i + 20] for i in range(0, min(len(words), 400), 20) if words[i : i + 20]]
+        starts = np.arange(0, len(words), 20)
+        if len(starts) > TEXT_RUNS:
+            starts = np.sort(rng.choice(starts, TEXT_RUNS, replace=False))
+        runs[y] += [words[i : i + 20] for i in starts]
     some = [y for y in range(len(langs)) if runs[y]]
     if not some:
         return model
     sequences = []
+    firsts = min(LANGUAGE_RUNS, max(map(len, runs)))
     for y in some:
-        for run in runs[y][:4000]:
-            parts = [(run, y)]
+        for i in np.resize(rng.permutation(len(runs[y])), firsts):
+            parts = [(runs[y][i], y)]
             while rng.random() < 0.5 and len(parts) < 3 and len(some) > 1:
                 z = int(rng.choice(some))
                 parts.append((runs[z][int(rng.integers(len(runs[z])))], z))
@@ -286,15 +294,19 @@ def lexicon_counts(docs: DataFrame, langs: list[str]) -> np.ndarray:
 
 def fit(docs: DataFrame, training: Column, id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
     """Learn from the rows where `training` holds and lang is not null: lexicon counts from all of them, chain weights from about
-    `sample` of them, chosen by a hash of the id (a documented bound; at most twice that many reach the driver)."""
+    `sample` of them in even parts for each language, but LEAST_ROWS of each that has so many, chosen by a hash of id and text (a documented
+    bound; at most twice that many reach the driver)."""
     arrow_batches(docs.sparkSession)
     rows = docs.where(training & F.col("lang").isNotNull()).select(F.col(id_col).alias("doc_id"), "text", "lang")
     by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs, n = sorted(by_lang), sum(by_lang.values())
+    langs = sorted(by_lang)
     if not langs:
         return Model(["und"], np.zeros((LEXICON, 1)))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(11)), F.lit(1_000_000))
-    some = rows.where(draw < max(1, round(1_000_000 * min(1.0, sample / max(n, 1))))).select(text_bytes().alias("text"), "lang").limit(2 * sample).toArrow().to_pandas()
+    quota = max(LEAST_ROWS, -(-sample // len(langs)))
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")), F.lit(11)), F.lit(1 << 40))
+    below = F.create_map(*[F.lit(x) for k in langs for x in (k, math.ceil((1 << 40) * min(1.0, quota / by_lang[k])))])
+    drawn = rows.select(text_bytes().alias("text"), "lang", draw.alias("draw")).where(F.col("draw") < F.element_at(below, F.col("lang")))
+    some = drawn.limit(2 * quota * len(langs)).toArrow().to_pandas().sort_values("draw", kind="stable")
     lexicon = lexicon_counts(rows, langs)
     return train([bytes(x) for x in some.text], [langs.index(x) for x in some.lang], langs, lexicon)
 

@@ -85,6 +85,33 @@ def test_language_of_a_long_run_that_changes_in_the_middle(spark):
     assert abs(got[1].score - 5 / 6) < 0.1 and abs(got[3].score - 2 / 3) < 0.1
 
 
+def test_rare_language_is_learned_among_many_rows(spark):
+    rng = np.random.default_rng(6)
+    letters = {"aa": "abcdefgh", "bb": "ijklmnop", "cc": "abijqrst"}
+    words = {lang: ["".join(rng.choice(list(x), 5)) for _ in range(40)] for lang, x in letters.items()}
+
+    def text(lang, n=12):
+        return " ".join(rng.choice(words[lang], n))
+
+    rows = [(i, text("cc" if i % 1500 == 7 else "ab"[i % 2] * 2), "cc" if i % 1500 == 7 else "ab"[i % 2] * 2) for i in range(12_000)]
+    seen, train = [], language_id.train
+    language_id.train = lambda texts, labels, langs, lexicon: seen.append(Counter(labels)) or train(texts, labels, langs, lexicon)
+    try:
+        model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample=60)
+    finally:
+        language_id.train = train
+    assert seen[0][2] == 8 and max(seen[0].values()) < 600
+    found = language_id.predict(spark.createDataFrame([(i, text("cc")) for i in range(50)], "doc_id long, text string"), model).collect()
+    assert sum(r.lang_pred == "cc" for r in found) >= 45
+
+
+def test_runs_are_drawn_over_the_whole_text():
+    texts = [b"common " * 500 + b"left " * 600, b"common " * 500 + b"right " * 600] * 20
+    model = language_id.train(texts, [0, 1] * 20, ["a", "b"], np.zeros((language_id.LEXICON, 2)))
+    scores = model.emissions([b"left", b"right"])
+    assert scores[0, 0] > scores[0, 1] + 1 and scores[1, 1] > scores[1, 0] + 1
+
+
 @pytest.mark.parametrize("run", ["x" * 25, "abcdefghijklmnopqrstuvwxyzabc", "あいうえおかきくけ", "𐌰𐌱𐌲𐌳𐌴𐌵𐌶"])
 def test_units_hold_all_letters_of_a_run(run):
     units = [u.decode().strip("\x03") for u in language_id.word_bytes(run.encode())]
