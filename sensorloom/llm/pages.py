@@ -1,7 +1,7 @@
 """Main text of web pages, without the parts that a site repeats.
 
 A page is parsed once into its text blocks; each carries the hashes of the element subtrees it lies in. Spark counts, for each host, on
-how many of its pages a subtree occurs, and blocks inside subtrees that recur on most pages of the host are deleted. Menus, footers,
+how many of its distinct pages a subtree occurs, and blocks inside subtrees that recur on many of them are deleted. Menus, footers,
 adverts and the like are also told by their tags and attributes, as a host with few pages has no counts to go by.
 """
 
@@ -227,10 +227,12 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def recurring(found: DataFrame, share: float, least_pages: int) -> DataFrame:
-    """(host, hashes): subtrees on at least `share` of a host's pages, for hosts of `least_pages` or more. A host's list is no longer
-    than 1 / share times the mean number of subtrees of its pages."""
-    totals = found.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    counts = found.select("host", F.explode(F.array_distinct(F.flatten("blocks.inside"))).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= share * least_pages)
+    """(host, hashes): subtrees on at least `share` of a host's distinct pages, those whose blocks have unlike texts, for hosts of `least_pages` or
+    more. A host's list is no longer than 1 / share times the mean number of subtrees of its pages."""
+    page = F.xxhash64("blocks.text")
+    distinct = written(found.groupBy("host", page.alias("page")).agg(F.min(F.array_distinct(F.flatten("blocks.inside"))).alias("inside")))
+    totals = distinct.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
+    counts = distinct.select("host", F.explode("inside").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= share * least_pages)
     return counts.join(totals, "host").where(F.col("n") >= F.col("pages") * share).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 
@@ -245,6 +247,7 @@ def main_text(pages: DataFrame, share: float = 0.5, least_pages: int = 10, broad
     templates = written(recurring(found, share, least_pages))
     size = templates.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]
     joined = found.join(F.broadcast(templates) if size <= broadcast_hashes else templates, "host", "left")
-    kept = F.when(F.col("hashes").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda b: ~F.arrays_overlap(b.inside, F.col("hashes"))))
+    kept = F.when(F.col("hashes").isNull(), F.col("blocks")).otherwise(F.element_at(F.transform(
+        F.array(F.array_intersect(F.flatten("blocks.inside"), "hashes")), lambda cut: F.filter("blocks", lambda b: ~F.arrays_overlap(b.inside, cut))), 1))
     text = F.array_join(F.transform(kept, lambda b: b.text), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -377,6 +377,15 @@ def test_site_templates_are_deleted_by_host(spark):
     assert pages.main_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    article = "".join(f"<p>Paragraph {k} of the article.</p>" for k in range(4))
+    rows = [(i, f"https://a.example/{i}", article + "<p>Seen everywhere</p>") for i in range(40)]
+    rows += [(100 + i, f"https://a.example/o{i}", f"<p>Own {i}</p><p>Seen everywhere</p>") for i in range(20)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(40)} == {"\n".join(f"Paragraph {k} of the article." for k in range(4))}
+    assert all(got[100 + i] == f"Own {i}" for i in range(20))
+
+
 def test_images_round_trip_and_damage_is_seen():
     for payload in (bytes(64), bytes(range(256)), b"x" * 640):
         image = media.to_image(payload)
