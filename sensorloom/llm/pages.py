@@ -226,17 +226,19 @@ def parsed(pages: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "page_id long, url string, host string, blocks array<struct<text string, inside array<bigint>>>")
 
 
-def recurring(found: DataFrame, share: float, least_pages: int) -> DataFrame:
-    """(host, hashes): subtrees on at least `share` of a host's distinct pages, those whose blocks have unlike texts, for hosts of `least_pages` or
-    more. A host's list is no longer than 1 / share times the mean number of subtrees of its pages."""
+def recurring(found: DataFrame, share: float, many: int, few: int) -> DataFrame:
+    """(host, hashes): subtrees on many of a host's distinct pages, those whose blocks have unlike texts: on `share` of them, at least on `many`,
+    or on half of the pages of a smaller host, at least on `few`. A host's list is no longer than 1 / share times the mean number of subtrees
+    of its pages."""
     page = F.xxhash64("blocks.text")
     distinct = written(found.groupBy("host", page.alias("page")).agg(F.min(F.array_distinct(F.flatten("blocks.inside"))).alias("inside")))
-    totals = distinct.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    counts = distinct.select("host", F.explode("inside").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= share * least_pages)
-    return counts.join(totals, "host").where(F.col("n") >= F.col("pages") * share).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    totals = distinct.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= few)
+    counts = distinct.select("host", F.explode("inside").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= few)
+    need = F.greatest(F.lit(few), F.least(F.lit(many), F.ceil(F.col("pages") / 2)), F.ceil(F.col("pages") * share))
+    return counts.join(totals, "host").where(F.col("n") >= need).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 
-def main_text(pages: DataFrame, share: float = 0.5, least_pages: int = 10, broadcast_hashes: int = 500_000) -> DataFrame:
+def main_text(pages: DataFrame, share: float = 0.02, many: int = 5, few: int = 3, broadcast_hashes: int = 500_000) -> DataFrame:
     """(page_id, url, text, n_chars) of every page, from its whole html.
 
     Null or empty html, and pages without a main part, give an empty text. Rows may repeat and ids and urls may be null; pages whose url has no
@@ -244,7 +246,7 @@ def main_text(pages: DataFrame, share: float = 0.5, least_pages: int = 10, broad
     Empty input gives no rows; other columns are ignored.
     """
     found = written(parsed(pages))
-    templates = written(recurring(found, share, least_pages))
+    templates = written(recurring(found, share, many, few))
     size = templates.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]
     joined = found.join(F.broadcast(templates) if size <= broadcast_hashes else templates, "host", "left")
     kept = F.when(F.col("hashes").isNull(), F.col("blocks")).otherwise(F.element_at(F.transform(

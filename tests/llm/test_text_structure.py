@@ -386,6 +386,20 @@ def test_copies_of_an_article_are_no_template(spark):
     assert all(got[100 + i] == f"Own {i}" for i in range(20))
 
 
+def test_templates_of_a_small_share_and_of_small_hosts(spark):
+    def page(i, *more):
+        return f"<p>Own text {i}.</p><p>More of {i}.</p>" + "".join(f"<div><p>{m}</p></div>" for m in more)
+
+    rows = [(i, f"https://big.example/{i}", page(i, *(f"T{s}" for s in (5, 10, 20, 49) if i * s % 100 < s))) for i in range(200)]
+    rows += [(1000 + i, f"https://small.example/{i}", page(i, *(["Seen often"] if i < 4 else []), *(["Quoted"] if i > 4 else []))) for i in range(7)]
+    rows += [(2000 + i, f"https://two.example/{i}", page(i, "Both")) for i in range(2)]
+    assert sum("T5<" in h for _, _, h in rows) == 10 and sum("T49<" in h for _, _, h in rows) == 98
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, _, _ in rows:
+        own = [f"Own text {i % 1000}.", f"More of {i % 1000}."]
+        assert got[i].split("\n") == own + (["Quoted"] if i in (1005, 1006) else ["Both"] if i >= 2000 else [])
+
+
 def test_images_round_trip_and_damage_is_seen():
     for payload in (bytes(64), bytes(range(256)), b"x" * 640):
         image = media.to_image(payload)
