@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, licenses, lm, media, packing, pages, pieces, quality, simhash, topk
+from . import host_rules, language_id, licenses, lm, media, packing, pages, pieces, quality, simhash, topk
 from .common import split_number, table
 
 
@@ -64,9 +64,14 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(table(spark, sf_dir, "documents"))
 
 
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = host_rules.judged(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op6_piece_nbest, op7_site_templates, op8_attention_lm, op9_simhash,
-             op10_media_columns]
+             op10_media_columns, op12_host_rules]
     return {f.__name__: f for f in found}
 
 
@@ -83,8 +88,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    """Only the search can be written in SQL; the tests hold the others against brute force, round trips or held-out labels."""
-    return {"op5_exact_topk": OP5_SQL}
+    """Only the search and the host rules can be written in SQL; the tests hold the others against brute force, round trips or held-out labels."""
+    return {"op5_exact_topk": OP5_SQL, "op12_host_rules": host_rules.SQL}
 
 
 def send_by_value() -> None:
