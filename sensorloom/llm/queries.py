@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, language_id, licenses, lm, media, packing, pages, pieces, quality, simhash, topk
+from . import host_rules, language_id, licenses, lm, media, packing, pages, pieces, quality, simhash, token_spans, topk
 from .common import split_number, table
 
 
@@ -69,9 +69,13 @@ def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_spans.digest(token_spans.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op6_piece_nbest, op7_site_templates, op8_attention_lm, op9_simhash,
-             op10_media_columns, op12_host_rules]
+             op10_media_columns, op12_host_rules, op13_token_spans]
     return {f.__name__: f for f in found}
 
 
