@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, language_id, licenses, lm, media, packing, pages, pieces, quality, simhash, token_spans, topk
+from . import host_rules, language_id, licenses, lm, media, packing, pages, periods, pieces, quality, simhash, token_spans, topk
 from .common import split_number, table
 
 
@@ -64,6 +64,10 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.periodic_runs(periods.planted(table(spark, sf_dir, "documents"))))
+
+
 def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = host_rules.judged(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -75,7 +79,7 @@ def op13_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_language_crf, op2_quality_nbsvm, op3_license_scan, op4_pack_sum_of_squares, op5_exact_topk, op6_piece_nbest, op7_site_templates, op8_attention_lm, op9_simhash,
-             op10_media_columns, op12_host_rules, op13_token_spans]
+             op10_media_columns, op11_periodic_runs, op12_host_rules, op13_token_spans]
     return {f.__name__: f for f in found}
 
 
