@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import Places, arrow_batches, column_bytes, record, shipped, slices, text_bytes, worker_cache
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: White space on either side of a space, where the text is not cut.
+BESIDE = re.compile(r" \s"), re.compile(r"[^\S ] ")
 PIECES = 1 << 20
 #: The cache of segments is emptied beyond so many, or beyond so many bytes of them; that changes no result.
 SEGMENTS, SEGMENT_BYTES = 500_000, 32 << 20
@@ -101,13 +103,17 @@ class Aligner:
         self.names = [str(i) for i in range(max(len(tokens_a), count))]
         self.clear()
 
-    def clear(self) -> None:
+    def clear(self, with_groups: bool = True) -> None:
+        self.with_groups = with_groups
         self.index, self.groups, self.bytes = Places(), [], 0
         self.n_a = self.n_b = self.n_links = np.zeros(0, np.int64)
         self.good, self.links = np.zeros(0, bool), np.zeros(0, np.int32)
 
     def segments(self, text: str) -> list[str]:
-        return (CUT.split(text) if self.cuts else [text]) if text else []
+        if not self.cuts or not text:
+            return [text] if text else []
+        plain = text[0] != " " and text[-1] != " " and not BESIDE[0].search(text) and not BESIDE[1].search(text)
+        return text.split(" ") if plain else CUT.split(text)
 
     def ends(self, texts: list[str]) -> tuple:
         """For texts one after another: ids and byte ends of the A tokens, then of the B tokens, each with its text, and which texts both decode to.
@@ -183,6 +189,8 @@ class Aligner:
             self.n_a, self.n_b, self.n_links = (np.concatenate([x, y]) for x, y in ((self.n_a, count_a), (self.n_b, count_b), (self.n_links, count)))
             self.good, self.links = np.concatenate([self.good, good]), np.concatenate([self.links, place.astype(np.int32)])
             self.bytes += int(stop[-1])
+            if not self.with_groups:
+                continue
             names_a, names_b = ([self.names[i] for i in x.tolist()] for x in (a, b))
             x = y = 0
             texts = []
@@ -194,10 +202,11 @@ class Aligner:
                 self.groups.append(";".join(texts[at : at + n]))
                 at += n
 
-    def places(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each segment of the texts, and the number of segments of each text; -1 for a text that is not UTF-8."""
-        if len(self.index) > self.limit or self.bytes > SEGMENT_BYTES:
-            self.clear()
+    def places(self, texts: list[bytes], with_groups: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each segment of the texts, and the number of segments of each text; -1 for a text that is not UTF-8. Only `with_groups` are the groups of ids
+        made."""
+        if len(self.index) > self.limit or self.bytes > SEGMENT_BYTES or self.with_groups != with_groups:
+            self.clear(with_groups)
         flat, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             try:
@@ -234,7 +243,7 @@ def pair_counts(docs: DataFrame, byte_level: str, pieces: str, text_col: str = "
         tool = aligner(byte_level, pieces)
         total = np.zeros(len(tool.pairs), np.int64)
         for b in batches:
-            places, counts = tool.places(column_bytes(b, "text"))
+            places, counts = tool.places(column_bytes(b, "text"), with_groups=False)
             n = np.maximum(counts, 0)
             bad = by_text(~tool.good[places], n) > 0
             used = np.bincount(places[~np.repeat(bad, n)], minlength=len(tool.good))
