@@ -6,10 +6,12 @@ value, so executors need no installed copy of the package.
 """
 
 import math
+from collections import deque
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 
 def matrix(pdf, channel="c", t="t", value="v"):
@@ -75,15 +77,28 @@ def student_upper(t, df):
     return 0.5 * np.where(t == 0, 1.0, np.where(swap, other, direct))
 
 
+def _expanded_quantile(p, df):
+    """Expansion of the quantile about the normal one in 1 / df."""
+    x = -np.array([NormalDist().inv_cdf(v) for v in p])
+    terms = ((x**3 + x) / 4, (5 * x**5 + 16 * x**3 + 3 * x) / 96, (3 * x**7 + 19 * x**5 + 17 * x**3 - 15 * x) / 384,
+             (79 * x**9 + 776 * x**7 + 1482 * x**5 - 1920 * x**3 - 945 * x) / 92160)
+    return x + sum(g / df ** (i + 1) for i, g in enumerate(terms))
+
+
 def student_quantile(upper, df):
-    """t with P(T > t) = upper (< 0.5): Newton steps on log tail against log t, where the tail is nearly linear."""
-    p, df = np.atleast_1d(np.asarray(upper, float)), np.atleast_1d(np.asarray(df, float))
-    return _newton_quantile(p, df)
+    """t with P(T > t) = upper (< 0.5): Newton steps on log tail against log t, where the tail is nearly linear; beyond 10,000 degrees of freedom the
+    expansion alone is as precise."""
+    p, df = np.broadcast_arrays(np.atleast_1d(np.asarray(upper, float)), np.atleast_1d(np.asarray(df, float)))
+    out = _expanded_quantile(p, df)
+    few = df <= 10_000
+    if few.any():
+        out[few] = _newton_quantile(p[few], df[few], np.where(df[few] > 20, out[few], 2.0))
+    return out
 
 
-def _newton_quantile(p, df):
+def _newton_quantile(p, df, start=2.0):
     log_c = -_log_beta(df / 2.0, np.full_like(df, 0.5)) - 0.5 * np.log(df)
-    u = np.full_like(df, math.log(2.0))
+    u = np.full(len(df), np.log(np.maximum(start, 1e-3)))
     for _ in range(40):
         t = np.exp(u)
         tail = np.maximum(student_upper(t, df), 1e-300)
@@ -132,12 +147,124 @@ def esd_outliers(values, alpha, p_out, side):
     return marks
 
 
-def esd_group(keys, item, value, alpha, p_out, side):
-    def run(pdf):
-        pdf = pdf.sort_values(item)
-        out = pdf[[*keys, item, value]].copy()
-        out["is_outlier"] = esd_outliers(pdf[value].to_numpy(), alpha, p_out, side)
-        return out
+class CriticalValues:
+    """Critical deviations by the number of values left (3 or more), made in blocks."""
+
+    def __init__(self, level, block=512):
+        self.level, self.block, self.known = level, block, {}
+
+    def __getitem__(self, left):
+        at = left // self.block
+        if at not in self.known:
+            m = np.maximum(np.arange(at * self.block, (at + 1) * self.block), 3).astype(float)
+            t = student_quantile(self.level / m, m - 2)
+            self.known[at] = ((m - 1) * t / np.sqrt((m - 2 + t * t) * m)).tolist()
+        return self.known[at][left % self.block]
+
+
+def esd_least(level):
+    """Adds to each group the critical value of its last removal, the least of all."""
+
+    def run(batches):
+        critical = CriticalValues(level, 64)
+        for b in batches:
+            least = [critical[n - k + 1] for n, k in zip(b.column("n").to_pylist(), b.column("k").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(least, pa.float64())], names=[*b.schema.names, "least"])
+
+    return run
+
+
+class Tails:
+    """The removals of one group, from rows that come with the outermost first; `done` when no later one can be marked.
+
+    `limit`: no deviation up to it is ever marked, now or later, and no row that does not come has a larger one. A negative limit says that all rows of
+    the group come; they are then ranked at once.
+    """
+
+    def __init__(self, n, k, square, limit, side, critical):
+        self.left, self.steps, self.total, self.square, self.limit, self.side, self.critical = n, k, 0.0, square, limit, side, critical
+        self.low, self.high, self.marked, self.done = deque(), deque(), [], False
+
+    def put(self, z, item, is_low):
+        (self.low if is_low or self.limit < 0 else self.high).append((z, item))
+
+    def run(self, unread):
+        """Remove as long as it is certain which end is farther: rows still to come lie at most `unread` out (none come if it is None)."""
+        if self.limit < 0:
+            if unread is not None:
+                return
+            self.low = self.high = deque(sorted(self.low))
+        while not self.done:
+            if not self.steps:
+                self.done = True
+                return
+            mean = self.total / self.left
+            low = mean - self.low[0][0] if self.low else None
+            high = self.high[-1 if self.high is self.low else 0][0] - mean if self.high else None
+            hidden = (self.limit, self.limit) if unread is None else (mean + unread, unread - mean)
+            if self.side == 0:
+                if low is not None and high is not None:
+                    from_low = low > high
+                elif low is not None and low > hidden[1]:
+                    from_low = True
+                elif high is not None and high >= hidden[0]:
+                    from_low = False
+                elif unread is None:
+                    self.done = True
+                    return
+                else:
+                    return
+            else:
+                from_low = self.side < 0
+                if (low if from_low else high) is None:
+                    self.done = unread is None
+                    return
+            deviation = low if from_low else high
+            if max(d for d in (low if self.side <= 0 else None, high if self.side >= 0 else None) if d is not None) <= self.limit:
+                self.done = True
+                return
+            z, item = self.low.popleft() if from_low else self.high.pop() if self.high is self.low else self.high.popleft()
+            spread = math.sqrt(max(self.square / self.left - mean * mean, 0.0))
+            if spread > 0 and abs(deviation) / spread > self.critical[self.left]:
+                self.marked.append(item)
+            self.total -= z
+            self.square -= z * z
+            self.left -= 1
+            self.steps -= 1
+
+
+def esd_tails(level, side):
+    """(key, item) of the marked rows, from rows sorted by key with the outermost first. A group holds the rows between its two ends only."""
+
+    def run(batches):
+        critical, key, group = CriticalValues(level), None, None
+
+        def out(b, found):
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], b.schema.field("_key").type), pa.array([i for _, i in found], b.schema.field("_item").type)],
+                                              names=["_key", "_item"])
+
+        last = None
+        for b in batches:
+            found, last = [], b
+            columns = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_key", "_item", "z", "n", "k", "square", "limit", "is_low")]
+            for k, item, z, n, most, square, limit, is_low in zip(*columns):
+                if group is None or k != key:
+                    if group is not None:
+                        group.run(None)
+                        found += [(key, i) for i in group.marked]
+                    key, group = k, Tails(n, most, square, limit, side, critical)
+                if not group.done:
+                    group.put(z, item, is_low)
+                    group.run(-z if is_low else z)
+            if group is not None:
+                found += [(key, i) for i in group.marked]
+                group.marked = []
+            if found:
+                yield out(b, found)
+        if group is not None:
+            group.run(None)
+            if group.marked:
+                yield out(last, [(key, i) for i in group.marked])
 
     return run
 
@@ -398,33 +525,88 @@ def window_correlation(key, length, q=0.98):
     return run
 
 
-def ransac_windows(key, length, weights):
-    """Correlation of each channel with the median of its predictions from channel subsets, per window of a chunk.
+def spline_kernel(cosine, stiffness=4, terms=50):
+    """Spherical spline: weighted sum of the Legendre polynomials 1 to `terms` of the cosine between two directions."""
+    n = np.arange(1, terms + 1, dtype=float)
+    factors = (2 * n + 1) / (n * (n + 1)) ** stiffness
+    return np.polynomial.legendre.legval(cosine, np.concatenate([[0.0], factors])) / (4 * np.pi)
+
+
+def spline_weights(array, ridge):
+    """Weights that give each channel of an array from each of its subsets of predictors: one solve of the spline system for each subset. They sum to one."""
+
+    def run(places, chosen):
+        out = []
+        places = places.sort_values("ch_name").drop_duplicates("ch_name")
+        xyz = places[["x", "y", "z"]].to_numpy(float)
+        size = np.linalg.norm(xyz, axis=1)
+        usable = np.isfinite(size) & (size > 0)
+        names, unit = places["ch_name"].to_numpy()[usable], xyz[usable] / size[usable, None]
+        g = spline_kernel(np.clip(unit @ unit.T, -1, 1)) if len(names) else np.zeros((0, 0))
+        for subset, some in chosen.groupby("subset"):
+            at = np.flatnonzero(np.isin(names, some["predictor"].to_numpy()))
+            k = len(at)
+            if not k:
+                continue
+            system = np.ones((k + 1, k + 1))
+            system[:k, :k] = g[np.ix_(at, at)] + ridge * np.eye(k)
+            system[k, k] = 0
+            w = np.linalg.solve(system, np.vstack([g[at], np.ones((1, len(names)))]))[:k].T
+            out.append(pd.DataFrame({"subset": subset, "ch_name": np.repeat(names, k), "predictor": np.tile(names[at], len(names)), "weight": w.ravel()}))
+        out = pd.concat(out) if out else pd.DataFrame({"subset": [], "ch_name": [], "predictor": [], "weight": []})
+        out.insert(0, array, (places if len(places) else chosen)[array].iloc[0] if len(places) or len(chosen) else None)
+        return out
+
+    return run
 
-    `weights`: {channel: [{predictor: weight}, ...]}, one entry per random subset.
+
+def ransac_windows(key, length, least=0.5):
+    """Correlation of each channel with the median of its predictions from channel subsets, per window of a chunk, from the channels that the window has.
+
+    Where predictors of a subset are missing, the weights of the others are scaled up to the same sum; a subset whose weights present make up less than
+    `least` of their sum does not count, and a window that no subset predicts gives no row.
     """
 
-    def run(pdf):
-        names, times, x = matrix(pdf.rename(columns={"ch_name": "c", "value": "v"}))
+    def run(rows, weights):
+        names, times, x = matrix(rows.rename(columns={"ch_name": "c", "value": "v"}))
         x = np.nan_to_num(x)
         at = {n: i for i, n in enumerate(names)}
-        wins = times // length
-        rows = []
+        place = np.array([at.get(p, -1) for p in weights["predictor"]], int)
+        value, target = weights["weight"].to_numpy(float), weights["ch_name"].to_numpy()
+        subset = np.unique(weights["subset"].to_numpy(), return_inverse=True)[1] if len(weights) else np.zeros(0, int)
+        own = {}
         for name in names:
-            mix = np.zeros((len(weights.get(name, [])), len(names)))
-            for r, subset in enumerate(weights.get(name, [])):
-                for other, w in subset.items():
-                    if other in at:
-                        mix[r, at[other]] = w
-            if not len(mix):
-                continue
-            guess = np.median(mix @ x, axis=0)
-            for win in np.unique(wins):
-                own, est = x[at[name], wins == win], guess[wins == win]
-                own, est = own - own.mean(), est - est.mean()
-                den = math.sqrt(float(own @ own)) * math.sqrt(float(est @ est))
-                rows.append({key: pdf[key].iloc[0], "win": win, "ch_name": name, "corr": float(own @ est) / den if den > 0 else 0.0})
-        return pd.DataFrame(rows, columns=[key, "win", "ch_name", "corr"])
+            some = target == name
+            if some.any():
+                mix, total = np.zeros((subset.max() + 1, len(names))), np.bincount(subset[some], value[some], subset.max() + 1)
+                here = some & (place >= 0)
+                np.add.at(mix, (subset[here], place[here]), value[here])
+                used = np.bincount(subset[some], minlength=len(mix)) > 0
+                own[name] = mix[used], total[used]
+        alike = {}
+        for win, some in rows.groupby("win")["ch_name"]:
+            alike.setdefault(tuple(sorted(some.unique())), []).append(win)
+        out = []
+        for present, wins in alike.items():
+            mask, cols = np.isin(names, present), np.isin(times // length, wins)
+            z = x[:, cols].reshape(len(names), len(wins), length)
+            for name in present:
+                if name not in own:
+                    continue
+                mix, total = own[name]
+                have = (mix * mask).sum(axis=1)
+                good = (have * np.sign(total) > 0) & (np.abs(have) >= least * np.abs(total))
+                if not good.any():
+                    continue
+                guess = np.median(np.tensordot((mix * mask)[good] * (total[good] / have[good])[:, None], z, axes=1), axis=0)
+                a, b = z[at[name]], guess
+                a, b = a - a.mean(axis=1, keepdims=True), b - b.mean(axis=1, keepdims=True)
+                size = np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1))
+                corr = np.divide((a * b).sum(axis=1), size, out=np.zeros(len(wins)), where=size > 0)
+                out.append(pd.DataFrame({"win": wins, "ch_name": name, "corr": corr}))
+        out = pd.concat(out) if out else pd.DataFrame({"win": [], "ch_name": [], "corr": []})
+        out.insert(0, key, rows[key].iloc[0] if len(rows) else None)
+        return out
 
     return run
 

@@ -16,6 +16,7 @@ from ..plans.gram import correlation, pair_sums
 from ..plans.intervals import islands, merge_overlaps
 from ..plans.quantiles import exact_quantiles, median_and_mad
 from ..session import cut_lineage
+from .deviates import gesd
 
 CHANNEL = ["recording_id", "ch_name"]
 
@@ -79,21 +80,17 @@ def filtered(samples: DataFrame, taps, name: str, size: int = BLOCK, keys: list[
     return blocked.groupBy(*keys, "_block").applyInPandas(kernels.fir_block(keys, taps, name), schema)
 
 
-def windowed(samples: DataFrame, win: int, common: bool = False, skip_last: bool = False) -> DataFrame:
-    """Complete correlation windows of each channel, or with `common` those that all channels of the recording have; `skip_last` leaves out
-    the last one where the length is a multiple of the window."""
+def windowed(samples: DataFrame, win: int, skip_last: bool = False) -> DataFrame:
+    """Complete correlation windows of each channel; `skip_last` leaves out the last one where the length is a multiple of the window."""
     per = samples.groupBy(*CHANNEL).agg((F.max("t") + 1).alias("_n"))
-    keys = ["recording_id"] if common else CHANNEL
-    if common:
-        per = per.groupBy("recording_id").agg(F.min("_n").alias("_n"))
     count = F.ceil((F.col("_n") - win - 1) / F.lit(win)) if skip_last else F.floor(F.col("_n") / F.lit(win))
-    return samples.join(per, keys).withColumn("win", F.floor(F.col("t") / win).cast("bigint")).where(
+    return samples.join(per, CHANNEL).withColumn("win", F.floor(F.col("t") / win).cast("bigint")).where(
         F.col("win") < count).select(*CHANNEL, "win", "t", "value")
 
 
-def _chunks(samples: DataFrame, win: int, size: int, common: bool = False) -> DataFrame:
+def _chunks(samples: DataFrame, win: int, size: int) -> DataFrame:
     """Group several windows per task call; the group stays at about `size` samples of each channel."""
-    return windowed(samples, win, common).withColumn("_chunk", F.floor(F.col("win") / max(1, size // win)).cast("bigint"))
+    return windowed(samples, win).withColumn("_chunk", F.floor(F.col("win") / max(1, size // win)).cast("bigint"))
 
 
 CHUNK = 1 << 13
@@ -121,25 +118,45 @@ def bad_by_snr(hf_noise: DataFrame, low_correlation: DataFrame) -> DataFrame:
     return hf_noise.where("is_bad").select(*CHANNEL).intersect(low_correlation.where("is_bad").select(*CHANNEL))
 
 
-MAX_WEIGHTS = 5_000_000
+def random_subsets(channels: DataFrame, count: int, size: int, array: str = "array", seed: int = 0) -> DataFrame:
+    """(array, subset, predictor): `count` reproducible draws of `size` channels of each array (fewer where it has fewer), by an md5 of names and seed."""
+    drawn = channels.select(array, "ch_name").distinct().withColumn("subset", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    code = F.md5(F.concat_ws(":", F.col(array).cast("string"), F.col("subset").cast("string"), F.col("ch_name").cast("string"), F.lit(str(seed))).cast("binary"))
+    first = Window.partitionBy(array, "subset").orderBy("_code", "ch_name")  # channels of one array
+    return drawn.withColumn("_code", code).withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= size).select(
+        array, "subset", F.col("ch_name").alias("predictor"))
 
 
-def bad_by_ransac(samples: DataFrame, weights: DataFrame, win: int, corr_threshold: float = 0.75, fraction: float = 0.4) -> DataFrame:
+def interpolation_weights(positions: DataFrame, subsets: DataFrame, array: str = "array", ridge: float = 1e-5) -> DataFrame:
+    """(array, subset, ch_name, predictor, weight): spherical spline weights that give every channel of an array from each subset of its channels.
+
+    `positions(array, ch_name, x, y, z)` are taken as directions; channels without one (missing, or the origin) are neither predicted nor predictors.
+    """
+    types = dict(positions.dtypes)
+    schema = f"{array} {types[array]}, subset int, ch_name {types['ch_name']}, predictor {types['ch_name']}, weight double"
+    return positions.select(array, "ch_name", "x", "y", "z").groupBy(array).cogroup(
+        subsets.select(array, F.col("subset").cast("int").alias("subset"), "predictor").groupBy(array)).applyInPandas(kernels.spline_weights(array, ridge), schema)
+
+
+def bad_by_ransac(samples: DataFrame, weights: DataFrame, win: int, corr_threshold: float = 0.75, fraction: float = 0.4, array: str | None = None,
+                  size: int = CHUNK) -> DataFrame:
     """Correlation with the median of predictions from channel subsets, per window.
 
-    `weights(subset, ch_name, predictor, weight)` depends on the sensor array only; its size
-    is checked before it is shipped to the tasks.
+    `weights(subset, ch_name, predictor, weight)` hold for all recordings, or with `array` (a column of both tables) for those of one sensor array. They
+    meet the chunks of windows by a join, in tasks that hold one chunk and the weights of one array. Every complete window of a channel is judged, from
+    the channels that have it.
     """
-    rows = weights.select("subset", "ch_name", "predictor", "weight").limit(MAX_WEIGHTS + 1).collect()
-    if len(rows) > MAX_WEIGHTS:
-        raise ValueError("interpolation weights exceed the size that may be shipped to every task")
-    table: dict = {}
-    for r in rows:
-        table.setdefault(r["ch_name"], {}).setdefault(r["subset"], {})[r["predictor"]] = r["weight"]
-    table = {ch: [subsets[k] for k in sorted(subsets)] for ch, subsets in table.items()}
-    schema = _schema(samples, ["recording_id"], "win bigint, ch_name string, corr double")
-    per = _chunks(samples, win, CHUNK, common=True).groupBy("recording_id", "_chunk").applyInPandas(
-        kernels.ransac_windows("recording_id", win, table), schema)
+    array = array or "_array"
+    if array not in samples.columns:
+        samples, weights = samples.withColumn(array, F.lit(0)), weights.withColumn(array, F.lit(0))
+    kept = samples.select("recording_id", array, "ch_name", "t", "value")
+    arrays = kept.groupBy("recording_id").agg(F.first(array).alias(array))
+    rows = _chunks(kept, win, size)
+    keys = ["recording_id", "_chunk"]
+    needed = rows.select(*keys).distinct().join(arrays, "recording_id").join(weights.select(array, "subset", "ch_name", "predictor", "weight"), array)
+    needed = needed.select(*keys, "subset", "ch_name", "predictor", "weight").toDF("_of", "_in", "subset", "ch_name", "predictor", "weight")
+    per = rows.groupBy(*keys).cogroup(needed.groupBy("_of", "_in")).applyInPandas(
+        kernels.ransac_windows("recording_id", win), _schema(samples, ["recording_id"], "win bigint, ch_name string, corr double"))
     share = F.avg((F.col("corr") < corr_threshold).cast("double"))
     return per.groupBy(*CHANNEL).agg(share.alias("bad_fraction"), F.avg("corr").alias("mean_corr")).withColumn(
         "is_bad", F.col("bad_fraction") > fraction)
@@ -212,19 +229,6 @@ def merge_detectors(detections: list[tuple[str, DataFrame]], bads: DataFrame) ->
 
 # ------------------------------------------------------- extreme studentized deviate
 
-def gesd(values: DataFrame, keys: list[str], item: str, value: str, alpha: float = 0.05, p_out: float = 0.1, side: int = 0) -> DataFrame:
-    """Outlier marks over one value per item and group.
-
-    The samples are already aggregated: a group holds one number per channel, segment or epoch
-    (a recording of 10^10 time points in 1000-sample segments is 10^7 numbers), and the test
-    is O(n log n) in that count.
-    """
-    types = dict(values.dtypes)
-    schema = _schema(values, [*keys, item], f"{value} {types[value]}, is_outlier boolean")
-    return values.select(*keys, item, value).groupBy(*keys).applyInPandas(
-        kernels.esd_group(keys, item, value, alpha, p_out, side), schema)
-
-
 def bad_channels_gesd(samples: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Standard deviation per channel, tested within its type."""
     std = samples.groupBy("recording_id", "ch_type", "ch_name").agg(F.stddev_pop("value").alias("metric"))

@@ -87,21 +87,45 @@ def _(t):
     return op.bad_by_snr(hf(t), op.bad_by_correlation(consistency(t), 0.45, 0.1))
 
 
-@query("bad_by_ransac", with_views(f""", n0 AS (SELECT recording_id, min(n) AS n FROM (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2) GROUP BY 1),
-wn AS (SELECT s.recording_id, ch_name, t // {WIN} AS win, t, value FROM samples s JOIN n0 USING (recording_id) WHERE t // {WIN} < n // {WIN})""" + """,
-pr AS (SELECT a.recording_id, a.win, a.ch_name, a.t, any_value(a.value) AS own, (sum(b.value) - quantile_cont(b.value, 0.5)) / 3 AS est
-  FROM wn a JOIN wn b ON a.recording_id = b.recording_id AND a.t = b.t AND a.ch_name <> b.ch_name GROUP BY 1, 2, 3, 4),
+@query("bad_by_ransac", with_views(f""", n0 AS (SELECT recording_id, ch_name, max(t) + 1 AS n FROM samples GROUP BY 1, 2),
+wn AS (SELECT s.dataset, s.recording_id, ch_name, t // {WIN} AS win, t, value FROM samples s JOIN n0 USING (recording_id, ch_name) WHERE t // {WIN} < n // {WIN})""" + """,
+ch AS (SELECT DISTINCT dataset, ch_name FROM samples),
+ot AS (SELECT a.recording_id, a.win, a.ch_name, a.t, a.value AS own, l.ch_name AS left_out, avg(b.value) AS est, count(b.value) AS m
+  FROM wn a JOIN ch l ON l.dataset = a.dataset AND l.ch_name <> a.ch_name
+  JOIN wn b ON b.recording_id = a.recording_id AND b.t = a.t AND b.ch_name <> a.ch_name AND b.ch_name <> l.ch_name GROUP BY ALL),
+nc AS (SELECT dataset, count(*) - 2 AS predictors FROM ch GROUP BY 1),
+pr AS (SELECT recording_id, win, ch_name, t, any_value(own) AS own, quantile_cont(est, 0.5) AS est FROM ot
+  JOIN (SELECT DISTINCT dataset, recording_id FROM samples) USING (recording_id) JOIN nc USING (dataset) WHERE 2 * m >= predictors GROUP BY 1, 2, 3, 4),
 rc AS (SELECT recording_id, win, ch_name, corr(own, est) AS c FROM pr GROUP BY 1, 2, 3)
 SELECT recording_id, ch_name, round(avg(CASE WHEN c < 0.2e0 THEN 1e0 ELSE 0e0 END), 6) AS bad_fraction, round(avg(c), 6) + 0e0 AS mean_corr,
   avg(CASE WHEN c < 0.2e0 THEN 1e0 ELSE 0e0 END) > 0.4e0 AS is_bad FROM rc GROUP BY 1, 2""", "samples"))
 def _(t):
-    names = t.samples().select("ch_name").distinct()
-    pool = names.agg(F.array_sort(F.collect_set("ch_name")).alias("pool"))
+    pool = t.samples().groupBy("dataset").agg(F.array_sort(F.collect_set("ch_name")).alias("pool"))
     # every subset leaves one other channel out and averages the rest
-    subsets = names.join(pool).select("ch_name", F.explode(F.array_remove(F.col("pool"), F.col("ch_name"))).alias("left_out"), "pool")
-    weights = subsets.select(F.col("left_out").alias("subset"), "ch_name", F.explode(F.array_remove(
-        F.array_remove(F.col("pool"), F.col("ch_name")), F.col("left_out"))).alias("predictor"), F.lit(1 / 3).alias("weight"))
-    return op.bad_by_ransac(t.samples(), weights, WIN, 0.2).withColumns({"bad_fraction": r6("bad_fraction"), "mean_corr": r6("mean_corr")})
+    pairs = pool.select("dataset", "pool", F.explode("pool").alias("ch_name")).select("dataset", "ch_name", F.explode(F.array_remove("pool", F.col("ch_name"))).alias("left_out"), "pool")
+    rest = F.array_remove(F.array_remove("pool", F.col("ch_name")), F.col("left_out"))
+    weights = pairs.select("dataset", F.col("left_out").alias("subset"), "ch_name", F.explode(rest).alias("predictor"), (1 / F.size(rest)).alias("weight"))
+    return op.bad_by_ransac(t.samples(), weights, WIN, 0.2, array="dataset").withColumns({"bad_fraction": r6("bad_fraction"), "mean_corr": r6("mean_corr")})
+
+
+@query("interpolation_weights", with_views(""", dir AS (SELECT label AS arr, vec_id AS ch_name, e[1] / r AS x, e[2] / r AS y, e[3] / r AS z FROM (
+  SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(CAST(embedding[1] AS DOUBLE) ** 2 + CAST(embedding[2] AS DOUBLE) ** 2 + CAST(embedding[3] AS DOUBLE) ** 2) AS r FROM embeddings)),
+dr AS (SELECT d.arr, s AS subset, d.ch_name, row_number() OVER (PARTITION BY d.arr, s ORDER BY md5(d.arr || ':' || s || ':' || d.ch_name || ':0'), d.ch_name) AS r FROM dir d, range(0, 3) u(s)),
+pr AS (SELECT p.arr, p.subset, p.ch_name AS p, q.ch_name AS q FROM dr p JOIN dr q ON p.arr = q.arr AND p.subset = q.subset AND p.r = 1 AND q.r = 2),
+cs AS (SELECT pr.*, d.ch_name, least(d.x * a.x + d.y * a.y + d.z * a.z, 1e0) AS ca, least(d.x * b.x + d.y * b.y + d.z * b.z, 1e0) AS cb, a.x * b.x + a.y * b.y + a.z * b.z AS cc
+  FROM pr JOIN dir a ON a.arr = pr.arr AND a.ch_name = pr.p JOIN dir b ON b.arr = pr.arr AND b.ch_name = pr.q JOIN dir d ON d.arr = pr.arr),
+lg AS (SELECT arr, subset, ch_name, p, q, u.k, u.c, 1 AS n, 1e0 AS before, u.c AS now, 3e0 / 16 * u.c AS total FROM cs, LATERAL (SELECT unnest([0, 1, 2, 3]) AS k, unnest([ca, cb, cc, 1e0]) AS c) u
+  UNION ALL SELECT arr, subset, ch_name, p, q, k, c, n + 1, now, ((2 * n + 1) * c * now - n * before) / (n + 1),
+    total + (2 * n + 3) / pow((n + 1) * (n + 2)::DOUBLE, 4) * ((2 * n + 1) * c * now - n * before) / (n + 1) FROM lg WHERE n < 50),
+g AS (SELECT arr, subset, ch_name, p, q, max(total) FILTER (k = 0) / (4 * pi()) AS ga, max(total) FILTER (k = 1) / (4 * pi()) AS gb, max(total) FILTER (k = 2) / (4 * pi()) AS gc,
+  max(total) FILTER (k = 3) / (4 * pi()) AS g0 FROM lg WHERE n = 50 GROUP BY 1, 2, 3, 4, 5),
+w AS (SELECT *, 0.5e0 + (ga - gb) / (2 * (g0 + 1e-5 - gc)) AS wp FROM g)
+SELECT arr AS "array", CAST(subset AS INTEGER) AS subset, ch_name, p AS predictor, round(wp, 6) + 0e0 AS weight FROM w UNION ALL SELECT arr, CAST(subset AS INTEGER), ch_name, q, round(1 - wp, 6) + 0e0 FROM w""",
+                                                 "points").replace("WITH ", "WITH RECURSIVE ", 1))
+def _(t):
+    at = F.col("embedding")
+    places = t.table("embeddings").select(F.col("label").alias("array"), F.col("vec_id").alias("ch_name"), *[at[i].cast("double").alias(c) for i, c in enumerate("xyz")])
+    return op.interpolation_weights(places, op.random_subsets(places, 3, 2)).withColumn("weight", r6("weight"))
 
 
 @query("bad_by_psd", with_views(""",
@@ -120,30 +144,78 @@ def _(t):
     return out.withColumns({"mean_power": r6("mean_power"), "threshold": r6("threshold")})
 
 
-@query("gesd")
+def esd_sql(name: str, source: str, keys: str, item: str, value: str, alpha: float, p_out: float = 0.1, side: int = 0, most: int = 600) -> str:
+    """Twin of the iterative test as recursive expressions ending in `name` (keys, item, value, is_outlier), for groups of up to `most` values: two ends move
+    over the sorted values of a group, one removal a row. Critical values stand in a table by the number of values left."""
+    critical = kernels.CriticalValues(alpha / 2 if side == 0 else alpha)
+    table = ", ".join(f"({m}, {critical[m]!r}::DOUBLE)" for m in range(3, most + 1))
+    low = {0: "mean - z[lo] > z[hi] - mean", 1: "false", -1: "true"}[side]
+    return f""", {name}_v AS ({source}), {name}_c AS (SELECT * FROM (VALUES {table}) v(m, c)),
+{name}_g AS (SELECT {keys}, count(*) AS n_all, count(*) FILTER (isfinite({value})) AS n, avg({value}) FILTER (isfinite({value})) AS mean0,
+  list({item} ORDER BY {value}, {item}) FILTER (isfinite({value})) AS items, list({value} ORDER BY {value}, {item}) FILTER (isfinite({value})) AS x FROM {name}_v GROUP BY {keys}),
+{name}_z AS (SELECT *, least(ceil(n_all * {p_out}e0), n - 2) AS k, [v - mean0 FOR v IN x] AS z FROM {name}_g),
+{name}_r AS (
+  SELECT {keys}, 0 AS j, CAST(1 AS BIGINT) AS lo, n AS hi, list_sum(z) AS total, list_sum([v * v FOR v IN z]) AS square, CAST(NULL AS BIGINT) AS removed, 0e0 AS stat FROM {name}_z WHERE k >= 1
+  UNION ALL
+  SELECT {keys}, j + 1, CASE WHEN low THEN lo + 1 ELSE lo END, CASE WHEN low THEN hi ELSE hi - 1 END, total - z[pos], square - z[pos] * z[pos], pos,
+    CASE WHEN square / (n - j) > mean * mean THEN abs(z[pos] - mean) / sqrt(square / (n - j) - mean * mean) ELSE 0e0 END
+  FROM (SELECT *, CASE WHEN low THEN lo ELSE hi END AS pos FROM (SELECT *, {low} AS low FROM (
+    SELECT *, total / (n - j) AS mean FROM {name}_r JOIN {name}_z USING ({keys}) WHERE j < k)))),
+{name}_m AS (SELECT {keys}, items[removed] AS {item}, true AS hit FROM {name}_r JOIN {name}_z USING ({keys}) JOIN {name}_c ON m = n - j + 1 WHERE j > 0 AND stat > c),
+{name} AS (SELECT {keys}, {item}, {value}, coalesce(hit, false) AS is_outlier FROM {name}_v LEFT JOIN {name}_m USING ({keys}, {item})) """
+
+
+def with_esd(body: str, *views: str) -> str:
+    return with_views(body, *views).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def spans_sql(flags: str, lengths: str, length: int, shift: int = 0) -> str:
+    """Intervals of runs of marked segments."""
+    return f"""SELECT recording_id, ch_type, (greatest(a * {length} - 1, 0) + {shift}) / 250e0 AS onset, (least(b * {length} + {length}, n) - 1 - greatest(a * {length} - 1, 0)) / 250e0 AS duration
+FROM (SELECT recording_id, ch_type, min(segment) AS a, max(segment) AS b FROM (SELECT recording_id, ch_type, segment,
+  segment - row_number() OVER (PARTITION BY recording_id, ch_type ORDER BY segment) AS run FROM {flags} WHERE is_outlier) GROUP BY recording_id, ch_type, run) JOIN {lengths} USING (recording_id, ch_type)"""
+
+
+@query("gesd", with_esd(esd_sql("ot", "SELECT device_type, category, recording_id, value FROM metrics", "device_type, category", "recording_id", "value", 0.05)
+                        + "SELECT device_type, category, recording_id, round(value, 6) AS value, is_outlier FROM ot", "metrics"))
 def _(t):
     m = t.metrics()
     return op.gesd(m, ["device_type", "category"], "recording_id", "value").withColumn("value", r6("value"))
 
 
-@query("bad_channels_gesd")
+@query("bad_channels_gesd", with_esd(esd_sql("ot", "SELECT recording_id, ch_type, ch_name, stddev_pop(value) AS metric FROM samples GROUP BY 1, 2, 3", "recording_id, ch_type",
+                                             "ch_name", "metric", 0.2)
+                                     + "SELECT recording_id, ch_type, ch_name, round(metric, 6) AS metric, is_outlier FROM ot", "samples"))
 def _(t):
     return op.bad_channels_gesd(t.samples(), 0.2).withColumn("metric", r6("metric"))
 
 
-@query("bad_segments_gesd")
+SEGMENTS = "recording_id, ch_type"
+
+
+@query("bad_segments_gesd", with_esd(""", ns AS (SELECT recording_id, ch_type, max(t) + 1 AS n FROM samples GROUP BY 1, 2),
+df AS (SELECT recording_id, ch_type, ch_name, t - 1 AS t, value - prev AS value FROM (SELECT *, lag(value) OVER (PARTITION BY recording_id, ch_name ORDER BY t) AS prev FROM samples) WHERE prev IS NOT NULL),
+nd AS (SELECT recording_id, ch_type, max(t) + 1 AS n FROM df GROUP BY 1, 2)"""
+    + esd_sql("oa", "SELECT recording_id, ch_type, t // 10 AS segment, stddev_pop(value) AS metric FROM samples GROUP BY 1, 2, 3", SEGMENTS, "segment", "metric", 0.2)
+    + esd_sql("ob", "SELECT recording_id, ch_type, t // 10 AS segment, CASE WHEN var_pop(value) > 0 THEN coalesce(kurtosis_pop(value), 0e0) ELSE 0e0 END AS metric FROM df GROUP BY 1, 2, 3", SEGMENTS, "segment", "metric", 0.2)
+    + f"SELECT *, 'std' AS mode FROM ({spans_sql('oa', 'ns', 10)}) UNION ALL SELECT *, 'diff' FROM ({spans_sql('ob', 'nd', 10, 1)})", "samples"))
 def _(t):
     a = op.bad_segments_gesd(t.samples(), SFREQ, 10, alpha=0.2).withColumn("mode", F.lit("std"))
     b = op.bad_segments_gesd(t.samples(), SFREQ, 10, "kurtosis", "diff", alpha=0.2).withColumn("mode", F.lit("diff"))
     return a.unionByName(b)
 
 
-@query("bad_segments_channelwise")
+@query("bad_segments_channelwise", with_esd(
+    esd_sql("oc", "SELECT recording_id, ch_type, ch_name, t // 10 AS segment, stddev_pop(value) AS metric FROM samples GROUP BY 1, 2, 3, 4", "recording_id, ch_type, ch_name", "segment", "metric", 0.2)
+    + f""", ns AS (SELECT recording_id, ch_type, max(t) + 1 AS n FROM samples GROUP BY 1, 2),
+vt AS (SELECT recording_id, ch_type, segment, bool_or(is_outlier) AS is_outlier FROM oc GROUP BY 1, 2, 3)
+{spans_sql('vt', 'ns', 10)}""", "samples"))
 def _(t):
     return op.bad_segments_channelwise(t.samples(), SFREQ, 10, threshold="any", alpha=0.2)
 
 
-@query("bad_epochs_gesd")
+@query("bad_epochs_gesd", with_esd(EP + esd_sql("oe", """SELECT recording_id, ch_type, epoch, avg(m) AS metric FROM (SELECT recording_id, ch_type, epoch, ch_name, stddev_pop(value) AS m FROM ep
+  GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3""", SEGMENTS, "epoch", "metric", 0.05) + "SELECT recording_id, ch_type, epoch, round(metric, 6) AS metric, is_outlier FROM oe", "triggers", "samples"))
 def _(t):
     return op.bad_epochs_gesd(epochs(t)).withColumn("metric", r6("metric"))
 

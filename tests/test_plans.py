@@ -190,11 +190,34 @@ def test_null_keys_are_groups_like_others(spark):
 
 
 def test_quantiles_of_values_with_an_offset(spark):
-    from sensorloom.plans.quantiles import _bucket, exact_quantiles
+    from sensorloom.plans.quantiles import exact_quantiles
 
     v = 1e6 + np.random.default_rng(3).normal(size=5000)
     df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": [*v, np.inf, -np.inf]}))
     got = exact_quantiles(df, ["k"], "v", {"lo": 0.0, "a": 0.1, "m": 0.5, "hi": 1.0}).first()
     assert np.allclose(got[1:], [-np.inf, *np.quantile([*v, np.inf, -np.inf], [0.1, 0.5]), np.inf], atol=1e-9)
-    finite = df.where(F.abs("v") < 1e9)
-    assert finite.select(_bucket(F.col("v"), F.lit(float(v.min()))).alias("b")).distinct().count() > 1000
+
+
+def test_no_part_of_the_selection_is_crowded(spark):
+    """One low value far below the others, which lie close together: the second digit still tells them apart."""
+    from sensorloom.plans.quantiles import FIRST, SECOND, exact_quantiles, ordered_bits
+
+    v = np.append(0.0, 1e6 + np.random.default_rng(4).normal(size=20_000))
+    df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": v}))
+    parts = df.groupBy(F.shiftright(ordered_bits(F.col("v")), SECOND).alias("p")).count()
+    assert parts.agg(F.max("count")).first()[0] < 50
+    assert df.groupBy(F.shiftright(ordered_bits(F.col("v")), FIRST).alias("b")).count().count() < 10
+    got = exact_quantiles(df, ["k"], "v", {"a": 0.01, "m": 0.5, "z": 0.999}).first()
+    assert np.allclose(got[1:], np.quantile(v, [0.01, 0.5, 0.999]), rtol=1e-15)
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    from sensorloom.plans.quantiles import ordered_bits
+
+    edge = np.array([2.0**e for e in range(-1074, 1024, 7)])
+    v = np.concatenate([edge, np.nextafter(edge, np.inf), np.nextafter(edge, 0), np.random.default_rng(1).normal(size=500) * 1e3, [0.0, np.inf, 1.7976931348623157e308, 2.2250738585072014e-308]])
+    v = np.concatenate([v, -v])
+    bits = np.abs(v).view(np.int64)
+    want = np.where(v < 0, -bits, bits)
+    got = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", ordered_bits(F.col("v")).alias("b")).toPandas()
+    assert (got["v"].to_numpy() == v).all() and (got["b"].to_numpy() == want).all()
