@@ -125,6 +125,10 @@ def logistic(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float
     return max(a, 0.1), b
 
 
+#: Steps of the draw of the sample, far finer than any share of a table.
+DRAWS = 1 << 40
+
+
 def counts_and_sample(rows: DataFrame, shares: list[float]) -> DataFrame:
     """One pass over all labelled rows (doc_id, text, label): documents of each class (k) that have each bucket, summed within tasks; and the texts
     of a share of each class, chosen by a hash of the id, with a fold of 0 to 3. Bucket BUCKETS counts all documents of a class."""
@@ -137,14 +141,14 @@ def counts_and_sample(rows: DataFrame, shares: list[float]) -> DataFrame:
             for text, label in zip(texts, labels):
                 total[label, indicators(text, seen)] += 1
                 total[label, BUCKETS] += 1
-            some = [i for i, d in enumerate(draws) if d < shares[labels[i]] * 1_000_000]
+            some = [i for i, d in enumerate(draws) if d < shares[labels[i]] * DRAWS]
             if some:
                 yield record({"k": [labels[i] for i in some], "bucket": [None] * len(some), "n": [None] * len(some), "sample": [texts[i] for i in some],
                               "fold": [folds[i] for i in some]}, kinds)
         k, bucket = np.nonzero(total)
         yield record({"k": k, "bucket": bucket, "n": total[k, bucket], "sample": [None] * len(k), "fold": [None] * len(k)}, kinds)
 
-    drawn = rows.select("text", "label", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(1_000_000)).alias("draw"),
+    drawn = rows.select("text", "label", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(DRAWS)).alias("draw"),
                         F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(4)).cast("int").alias("fold"))
     return drawn.mapInArrow(run, "k int, bucket int, n long, sample binary, fold int")
 
@@ -160,7 +164,9 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min(label_col).cast("int").alias("label"))
     rows = docs.where(training).select(F.col(id_col).cast("long").alias("doc_id"), text_bytes().alias("text")).join(
         known.hint("shuffle_hash"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
-    labelled = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    ids = docs.where(training).select(F.col(id_col).cast("long").alias("doc_id"))
+    used = ids.join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("__id"))  # labels of other rows, or of none, say nothing
+    labelled = {r["label"]: r["n"] for r in used.groupBy("label").agg(F.count("*").alias("n")).collect()}
     shares = [min(1.0, sample / 2 / max(labelled.get(k, 0), 1)) for k in (0, 1)]
     found = written(counts_and_sample(rows, shares))
     sums = found.where("bucket is not null").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()

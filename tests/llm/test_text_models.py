@@ -249,3 +249,15 @@ def test_class_chances_sum_to_one(spark):
         members = m.class_of == k
         if members.any():
             assert np.allclose(share[members].sum(axis=0), 1, atol=1e-3)
+
+
+def test_labels_that_are_held_out_change_no_score(spark):
+    """Neither held-out labels nor labels of rows that are not there reach the sample shares, the counts or the calibration."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    held = split_number("doc_id", 5) == 0
+    flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    more = labels.where(~held).union(spark.createDataFrame([(10_000_000 + i, 1, 0) for i in range(300)], labels.schema))
+    made = [quality.fit(docs, x, quality.training_rows(), sample=40) for x in (labels, flipped, labels.where(~held), more)]
+    scores = [{r.doc_id: r.score for r in quality.predict(docs, m).collect()} for m in made]
+    assert all(np.isclose(m.shift, made[0].shift) and np.isclose(m.slope, made[0].slope) for m in made)
+    assert all(np.isclose(s[i], scores[0][i], atol=1e-6) for s in scores[1:] for i in s)

@@ -483,3 +483,62 @@ def test_media_source_is_found_whichever_session_is_active(spark, tmp_path):
     sessions.setActiveSession(spark.newSession()._jsparkSession)
     docs = spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string")
     assert media.media_columns(docs, folder=str(tmp_path / "m")).count() == 2
+
+
+def test_groups_in_a_task_are_those_of_all_pairs():
+    rng = random.Random(8)
+    for _ in range(60):
+        base = [rng.sample(range(400), rng.choice((3, 20, 60))) for _ in range(rng.randrange(1, 4))]
+        sets = [np.array(sorted(set(rng.choice(base)) ^ set(rng.sample(range(400), rng.randrange(6))))) for _ in range(rng.randrange(2, 25))] + [np.zeros(0, np.int64)]
+        for _ in range(3):  # chains: each a step from the one before
+            sets.append(np.array(sorted(set(sets[-2 if len(sets[-1]) == 0 else -1].tolist()) ^ {rng.randrange(400)})))
+        group = list(range(len(sets)))
+        for i, j in combinations(range(len(sets)), 2):
+            common = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+            if common * 100 >= (len(sets[i]) + len(sets[j]) - common) * 80 and min(len(sets[i]), len(sets[j])):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+        assert copies.groups_of(sets, 80) == group
+
+
+def test_large_components_by_joins_give_the_same_rows(spark):
+    """With no room in a task every component goes through the joins; rows that are there twice and odd texts change nothing."""
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(800)]
+    texts = [rng.choices(words, k=120) for _ in range(12)]
+    for t in texts[:9]:
+        step = t
+        for k in range(6):
+            step = [*step[: 12 * k], f"new{k}", *step[12 * k + 1 :]]
+            texts.append(step)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(None, None), (900, ""), (901, " ".join(texts[0])), (None, " ".join(texts[1])), (3, " ".join(texts[3]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    small = Counter(tuple(r) for r in copies.keep_one(docs).collect())
+    assert small == Counter(tuple(r) for r in copies.keep_one(docs, together=0).collect())
+    group = by_shingles([(t or "").encode() for _, t in rows])
+    assert sum(small.values()) == len(set(group))
+
+
+def test_all_fingerprints_are_dealt_at_once_and_crowded_buckets_again(spark):
+    rng = random.Random(6)
+    base = [[rng.getrandbits(64) for _ in range(2)] for _ in range(40)]
+    nodes = []
+    for i, f in enumerate(base):
+        nodes.append((i, *map(simhash.signed, f)))
+        near = [x ^ 1 << rng.randrange(64) for x in f]
+        nodes.append((100 + i, simhash.signed(near[0]), simhash.signed(rng.getrandbits(64))))
+        nodes.append((200 + i, simhash.signed(rng.getrandbits(64)), simhash.signed(near[1])))
+    df = spark.createDataFrame(nodes, "node long, f0 long, f1 long")
+    expected = roots_of_nodes(nodes)
+    for limit in (65536, 2):
+        found = {r.node: r.root for r in simhash.components(copies.candidates(df, 2, 5, 8, limit)).collect()}
+        assert {n: found.get(n, n) for n in expected} == expected
+
+
+def roots_of_nodes(nodes):
+    group = {n[0]: n[0] for n in nodes}
+    for x, y in combinations(nodes, 2):
+        if any(((a ^ b) & (1 << 64) - 1).bit_count() <= 5 for a, b in zip(x[1:], y[1:])):
+            low, high = sorted((group[x[0]], group[y[0]]))
+            group = {n: low if g == high else g for n, g in group.items()}
+    return group
