@@ -7,6 +7,7 @@ value, so executors need no installed copy of the package.
 
 import math
 from collections import deque
+from fractions import Fraction
 from statistics import NormalDist
 
 import numpy as np
@@ -439,44 +440,66 @@ def fir_block(keys, taps, name):
     return run
 
 
-def envelope_block(keys, taps):
-    """Amplitude envelope of the band-passed block (analytic signal by FFT), core samples only."""
+def hilbert_taps(taps):
+    """Quarter-turn filter of odd length: 2 / (pi k) at odd distances, windowed."""
+    k = np.arange(taps) - taps // 2
+    h = np.where(k % 2 != 0, 2.0 / (np.pi * np.where(k == 0, 1, k)), 0.0)
+    return h * (0.54 + 0.46 * np.cos(np.pi * k / (taps // 2 + 1)))
+
+
+def analytic_taps(low, high, sfreq, taps):
+    """Band-pass and the same band turned by a quarter, of equal odd length: the root of their squares is the envelope of the band."""
+    band, turn = bandpass_taps(low, high, sfreq, taps), hilbert_taps(taps)
+    return np.pad(band, taps // 2), np.convolve(band, turn)
+
+
+def envelope_block(keys, in_phase, quarter):
+    """Amplitude envelope of one block with halo, from a pair of filters; core samples only. Samples beyond the recording mirror the edge."""
 
     def run(pdf):
         pdf = pdf.sort_values("t")
         x = pdf["value"].to_numpy(float)
-        half = len(taps) // 2
+        half = len(in_phase) // 2
         pad = min(half, len(x) - 1)
-        y = np.convolve(np.pad(np.pad(x, pad, mode="reflect"), half - pad, mode="edge"), taps, mode="valid")
-        n = len(y)
-        gain = np.zeros(n)
-        gain[0] = 1.0
-        gain[1 : (n + 1) // 2] = 2.0
-        if n % 2 == 0:
-            gain[n // 2] = 1.0
-        pdf["envelope"] = np.abs(np.fft.ifft(np.fft.fft(y) * gain))
+        y = np.pad(np.pad(x, pad, mode="reflect"), half - pad, mode="edge")
+        pdf["envelope"] = np.hypot(np.convolve(y, in_phase, mode="valid"), np.convolve(y, quarter, mode="valid"))
         return pdf.loc[pdf["_core"], [*keys, "t", "envelope"]]
 
     return run
 
 
-def resample_block(keys, size, old, new, half):
-    """Windowed-sinc interpolation at the new sample times that fall into this block."""
+def rate_ratio(old, new):
+    """The rates as whole numbers (up, down): output k stands at k * down / up input samples."""
+    ratio = Fraction(new).limit_denominator(1000) / Fraction(old).limit_denominator(1000)
+    return ratio.numerator, ratio.denominator
+
+
+def phase_weights(phase, up, down, half):
+    """Input weights at the whole distances -reach + 1 to reach of outputs that stand `phase` / `up` samples after an input sample: windowed sinc with `half`
+    lobes on each side at the lower of both rates, so its width in input samples grows when the rate falls."""
+    cut = min(1.0, up / down)
+    reach = math.ceil(half / cut)
+    d = (np.asarray(phase)[:, None] / up - np.arange(-reach + 1, reach + 1)[None, :]) * cut
+    w = np.sinc(d) * np.where(np.abs(d) < half, np.cos(np.pi * d / (2 * half)) ** 2, 0.0)
+    return w / w.sum(axis=1, keepdims=True)
+
+
+def resample_block(keys, size, up, down, half):
+    """Polyphase interpolation at the outputs whose input sample lies in this block; samples beyond the recording repeat its edge."""
 
     def run(pdf):
         pdf = pdf.sort_values("t")
         t, x, b = pdf["t"].to_numpy(), pdf["value"].to_numpy(float), int(pdf["_block"].iloc[0])
-        step = old / new
-        k = np.arange(math.ceil(b * size / step - 1e-9), math.ceil((b + 1) * size / step - 1e-9))
-        k = k[(k * step <= t[-1] + 1e-9) & (k * step >= t[0] - 1e-9)]
-        at = k * step
-        cut = min(1.0, new / old)
-        near = np.floor(at)[:, None] + np.arange(-half + 1, half + 1)[None, :]
-        d = (at[:, None] - near) * cut
-        w = np.sinc(d) * np.where(np.abs(d) < half * cut, np.cos(np.pi * d / (2 * half * cut)) ** 2, 0.0)
-        idx = np.clip(near - t[0], 0, len(t) - 1).astype(int)
-        w = w / w.sum(axis=1, keepdims=True)
-        out = pd.DataFrame({"t": k.astype("int64"), "value": (x[idx] * w).sum(axis=1).astype(float)})
+        k = np.arange(-(-b * size * up // down), -(-(b + 1) * size * up // down))
+        k = k[(k >= 0) & (k * down <= int(t[-1]) * up)]
+        phases, which = np.unique(k * down % up, return_inverse=True)
+        w = phase_weights(phases, up, down, half)
+        reach = w.shape[1] // 2
+        out = np.empty(len(k))
+        for part in np.array_split(np.arange(len(k)), max(1, len(k) * 2 * reach // (1 << 22))):
+            near = (k[part] * down // up)[:, None] + np.arange(-reach + 1, reach + 1)[None, :]
+            out[part] = (x[np.clip(near - t[0], 0, len(t) - 1)] * w[which[part]]).sum(axis=1)
+        out = pd.DataFrame({"t": k.astype("int64"), "value": out})
         for key in reversed(keys):
             out.insert(0, key, pdf[key].iloc[0])
         return out
@@ -553,7 +576,7 @@ def spline_weights(array, ridge):
             system[k, k] = 0
             w = np.linalg.solve(system, np.vstack([g[at], np.ones((1, len(names)))]))[:k].T
             out.append(pd.DataFrame({"subset": subset, "ch_name": np.repeat(names, k), "predictor": np.tile(names[at], len(names)), "weight": w.ravel()}))
-        out = pd.concat(out) if out else pd.DataFrame({"subset": [], "ch_name": [], "predictor": [], "weight": []})
+        out = pd.concat(out) if out else pd.DataFrame(columns=["subset", "ch_name", "predictor", "weight"])
         out.insert(0, array, (places if len(places) else chosen)[array].iloc[0] if len(places) or len(chosen) else None)
         return out
 
@@ -604,7 +627,7 @@ def ransac_windows(key, length, least=0.5):
                 size = np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1))
                 corr = np.divide((a * b).sum(axis=1), size, out=np.zeros(len(wins)), where=size > 0)
                 out.append(pd.DataFrame({"win": wins, "ch_name": name, "corr": corr}))
-        out = pd.concat(out) if out else pd.DataFrame({"win": [], "ch_name": [], "corr": []})
+        out = pd.concat(out) if out else pd.DataFrame(columns=["win", "ch_name", "corr"])
         out.insert(0, key, rows[key].iloc[0] if len(rows) else None)
         return out
 

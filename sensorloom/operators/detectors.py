@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.expr import IQR_TO_SD, MAD_TO_SD, finite, matlab_quantile
-from ..plans.blocks import BLOCK, neighbours, rolling, with_blocks
+from ..plans.blocks import BLOCK, neighbours, with_blocks
 from ..plans.gram import correlation, pair_sums
 from ..plans.intervals import islands, merge_overlaps
 from ..plans.quantiles import exact_quantiles, median_and_mad
@@ -314,21 +314,23 @@ def annotate_amplitude(samples: DataFrame, sfreq: float, peak: float | None, fla
 
 
 def muscle_zscore(samples: DataFrame, sfreq: float, band: tuple[float, float] = (110.0, 140.0), threshold: float = 4.0,
-                  min_good: float = 0.1, taps: int = 129, smooth: float = 0.25, size: int = BLOCK) -> DataFrame:
+                  min_good: float = 0.1, taps: int = 129, cutoff: float = 4.0, smooth_taps: int | None = None, size: int = BLOCK) -> DataFrame:
     """Spans where the summed z-score of the band envelope is high.
 
-    Envelope per block with halo, z over each whole channel, sum over channels / sqrt(count),
-    moving average as low-pass, good gaps shorter than `min_good` seconds are swallowed.
+    Envelope by a pair of filters a quarter apart, z over each whole channel, sum over channels / sqrt(count), zero-phase low-pass at `cutoff` Hz
+    (`smooth_taps` long, by default for a transition of 2 Hz); good gaps shorter than `min_good` seconds are swallowed. All filters have their whole
+    halo, so the result does not depend on the block size.
     """
-    halo = taps
+    pair = kernels.analytic_taps(band[0], band[1], sfreq, taps)
+    halo = len(pair[0]) // 2
+    smooth_taps = smooth_taps or int(1.65 * sfreq) // 2 * 2 + 1
     cols = samples.select(*CHANNEL, "t", F.col("value").cast("double").alias("value"))
     env = with_blocks(cols, size=size, before=halo, after=halo).groupBy(*CHANNEL, "_block").applyInPandas(
-        kernels.envelope_block(CHANNEL, kernels.bandpass_taps(band[0], band[1], sfreq, taps)), _schema(samples, CHANNEL, "t bigint, envelope double"))
+        kernels.envelope_block(CHANNEL, *pair), _schema(samples, CHANNEL, "t bigint, envelope double"))
     stats = env.groupBy(*CHANNEL).agg(F.avg("envelope").alias("_m"), F.stddev_pop("envelope").alias("_s"))
     z = env.join(stats, CHANNEL).withColumn("z", F.when(F.col("_s") > 0, (F.col("envelope") - F.col("_m")) / F.col("_s")).otherwise(0e0))
     total = z.groupBy("recording_id", "t").agg((F.sum("z") / F.sqrt(F.count("*"))).alias("score"))
-    half = max(int(smooth * sfreq) // 2, 0)
-    smoothed = rolling(total, ["recording_id"], "smoothed", F.avg("score"), half, half, size=size)
+    smoothed = filtered(total.withColumnRenamed("score", "value"), kernels.lowpass_taps(cutoff, sfreq, smooth_taps), "smoothed", size, ["recording_id"])
     runs = islands(smoothed.where(F.col("smoothed") > threshold), ["recording_id"], extra={"peak": "smoothed"}, size=size)
     merged = merge_overlaps(runs, ["recording_id"], float(size), gap=int(min_good * sfreq), extra={"peak": "peak"})
     return merged.select("recording_id", (F.col("start") / F.lit(sfreq)).alias("onset"),

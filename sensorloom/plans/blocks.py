@@ -17,12 +17,13 @@ BLOCK = 1 << 16
 
 def with_blocks(df: DataFrame, t: str = "t", size: int = BLOCK, before: int = 0, after: int = 0) -> DataFrame:
     """Add `_block` and `_core`; halo copies have `_core = false`."""
-    if max(before, after) > size:
-        raise ValueError("halo must not exceed the block size")
     own = F.floor(F.col(t) / F.lit(size)).cast("bigint")
     offset = F.col(t) - own * F.lit(size)
     if not before and not after:
         return df.withColumn("_block", own).withColumn("_core", F.lit(True))
+    if max(before, after) > size:  # the halo reaches over several blocks
+        first, last = (F.floor((F.col(t) + F.lit(d)) / F.lit(size)).cast("bigint") for d in (-after, before))
+        return df.withColumn("_block", F.explode(F.sequence(first, last))).withColumn("_core", F.col("_block") == own)
     # most rows keep the one-entry array: no row pays for building and compacting a longer one
     late, early = offset >= F.lit(size - before), offset < F.lit(after)
     targets = F.array(own)

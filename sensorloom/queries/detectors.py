@@ -257,9 +257,19 @@ def _(t):
     return op.annotate_amplitude(t.samples(), SFREQ, 100.0, 0.5, 4.0)[1].withColumn("percent", r6("percent"))
 
 
-@query("muscle_zscore")
+MUSCLE = kernels.analytic_taps(60.0, 100.0, SFREQ, 33)
+
+
+@query("muscle_zscore", with_views(fir_sql(MUSCLE[0], "fa") + fir_sql(MUSCLE[1], "fb") + """,
+en AS (SELECT recording_id, ch_name, t, sqrt(fa.y * fa.y + fb.y * fb.y) AS e FROM fa JOIN fb USING (recording_id, ch_name, t)),
+mo AS (SELECT recording_id, ch_name, avg(e) AS m, stddev_pop(e) AS s FROM en GROUP BY 1, 2),
+sc AS (SELECT recording_id, 'all' AS ch_name, t, sum(CASE WHEN s > 0 THEN (e - m) / s ELSE 0e0 END) / sqrt(count(*)) AS value FROM en JOIN mo USING (recording_id, ch_name) GROUP BY 1, 3)"""
+    + fir_sql(kernels.lowpass_taps(12.0, SFREQ, 15), "lp", "sc") + """,
+hi AS (SELECT recording_id, t, y, lag(t) OVER (PARTITION BY recording_id ORDER BY t) AS prev FROM lp WHERE y > 0.7e0),
+ru AS (SELECT *, count(*) FILTER (prev IS NULL OR t - prev - 1 > 2) OVER (PARTITION BY recording_id ORDER BY t) AS run FROM hi)
+SELECT recording_id, min(t) / 250e0 AS onset, (max(t) + 1 - min(t)) / 250e0 AS duration, round(max(y), 6) AS peak, 'BAD_muscle' AS description FROM ru GROUP BY recording_id, run""", "samples"))
 def _(t):
-    out = op.muscle_zscore(t.samples(), SFREQ, (60.0, 100.0), 1.0, 0.01, taps=33, smooth=0.02)
+    out = op.muscle_zscore(t.samples(), SFREQ, (60.0, 100.0), 0.7, 0.01, taps=33, cutoff=12.0, smooth_taps=15)
     return out.withColumn("peak", r6("peak"))
 
 

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions.expr import r6
 from ..operators import scoring as op
 from ..operators import signal
-from ..session import cut_lineage
-from ..sources.bindings import with_views
+from ..operators.transforms import preprocess
+from ..session import cut_lineage, materialize
+from ..sources.bindings import SQL, fir_sql, resample_sql, with_views
 from . import query
 from .signal import SPECTRUM, dfa_sql
 
@@ -93,12 +95,33 @@ metrics AS (SELECT recording_id, 'dev' || (recording_id % 2) AS device_type, CAS
 sc AS (SELECT *, CASE WHEN q95 > q05 THEN 1e0 - least(1e0, greatest(0e0, (value - q05) / (q95 - q05))) END AS score FROM lk),
 fam AS (SELECT recording_id, rank, family, dom, avg(score) * 100 AS family_score, count(score) AS n_components FROM sc GROUP BY 1, 2, 3, 4) """
 
+#: Rate of the recordings, and length of the filters for them.
+SFREQ, TAPS, LOBES = 300.0, 63, 8
+
+
+def with_clean(body: str) -> str:
+    """The samples view after band-pass, notch and resampling, in front of a SELECT."""
+    steps = (fir_sql(kernels.bandpass_taps(1.0, 100.0, SFREQ, TAPS), "bp", "raw") + ", b1 AS (SELECT recording_id, ch_name, t, y AS value FROM bp) "
+             + fir_sql(kernels.notch_taps([50.0], 2.0, SFREQ, TAPS), "nt", "b1") + ", b2 AS (SELECT recording_id, ch_name, t, y AS value FROM nt) " + resample_sql(5, 6, LOBES, source="b2"))
+    clean = (f"WITH raw AS ({SQL['samples']}) {steps}, ct AS (SELECT DISTINCT recording_id, ch_name, ch_type FROM raw) "
+             "SELECT recording_id, ch_type, ch_name, t, y AS value FROM rs JOIN ct USING (recording_id, ch_name)")
+    return f"WITH samples AS ({clean}) {body.strip()}"
+
+
+def clean_samples(t):
+    """Samples after the default preprocessing, written once for all metrics."""
+    keys = ["recording_id", "ch_type", "ch_name"]
+    out, _, _ = preprocess(t.samples(), SFREQ, taps=TAPS, half=LOBES, keys=keys)
+    return materialize(out)
+
+
 def sample_metrics(t):
-    """Metric rows of all recordings. The small result is kept for the later steps."""
-    channels = signal.channel_metrics(t.samples())
+    """Metric rows of all recordings after preprocessing. The small result is kept for the later steps."""
+    samples = clean_samples(t)
+    channels = signal.channel_metrics(samples)
     keys = ["recording_id", "ch_type"]
     diff = signal.summarize_vector(channels, keys, "max_abs_diff", "max_abs_diff")
-    shape = signal.spectral_shape(t.samples()).join(signal.segmented_dfa(t.samples(), 50), keys, "full")
+    shape = signal.spectral_shape(samples).join(signal.segmented_dfa(samples, 50), keys, "full")
     named = {"freq_domain.skewness_amplitude.": "skewness_amplitude", "freq_domain.kurtosis_amplitude.": "kurtosis_amplitude", "fractal_domain.DFA.": "dfa"}
     shape = shape.select("recording_id", F.inline(F.array(*[
         F.struct(F.concat(F.lit(n), F.col("ch_type")).alias("metric"), F.col(c).alias("value")) for n, c in named.items()])))
@@ -127,17 +150,17 @@ def scored_families(t):
     return op.family_scores(scored_components(t))
 
 
-@query("family_scores", with_views(FLAG + """
+@query("family_scores", with_clean(FLAG + """
 SELECT recording_id, rank, family, dom AS domain, round(family_score, 6) AS family_score, n_components,
-  CASE WHEN n_components = 2 THEN 'GRAD,MAG' ELSE '' END AS components FROM fam""", "samples"))
+  CASE WHEN n_components = 2 THEN 'GRAD,MAG' ELSE '' END AS components FROM fam"""))
 def _(t):
     return scored_families(t).select("recording_id", "rank", "family", "domain", r6("family_score").alias("family_score"),
                                      "n_components", F.array_join("components", ",").alias("components"))
 
 
-@query("recording_score", with_views(FLAG + """
+@query("recording_score", with_clean(FLAG + """
 SELECT recording_id, round(avg(family_score), 6) AS score, count(family_score) AS n_available, count(*) AS n_expected
-FROM fam GROUP BY 1""", "samples"))
+FROM fam GROUP BY 1"""))
 def _(t):
     return op.recording_scores(scored_families(t)).withColumn("score", r6("score"))
 
@@ -146,17 +169,17 @@ def gated_recordings(t):
     return op.quality_gate(op.recording_scores(scored_families(t)), 40.0, 55.0)
 
 
-@query("recording_quality", with_views(FLAG + """
+@query("recording_quality", with_clean(FLAG + """
 SELECT recording_id, round(avg(family_score), 6) AS score, count(family_score) AS n_available, count(*) AS n_expected,
   coalesce(avg(family_score) >= 40e0, false) AS passed, coalesce(avg(family_score) < 55e0, true) AS alarm
-FROM fam GROUP BY 1""", "samples"))
+FROM fam GROUP BY 1"""))
 def _(t):
     return gated_recordings(t).withColumn("score", r6("score"))
 
 
-@query("families_in_domain_order", with_views(FLAG + """
+@query("families_in_domain_order", with_clean(FLAG + """
 SELECT recording_id, family, dom AS domain, row_number() OVER (PARTITION BY recording_id
-  ORDER BY list_position(['Temporal', 'Statistical', 'Spectral', 'Fractal'], dom), rank, family)::INTEGER AS position FROM fam""", "samples"))
+  ORDER BY list_position(['Temporal', 'Statistical', 'Spectral', 'Fractal'], dom), rank, family)::INTEGER AS position FROM fam"""))
 def _(t):
     return op.families_in_domain_order(scored_families(t)).select("recording_id", "family", "domain", "position")
 

@@ -7,7 +7,7 @@ from ..functions.expr import r6
 from ..operators import statistics
 from ..operators import transforms as op
 from ..operators.events import scale_by_type
-from ..sources.bindings import fir_sql, with_views
+from ..sources.bindings import fir_sql, resample_sql, with_views
 from . import query
 
 SFREQ = 600.0
@@ -31,14 +31,16 @@ def _(t):
     return op.notch(signal(t), SFREQ, [50.0], taps=63).withColumn("value", r6("value"))
 
 
-@query("resample")
+@query("resample", with_views(resample_sql(5, 12, 8) + "SELECT recording_id, ch_name, t, round(y, 6) + 0e0 AS value FROM rs", "samples"))
 def _(t):
     return op.resample(signal(t), SFREQ, 250.0, half=8).withColumn("value", r6("value"))
 
 
-@query("preprocess")
+@query("preprocess", with_views(fir_sql(kernels.bandpass_taps(1.0, 100.0, SFREQ, 63), "bp") + ", b1 AS (SELECT recording_id, ch_name, t, y AS value FROM bp) "
+                                + fir_sql(kernels.notch_taps([50.0], 2.0, SFREQ, 63), "nt", "b1") + ", b2 AS (SELECT recording_id, ch_name, t, y AS value FROM nt) "
+                                + resample_sql(5, 12, 8, source="b2") + "SELECT recording_id, ch_name, t, round(y, 6) + 0e0 AS value FROM rs", "samples"))
 def _(t):
-    out, _, _ = op.preprocess(signal(t), SFREQ, taps=63)
+    out, _, _ = op.preprocess(signal(t), SFREQ, taps=63, half=8)
     return out.withColumn("value", r6("value"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..plans.scans import dense_index
 from ..session import configure
 
@@ -35,17 +36,29 @@ def with_views(body: str, *names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({SQL[n]})" for n in names) + " " + body.strip()
 
 
-def fir_sql(taps, name: str = "fx") -> str:
-    """SQL twin of a zero-phase FIR with mirrored edges, as expressions to append to the `samples` view."""
+def fir_sql(taps, name: str = "fx", source: str = "samples") -> str:
+    """SQL twin of a zero-phase FIR with mirrored edges over `source` (recording_id, ch_name, t, value), as expressions to append to a view."""
     values = ", ".join(f"({j}, {float(h)!r}::DOUBLE)" for j, h in enumerate(taps))
     half = len(taps) // 2
     at = (f"CASE WHEN s.t + j - {half} < 0 THEN least({half} - j - s.t, n - 1) "
           f"WHEN s.t + j - {half} > n - 1 THEN greatest(2 * (n - 1) - (s.t + j - {half}), 0) ELSE s.t + j - {half} END")
     return (f", {name}_t AS (SELECT * FROM (VALUES {values}) v(j, h)), "
             f"{name}_s AS (SELECT s.recording_id, s.ch_name, s.t, s.value, j, h, {at} AS k FROM (SELECT *, count(*) OVER "
-            f"(PARTITION BY recording_id, ch_name) AS n FROM samples) s, {name}_t), "
+            f"(PARTITION BY recording_id, ch_name) AS n FROM {source}) s, {name}_t), "
             f"{name} AS (SELECT a.recording_id, a.ch_name, a.t, any_value(a.value) AS value, sum(h * b.value) AS y FROM {name}_s a "
-            f"JOIN samples b ON b.recording_id = a.recording_id AND b.ch_name = a.ch_name AND b.t = a.k GROUP BY 1, 2, 3) ")
+            f"JOIN {source} b ON b.recording_id = a.recording_id AND b.ch_name = a.ch_name AND b.t = a.k GROUP BY 1, 2, 3) ")
+
+
+def resample_sql(up: int, down: int, half: int, name: str = "rs", source: str = "samples") -> str:
+    """SQL twin of the polyphase resampling: the weights of every phase as a table, joined to the outputs."""
+    weights = kernels.phase_weights(range(up), up, down, half)
+    reach = weights.shape[1] // 2
+    values = ", ".join(f"({p}, {j - reach + 1}, {float(w)!r}::DOUBLE)" for p, row in enumerate(weights) for j, w in enumerate(row))
+    return (f", {name}_w AS (SELECT * FROM (VALUES {values}) v(phase, j, w)), "
+            f"{name}_n AS (SELECT recording_id, ch_name, max(t) AS last FROM {source} GROUP BY 1, 2), "
+            f"{name}_k AS (SELECT recording_id, ch_name, last, unnest(range(0, last * {up} // {down} + 1)) AS k FROM {name}_n), "
+            f"{name} AS (SELECT a.recording_id, a.ch_name, k AS t, sum(w * b.value) AS y FROM {name}_k a JOIN {name}_w ON phase = k * {down} % {up} "
+            f"JOIN {source} b ON b.recording_id = a.recording_id AND b.ch_name = a.ch_name AND b.t = least(greatest(k * {down} // {up} + j, 0), last) GROUP BY 1, 2, 3) ")
 
 
 def micros(column: str = "ts") -> Column:

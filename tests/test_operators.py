@@ -91,6 +91,33 @@ def test_resample_keeps_a_slow_sine(spark):
     np.testing.assert_allclose(out["value"][inner], np.sin(2 * np.pi * 5 * out["t"] / 250)[inner], atol=5e-3)
 
 
+@pytest.mark.parametrize(("old", "new"), [(1000, 250), (600, 250), (250, 300)])
+def test_resample_does_not_depend_on_blocks(spark, old, new):
+    """At 4 to 1 the filter is four times as long: what the new rate cannot hold is gone, what it can hold is kept."""
+    t = np.arange(1500) / old
+    x = np.stack([np.sin(2 * np.pi * 40 * t), np.sin(2 * np.pi * 0.45 * old * t), rng.normal(size=1500)])
+    key = ["ch_name", "t"]
+    whole, small = (transforms.resample(long(spark, x), old, new, half=16, size=size).toPandas().sort_values(key).reset_index(drop=True) for size in (1 << 16, 100))
+    assert whole["t"].tolist() == small["t"].tolist() == [*range(1499 * new // old + 1)] * 3
+    np.testing.assert_allclose(small["value"], whole["value"], atol=1e-12)
+    rms = {c: np.sqrt((g["value"][80:-80] ** 2).mean()) for c, g in whole.groupby("ch_name")}
+    assert abs(rms["c0"] - 0.5**0.5) < 0.01 and (rms["c1"] < 0.01) == (new < old)
+
+
+def test_muscle_spans_do_not_depend_on_blocks(spark):
+    m, sfreq = 3000, 500
+    x = 0.1 * rng.normal(size=(3, m))
+    x[:, 1500:1700] += np.sin(2 * np.pi * 125 * np.arange(200) / sfreq)
+    x[:, :90] += np.sin(2 * np.pi * 120 * np.arange(90) / sfreq)
+    found = [sorted((r["recording_id"], r["onset"], r["duration"], round(r["peak"], 9)) for r in detectors.muscle_zscore(long(spark, x), sfreq, threshold=1.5, smooth_taps=201, size=size).collect())
+             for size in (40, 1000, 1 << 16)]
+    assert found[0] == found[1] == found[2] and len(found[0]) >= 2
+    pair = kernels.analytic_taps(110, 140, sfreq, 129)
+    wave = np.cos(2 * np.pi * 125 * np.arange(2000) / sfreq)
+    envelope = np.hypot(np.convolve(wave, pair[0], "valid"), np.convolve(wave, pair[1], "valid"))
+    assert np.ptp(envelope) < 0.02 * envelope.mean()
+
+
 def test_preprocess_skip_rules(spark):
     x = rng.normal(size=(1, 200))
     _, rate, log = transforms.preprocess(long(spark, x), 90, [
