@@ -5,6 +5,7 @@ channel/segment. The functions return closures for `applyInPandas`; they are pic
 value, so executors need no installed copy of the package.
 """
 
+import hashlib
 import math
 from collections import deque
 from fractions import Fraction
@@ -714,3 +715,82 @@ def topography_forms(vectors: pd.Series) -> pd.DataFrame:
         with np.errstate(all="ignore"):
             rows.append((x / np.sqrt(x @ x), c / np.sqrt(c @ c), r / np.sqrt(r @ r), (x - x.min()) / (x.max() - x.min() + 1e-10)))
     return pd.DataFrame(rows, columns=["unit", "centred", "ranked", "scaled"])
+
+
+# ------------------------------------------------------------- permutations
+
+class Signs:
+    """Signs of subjects under permutations 0 to `n_perms` (0 turns none), from the first bit of an md5 over subject, permutation and seed. Those of the
+    subjects seen last are kept, as bytes."""
+
+    def __init__(self, n_perms, seed, room=1 << 26):
+        self.ends = [f":{p}:{seed}".encode() for p in range(1, n_perms + 1)]
+        self.most, self.known = max(1, room // (n_perms + 1)), {}
+
+    def of(self, subjects):
+        if len(self.known) + len(subjects) > self.most:
+            self.known.clear()
+        for s in subjects:
+            if s not in self.known:
+                start = hashlib.md5(s.encode())
+                row = np.ones(len(self.ends) + 1, np.int8)
+                for i, end in enumerate(self.ends):
+                    digest = start.copy()
+                    digest.update(end)
+                    if digest.digest()[0] >= 128:
+                        row[i + 1] = -1
+                self.known[s] = row
+        return np.stack([self.known[s] for s in subjects])
+
+
+def signed_sums(cell, n_perms, seed, block, held=1 << 22):
+    """Sums of signed values by cell and permutation, one row for each cell and block of permutations, with the sum of squares and the number of rows. A task
+    sums what it reads before it gives it out, as far as `held` sums go."""
+
+    def run(batches):
+        signs, place, sums, other, last = Signs(n_perms, seed), {}, [], [], None
+
+        def out():
+            keys = list(place)
+            starts = range(0, n_perms + 1, block)
+            for at in range(0, len(keys), max(1, 1 + (1 << 20) // (n_perms + 1))):
+                some = range(at, min(len(keys), at + max(1, 1 + (1 << 20) // (n_perms + 1))))
+                columns = [pa.array([keys[i][c] for i in some for _ in starts], last.schema.field(name).type) for c, name in enumerate(cell)]
+                yield pa.RecordBatch.from_arrays([
+                    *columns, pa.array([b for _ in some for b in range(len(starts))], pa.int32()), pa.array([sums[i][a : a + block] for i in some for a in starts], pa.list_(pa.float64())),
+                    pa.array([other[i][0] for i in some for _ in starts], pa.float64()), pa.array([other[i][1] for i in some for _ in starts], pa.int64())],
+                    names=[*cell, "block", "sums", "sq", "n"])
+
+        for b in batches:
+            last = b
+            keys = list(zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in cell])) if cell else [()] * b.num_rows
+            names, subject = np.unique(np.array(b.column(b.schema.get_field_index("_s")).to_pylist(), object), return_inverse=True)
+            y = b.column(b.schema.get_field_index("_y")).fill_null(0.0).to_numpy(zero_copy_only=False)
+            if not len(y):
+                continue
+            table = signs.of(names.tolist())
+            new = [k for k in dict.fromkeys(keys) if k not in place]
+            if place and (len(place) + len(new)) * (n_perms + 1) > held:
+                yield from out()
+                place, sums, other = {}, [], []
+                new = list(dict.fromkeys(keys))
+            for k in new:
+                place[k] = len(place)
+                sums.append(np.zeros(n_perms + 1))
+                other.append([0.0, 0])
+            which = np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))
+            order = np.argsort(which, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(which[order]) != 0))
+            rows = which[order][first].tolist()
+            for a in range(0, n_perms + 1, block):
+                part = np.add.reduceat(table[subject[order], a : a + block] * y[order, None], first, axis=0)
+                for i, r in enumerate(rows):
+                    sums[r][a : a + block] += part[i]
+            squares, count = np.add.reduceat((y * y)[order], first), np.diff(np.append(first, len(order)))
+            for i, r in enumerate(rows):
+                other[r][0] += float(squares[i])
+                other[r][1] += int(count[i])
+        if place:
+            yield from out()
+
+    return run

@@ -48,11 +48,21 @@ def common_channels(target: DataFrame, noise: DataFrame, keys: list[str]) -> tup
     return kept.join(ok.select(*keys), keys, "left_semi"), only_t.unionByName(only_n)
 
 
+def row_code(columns: list[str]) -> Column:
+    """60 bits of an md5 over the columns as text, with marks between them and for NULL."""
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in columns])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def hash_text(n: Column, xor: Column, total: Column) -> Column:
+    return F.sha2(F.concat_ws(":", n.cast("string"), xor.cast("string"), total.cast("string")).cast("binary"), 256)
+
+
 def content_hash(df: DataFrame, keys: list[str], columns: list[str], name: str = "content_hash") -> DataFrame:
-    """Order-free hash of the rows of a key: row count, xor and sum of row hashes, so no sort is needed."""
-    h = F.xxhash64(*columns)
-    parts = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.bit_xor(h).alias("_x"), F.sum(h.cast("decimal(20,0)")).alias("_y"))
-    return parts.select(*keys, F.sha2(F.concat_ws(":", "_n", "_x", "_y"), 256).alias(name))
+    """Order-free hash of the rows of a key: row count, xor and sum of row codes, so no sort is needed and parts can be merged."""
+    h = row_code(columns)
+    parts = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.bit_xor(h).alias("_x"), F.sum(h.cast("decimal(38,0)")).alias("_y"))
+    return parts.select(*keys, hash_text(F.col("_n"), F.col("_x"), F.col("_y")).alias(name))
 
 
 def stale_recordings(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -188,27 +188,27 @@ def glm_spectrum(samples: DataFrame, covariates: DataFrame, sfreq: float, nperse
                         [F.lit(1e0), *[F.col(r) for r in regressors]], contrasts)
 
 
-def sign_flip(subject: Column, perm: Column, seed: int) -> Column:
-    """Reproducible +1 / -1 for a subject (of any type) and permutation: the first digit of an md5 over both and the seed."""
-    digest = F.md5(F.concat_ws(":", F.coalesce(subject.cast("string"), F.lit("")), perm.cast("string"), F.lit(str(seed))).cast("binary"))
-    return F.when(F.substring(digest, 1, 1) < "8", F.lit(1)).otherwise(F.lit(-1))
-
-
 def max_stat_permutation(first_level: DataFrame, cell: list[str], n_perms: int, seed: int = 0, subject: str = "subject",
-                         value: str = "cope") -> DataFrame:
+                         value: str = "cope", block: int = 256) -> DataFrame:
     """Null distribution of the largest |t| over the pooled cells, one row per permutation (0 = observed signs).
 
-    Signs are computed in the row; sums are map-side combined per (cell, permutation).
+    Tasks multiply their rows by the sign matrix of their subjects and shuffle one row for each cell and block of permutations, however many
+    subjects there are; the sums of a cell meet as arrays.
     """
-    perms = F.explode(F.sequence(F.lit(0), F.lit(n_perms)))
-    x = first_level.select(*cell, F.col(subject).alias("_s"), F.col(value).cast("double").alias("_y"), perms.alias("perm"))
-    y = F.col("_y") * F.when(F.col("perm") == 0, F.lit(1)).otherwise(sign_flip(F.col("_s"), F.col("perm"), seed))
-    g = x.withColumn("_y", y).groupBy(*cell, "perm").agg(
-        F.sum("_y").alias("_sum"), F.sum(F.col("_y") * F.col("_y")).alias("_sq"), F.count("*").alias("_n"))
-    mean = F.col("_sum") / F.col("_n")
-    var = F.try_divide(F.col("_sq") - F.col("_n") * mean * mean, F.col("_n") - 1)
-    t = F.when((F.col("_n") > 1) & (var > 0), mean / F.sqrt(var / F.col("_n"))).otherwise(0e0)
-    return g.withColumn("_t", F.abs(t)).groupBy("perm").agg(F.max("_t").alias("max_stat"))
+    x = first_level.select(*cell, F.coalesce(F.col(subject).cast("string"), F.lit("")).alias("_s"), F.col(value).cast("double").alias("_y"))
+    types = dict(x.dtypes)
+    schema = "".join(f"`{c}` {types[c]}, " for c in cell) + "block int, sums array<double>, sq double, n bigint"
+    parts = x.mapInArrow(kernels.signed_sums(cell, n_perms, seed, block), schema)
+    g = parts.groupBy(*cell, "block").agg(F.collect_list("sums").alias("_parts"), F.sum("sq").alias("_sq"), F.sum("n").alias("_n"))  # one part for each task that read the cell
+    total = F.reduce(F.slice("_parts", 2, F.size("_parts")), F.col("_parts")[0], lambda a, b: F.zip_with(a, b, lambda p, q: p + q))
+
+    def statistic(s: Column) -> Column:
+        mean = s / F.col("_n")
+        var = F.try_divide(F.col("_sq") - F.col("_n") * mean * mean, F.col("_n") - 1)
+        return F.abs(F.when((F.col("_n") > 1) & (var > 0), mean / F.sqrt(var / F.col("_n"))).otherwise(0e0))
+
+    g = g.withColumn("_total", total).select("block", "_sq", "_n", F.posexplode("_total").alias("_i", "_sum"))
+    return g.select((F.col("block") * block + F.col("_i")).alias("perm"), statistic(F.col("_sum")).alias("_t")).groupBy("perm").agg(F.max("_t").alias("max_stat"))
 
 
 def permutation_threshold(null: DataFrame, percent: float = 95) -> DataFrame:

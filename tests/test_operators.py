@@ -118,6 +118,27 @@ def test_muscle_spans_do_not_depend_on_blocks(spark):
     assert np.ptp(envelope) < 0.02 * envelope.mean()
 
 
+def test_permutation_maxima_equal_numpy_and_shuffle_no_subjects(spark):
+    import hashlib
+
+    y = rng.normal(size=(3, 40))
+    rows = [(c, f"s{s}", float(y[c, s])) for c in range(3) for s in range(40)]
+    df = spark.createDataFrame(rows, "cell int, subject string, cope double").repartition(4)
+    sign = np.array([[1] + [1 if hashlib.md5(f"s{s}:{p}:3".encode()).digest()[0] < 128 else -1 for p in range(1, 31)] for s in range(40)])
+    z = y[:, :, None] * sign[None]
+    t = np.abs(z.mean(axis=1) / np.sqrt(z.var(axis=1, ddof=1) / 40)).max(axis=0)
+    for block in (256, 7):
+        got = statistics.max_stat_permutation(df, ["cell"], 30, 3, block=block).orderBy("perm").toPandas()
+        assert got["perm"].tolist() == list(range(31))
+        np.testing.assert_allclose(got["max_stat"], t, rtol=1e-9)
+    parts = df.select("cell", F.col("subject").alias("_s"), F.col("cope").alias("_y")).mapInArrow(
+        kernels.signed_sums(["cell"], 30, 3, 256), "cell int, block int, sums array<double>, sq double, n bigint")
+    assert parts.count() <= 3 * 4 and parts.agg(F.sum("n")).first()[0] == 120
+    small = df.select("cell", F.col("subject").alias("_s"), F.col("cope").alias("_y")).mapInArrow(
+        kernels.signed_sums(["cell"], 30, 3, 256, held=31), "cell int, block int, sums array<double>, sq double, n bigint")
+    assert small.agg(F.sum("n")).first()[0] == 120
+
+
 def test_preprocess_skip_rules(spark):
     x = rng.normal(size=(1, 200))
     _, rate, log = transforms.preprocess(long(spark, x), 90, [

@@ -1,5 +1,6 @@
 """Readers, sinks and the incremental stream on real files."""
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,28 @@ def test_incremental_only_touches_what_changed(spark, tmp_path):
     assert {r["recording_id"] for r in read.collect()} == {i for i in (1, 2, 3) if by_id[i] == by_id[3]}
     files = {r["f"] for r in read.select(F.input_file_name().alias("f")).collect()}
     assert files and all(f"/batch=1/bucket={by_id[3]}/" in f for f in files)
+
+
+def test_states_merge_and_read_the_touched_buckets_only(spark, tmp_path, monkeypatch):
+    """States after many small batches equal those of all rows at once, and a batch opens no more state files than it touches buckets."""
+    from sensorloom.streaming import incremental
+
+    rng = np.random.default_rng(5)
+    store, batches = str(tmp_path / "store"), []
+    for i in range(6):
+        ids = rng.choice(12, 3, replace=False)
+        batches.append([(int(r), 100 * i + t, None if t == 7 else float(1e6 + rng.normal())) for r in ids for t in range(10)])
+    opened = []
+    plain = incremental.read_states
+    monkeypatch.setattr(incremental, "read_states", lambda spark, store, newest, schema: opened.append(len(newest)) or plain(spark, store, newest, schema))
+    for i, rows in enumerate([*batches, batches[-1]]):  # the last one runs twice
+        df = spark.createDataFrame(rows, SCHEMA)
+        incremental.merge_batch(df, min(i, 5), store, "recording_id", "t", "value", 16)
+    assert max(opened) <= 3
+    every = spark.createDataFrame([r for b in batches for r in b], SCHEMA)
+    key = "recording_id"
+    got = incremental.summary(incremental.newest_states(spark, store), key).toPandas().sort_values(key).reset_index(drop=True)
+    want = incremental.summary(incremental.partial_states(every, key, "t", "value"), key).toPandas().sort_values(key).reset_index(drop=True)
+    assert (got["content_hash"] == want["content_hash"]).all() and (got["n_samples"] == want["n_samples"]).all()
+    for c in ("mean", "std", "ptp", "first", "last"):
+        np.testing.assert_allclose(got[c], want[c], rtol=1e-9)
