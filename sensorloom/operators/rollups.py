@@ -73,14 +73,17 @@ def drop_retried_failures(tasks: DataFrame, keys: list[str]) -> DataFrame:
 def match_task_subject(tags: DataFrame, subjects: DataFrame) -> DataFrame:
     """First subject, in list order, whose sanitized name occurs in the sanitized tag of the same dataset.
 
-    Every distinct tag is exploded to its fragments and met by equality, so tags and subjects are never crossed.
-    `tags(dataset, tag_subject)`, `subjects(dataset, subject, position)`.
+    Names are indexed by their length: a tag gives its fragments of the lengths that names of its dataset have, which meet the names by equality, so tags
+    and subjects are never crossed and a tag of L letters gives L fragments for each such length. `tags(dataset, tag_subject)`,
+    `subjects(dataset, subject, position)`.
     """
-    t = tags.select("dataset", "tag_subject").where("tag_subject is not null").distinct().withColumn("_n", slug(F.col("tag_subject")))
-    at = F.explode(F.sequence(F.lit(1), F.length("_n")))
-    t = t.withColumn("_from", at).withColumn("_len", F.explode(F.sequence(F.lit(1), F.length("_n") - F.col("_from") + 1)))
-    pieces = t.select("dataset", "tag_subject", F.substring(F.col("_n"), F.col("_from"), F.col("_len")).alias("_name")).distinct()
-    hits = pieces.join(subjects.withColumn("_name", slug(F.col("subject"))), ["dataset", "_name"])
+    named = subjects.withColumn("_name", slug(F.col("subject"))).where(F.length("_name") > 0)
+    lengths = named.groupBy("dataset").agg(F.collect_set(F.length("_name")).alias("_lengths"))
+    t = tags.select("dataset", "tag_subject").where("tag_subject is not null").distinct().withColumn("_n", slug(F.col("tag_subject"))).join(lengths, "dataset")
+    t = t.withColumn("_len", F.explode("_lengths")).where(F.col("_len") <= F.length("_n"))
+    starts = F.transform(F.sequence(F.lit(1), F.length("_n") - F.col("_len") + 1), lambda at: F.substring(F.col("_n"), at, F.col("_len")))
+    pieces = t.select("dataset", "tag_subject", F.explode(F.array_distinct(starts)).alias("_name"))
+    hits = pieces.join(named, ["dataset", "_name"])
     return hits.groupBy("dataset", "tag_subject").agg(F.min_by("subject", "position").alias("subject"))
 
 

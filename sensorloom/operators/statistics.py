@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..plans.blocks import BLOCK, neighbours
 from ..plans.gram import covariance, pair_sums
-from ..plans.scans import dense_index
+from ..plans.quantiles import select_ranks
+from ..session import materialize
 from .detectors import spectrum_blocks
 
 CHANNEL = ["recording_id", "ch_name"]
@@ -71,12 +72,19 @@ def summed_similarity(cov: DataFrame, offset: int = 0, mode: str | None = "abs")
 
 
 def template_subject(cov: DataFrame, offset: int = 0, mode: str | None = "abs") -> DataFrame:
-    """The recording in the middle of the order by summed similarity."""
-    s = summed_similarity(cov, offset, mode).withColumn("_all", F.lit(1))
-    slices = F.floor(F.col("similarity_sum") * 1000).cast("bigint")
-    placed = dense_index(s, ["_all"], slices, ["similarity_sum", "recording_id"], "_i")
-    n = s.groupBy("_all").agg(F.count("*").alias("_n"))
-    return placed.join(n, "_all").where(F.col("_i") == F.floor(F.col("_n") / 2)).select("recording_id", "similarity_sum")
+    """The recording in the middle of the order by summed similarity; equal sums are in order of their ids.
+
+    The middle value comes from histograms over all recordings, which are summed within tasks; only the recordings of that value are ranked.
+    """
+    s = materialize(summed_similarity(cov, offset, mode)).withColumn("_all", F.lit(1))
+    middle = F.floor(F.col("_n") / 2)
+    found = select_ranks(s, ["_all"], "similarity_sum", lambda n: [F.floor(n / 2)]).select(
+        F.col("_key._all").alias("_all"), F.col("_at")[middle.cast("bigint")].alias("_value"), middle.alias("_middle"))
+    near = s.join(found, "_all")
+    below = near.groupBy("_all").agg(F.count_if(F.col("similarity_sum") < F.col("_value")).alias("_below"))
+    place = F.row_number().over(Window.partitionBy("_all").orderBy("recording_id"))  # recordings of one value
+    return near.where(F.col("similarity_sum") == F.col("_value")).join(below, "_all").withColumn("_place", place).where(
+        F.col("_place") - 1 == F.col("_middle") - F.col("_below")).select("recording_id", "similarity_sum")
 
 
 def find_flips(cov: DataFrame, template: DataFrame, n_init: int = 3, n_iter: int = 500, max_flips: int = 4, seed: int = 0) -> DataFrame:

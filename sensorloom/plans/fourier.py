@@ -51,7 +51,8 @@ def _chirp(t: Column, n: Column) -> tuple[Column, Column]:
 def fourier(signals: DataFrame, keys: list[str], value: str, line: int = LINE) -> DataFrame:
     """(keys, n, k, re, im) of signals (keys, t, n, value) with a dense clock t from 0 to n - 1; no task holds more than about `line` samples."""
     x = signals.select(*keys, F.col("n").cast("bigint").alias("n"), F.col("t").cast("bigint").alias("t"), F.col(value).cast("double").alias("re"), F.lit(0e0).alias("im"))
-    sized = x.withColumn("n2", _split(F.col("n"), line))
+    # lengths are few: each is factored once, not in every sample
+    sized = x.join(x.select("n").distinct().withColumn("n2", _split(F.col("n"), line)), "n")
     split = sized.where("n2 is not null").withColumn("n1", (F.col("n") / F.col("n2")).cast("bigint"))
 
     odd = sized.where("n2 is null").drop("n2").withColumn("m", F.pow(F.lit(2e0), F.ceil(F.log2(2e0 * F.col("n") - 1))).cast("bigint"))
