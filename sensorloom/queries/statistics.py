@@ -1,5 +1,6 @@
 """Covariance, sign alignment, parcels and linear models."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import r6
@@ -65,9 +66,22 @@ def flips(t):
     return op.find_flips(c, template)
 
 
-@query("find_flips")
+# All sign vectors whose first sign is +1 stand against the search; a vector and its opposite score alike.
+FLIPS = COV + """, tm AS (SELECT ci, cj, avg(cov) AS c FROM cv GROUP BY 1, 2),
+nm AS (SELECT recording_id, ci AS ch_name, row_number() OVER (PARTITION BY recording_id ORDER BY ci) - 1 AS pos, count(*) OVER (PARTITION BY recording_id) AS k FROM cv WHERE ci = cj),
+vs AS (SELECT recording_id, unnest(range(0, CAST(pow(2, k - 1) AS BIGINT))) AS v FROM (SELECT DISTINCT recording_id, k FROM nm)),
+sg AS (SELECT recording_id, v, ch_name, CASE WHEN pos = 0 OR (v >> (pos - 1)) % 2 = 0 THEN 1 ELSE -1 END AS s FROM vs JOIN nm USING (recording_id)),
+sr AS (SELECT c.recording_id, a.v, coalesce(CASE WHEN isfinite(corr(c.cov * a.s * b.s, tm.c)) THEN corr(c.cov * a.s * b.s, tm.c) END, 0e0) AS score
+  FROM cv c JOIN tm USING (ci, cj) JOIN sg a ON a.recording_id = c.recording_id AND a.ch_name = c.ci JOIN sg b ON b.recording_id = c.recording_id AND b.ch_name = c.cj AND b.v = a.v
+  WHERE c.ci < c.cj GROUP BY 1, 2),
+bs AS (SELECT recording_id, arg_max(v, score) AS v, max(score) AS after, max(score) FILTER (v = 0) AS before FROM sr GROUP BY 1)
+SELECT recording_id, ch_name, CAST(s AS INTEGER) AS flip, round(before, 6) + 0e0 AS metric_before, round(after, 6) + 0e0 AS metric_after FROM bs JOIN sg USING (recording_id, v)"""
+
+
+@query("find_flips", with_views(FLIPS, "samples"))
 def _(t):
-    return flips(t).withColumns({"metric_before": r6("metric_before"), "metric_after": r6("metric_after")})
+    first = F.min_by("flip", "ch_name").over(Window.partitionBy("recording_id"))  # channels of a recording
+    return flips(t).withColumn("flip", F.col("flip") * first).withColumns({"metric_before": r6("metric_before"), "metric_after": r6("metric_after")})
 
 
 @query("apply_flips", with_views("""
@@ -79,12 +93,35 @@ def _(t):
     return op.apply_flips(s, flip).select("recording_id", "ch_name", "t", r6("value").alias("value"))
 
 
-@query("parcel_timecourse")
+def squared(name: str, source: str) -> str:
+    """The square of a symmetric matrix (a list of rows), scaled by its trace."""
+    return (f", {name} AS (SELECT recording_id, parcel, names, g, [[list_dot_product(r, c) / list_sum([list_dot_product(x, x) FOR x IN m]) FOR c IN m] FOR r IN m] AS m FROM {source})")
+
+
+# The leading direction of a parcel is a column of a high power of its cross-products: twelve squarings are power 4,096.
+PARCEL = """, vx AS (SELECT recording_id, ch_type AS parcel, ch_name AS voxel, t, value FROM samples),
+cr AS (SELECT recording_id, parcel, a.voxel AS ci, b.voxel AS cj, sum(a.value * b.value) - sum(a.value) * sum(b.value) / count(*) AS g FROM vx a JOIN vx b USING (recording_id, parcel, t) GROUP BY 1, 2, 3, 4),
+rw AS (SELECT recording_id, parcel, ci, list(g ORDER BY cj) AS r FROM cr GROUP BY 1, 2, 3),
+m0 AS (SELECT recording_id, parcel, list(ci ORDER BY ci) AS names, list(r ORDER BY ci) AS g, list(r ORDER BY ci) AS m FROM rw GROUP BY 1, 2)""" + "".join(
+    squared(f"m{k + 1}", f"m{k}") for k in range(12)) + """,
+dg AS (SELECT *, [m[i][i] FOR i IN range(1, len(m) + 1)] AS d FROM m12),
+u0 AS (SELECT recording_id, parcel, names, g, m[list_position(d, list_max(d))] AS u FROM dg),
+u1 AS (SELECT recording_id, parcel, names, g, [x / sqrt(list_dot_product(u, u)) FOR x IN u] AS u FROM u0),
+ev AS (SELECT recording_id, parcel, names, u, list_dot_product(u, [list_dot_product(r, u) FOR r IN g]) AS eigenvalue FROM u1),
+ld AS (SELECT recording_id, parcel, eigenvalue, unnest(names) AS voxel, unnest(u) AS loading FROM ev),
+st AS (SELECT recording_id, parcel, voxel, avg(value) AS m, stddev_pop(value) AS s, count(*) AS n FROM vx GROUP BY 1, 2, 3),
+gn AS (SELECT recording_id, parcel, sign(avg(loading)) * (sum(abs(loading) * s) / sum(abs(loading))) / greatest(max(sqrt(greatest(eigenvalue, 0e0) / n)), 2.220446049250313e-16) AS gain
+  FROM ld JOIN st USING (recording_id, parcel, voxel) GROUP BY 1, 2)
+SELECT recording_id, parcel, t, round(sum(loading * (value - m)) * any_value(gain), 3) + 0e0 AS value
+FROM vx JOIN ld USING (recording_id, parcel, voxel) JOIN st USING (recording_id, parcel, voxel) JOIN gn USING (recording_id, parcel) GROUP BY recording_id, parcel, t"""
+
+
+@query("parcel_timecourse", with_views(PARCEL, "samples"))
 def _(t):
     s = t.samples()
     voxels = s.select("recording_id", F.col("ch_name").alias("voxel"), "t", "value")
     parcels = s.select(F.col("ch_name").alias("voxel"), F.col("ch_type").alias("parcel")).distinct()
-    return op.parcel_timecourse(voxels, parcels).withColumn("value", r6("value"))
+    return op.parcel_timecourse(voxels, parcels).withColumn("value", F.round("value", 3) + F.lit(0e0))
 
 
 GLM = EP + """, g AS (SELECT recording_id, ch_name, k, CAST(event_id AS DOUBLE) AS x, value AS y FROM ep),
