@@ -23,12 +23,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme. One without a scheme lies in the default file system of the cluster, which Spark's writers take but other readers do not know."""
+    if ":/" in path:
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return found.replace("file:/", "file:///", 1) if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`). Only a local session may go without: it gets a folder of its own, once, which is
     removed when Python ends. On a cluster a missing setting is refused."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named.rstrip("/"))
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     global _own

@@ -147,3 +147,18 @@ def test_states_merge_and_read_the_touched_buckets_only(spark, tmp_path, monkeyp
     assert (got["content_hash"] == want["content_hash"]).all() and (got["n_samples"] == want["n_samples"]).all()
     for c in ("mean", "std", "ptp", "first", "last"):
         np.testing.assert_allclose(got[c], want[c], rtol=1e-9)
+
+
+def test_folders_without_a_scheme_lie_in_the_default_file_system(spark, tmp_path):
+    from sensorloom.session import qualified
+
+    assert qualified(spark, "hdfs://host/a") == "hdfs://host/a" and qualified(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+    assert qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+        conf.set("fs.defaultFS", "viewfs://store/")
+        assert qualified(spark, "/in/x") == "viewfs://store/in/x"
+    finally:
+        conf.set("fs.defaultFS", before)
