@@ -256,6 +256,15 @@ def _(t):
     return readers.events_to_stim(*trigger_rows(t), 2).where("value > 0")
 
 
+@query("events_to_stim_clock", with_views(MARKS + """, pu AS (SELECT recording_id, event_id AS value, sample + i AS t FROM mk, range(0, 2) r(i)),
+vl AS (SELECT recording_id, value, count(*) AS n, CAST(sum(t) AS BIGINT) AS s FROM pu GROUP BY 1, 2)
+SELECT recording_id, value, n AS n_samples, s AS t_sum FROM vl
+UNION ALL SELECT recording_id, 0, 129700 - CAST(sum(n) AS BIGINT), CAST(129700::BIGINT * 129699 // 2 - sum(s) AS BIGINT) FROM vl GROUP BY 1""", "triggers"))
+def _(t):
+    stim = readers.events_to_stim(*trigger_rows(t), 2)
+    return stim.groupBy("recording_id", "value").agg(F.count("*").alias("n_samples"), F.sum("t").alias("t_sum"))
+
+
 @query("triggers_to_stim", with_views(MARKS + """, n AS (SELECT *, coalesce(lead(sample) OVER (PARTITION BY recording_id ORDER BY sample), 129700) - sample AS len FROM mk),
 r AS (SELECT recording_id, event_id AS value, sum(len) AS n FROM n GROUP BY 1, 2 UNION ALL SELECT recording_id, 0, min(sample) FROM mk GROUP BY 1)
 SELECT recording_id, value, CAST(n AS BIGINT) AS n_samples FROM r WHERE n > 0""", "triggers"))
