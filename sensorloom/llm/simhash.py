@@ -251,7 +251,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 
 def only(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of `docs` named by (kept_id, kept_key), one of each."""
-    marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__key": F.xxhash64(F.col(text_col))})
-    kept = marked.join(winners, F.col("__id").eqNullSafe(F.col("kept_id")) & (F.col("__key") == F.col("kept_key")), "left_semi")
-    return kept.dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+    """The rows of `docs` named by (kept_id, kept_key), one of each; columns of any name are kept."""
+    own = "__row"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    a, b, c, d = (f"{own}_{x}" for x in ("id", "key", "kept_id", "kept_key"))
+    marked = docs.withColumns({a: F.col(id_col).cast("long"), b: F.xxhash64(F.col(text_col))})
+    kept = marked.join(winners.select(F.col("kept_id").alias(c), F.col("kept_key").alias(d)), F.col(a).eqNullSafe(F.col(c)) & (F.col(b) == F.col(d)), "left_semi")
+    return kept.dropDuplicates([a, b]).drop(a, b)

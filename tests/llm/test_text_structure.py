@@ -542,3 +542,10 @@ def roots_of_nodes(nodes):
             low, high = sorted((group[x[0]], group[y[0]]))
             group = {n: low if g == high else g for n, g in group.items()}
     return group
+
+
+def test_columns_named_like_working_ones_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, 8, 9, 10), (2, "A  B", 1, 2, 3, 4), (3, "c", 5, 6, 7, 8)], "doc_id long, text string, __id int, __key int, kept_id int, __row_id int")
+    for kept in (simhash.keep_one(docs), copies.keep_one(docs)):
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect())) == [(1, "a b", 7, 8, 9, 10), (3, "c", 5, 6, 7, 8)]
