@@ -18,7 +18,7 @@ c AS (SELECT recording_id, ch_name, quantile_cont(value, 0.5) AS m FROM samples
 SELECT recording_id, ch_name, false AS has_nan, quantile_cont(abs(value - m), 0.5) < 1e-15 OR stddev_pop(value) < 1e-15 AS is_flat,
  round(quantile_cont(abs(value - m), 0.5) + 1e-9, 6) AS mad, round(stddev_pop(value), 6) AS std FROM samples JOIN c USING (recording_id, ch_name) GROUP BY 1, 2""", "samples"))
 def _(t):
-    return op.bad_nan_flat(t.samples()).withColumns({"mad": r6_off_ties("mad"), "std": r6("std")})
+    return op.bad_nan_flat(t.samples_once()).withColumns({"mad": r6_off_ties("mad"), "std": r6("std")})
 
 
 @query("bad_by_deviation", with_views(""",
@@ -32,7 +32,7 @@ sd AS (SELECT recording_id, med, 0.7413e0 * ((v[floor(b)::BIGINT + 1] + (v[ceil(
   - (v[floor(a)::BIGINT + 1] + (v[ceil(a)::BIGINT + 1] - v[floor(a)::BIGINT + 1]) * (a - floor(a)))) AS s FROM rp)
 SELECT recording_id, ch_name, round(amp + 1e-9, 6) AS amplitude, round((amp - med) / s + 1e-9, 6) AS z, abs((amp - med) / s) > 1e0 AS is_bad FROM am JOIN sd USING (recording_id)""", "samples"))
 def _(t):
-    return op.bad_by_deviation(t.samples(), 1.0).withColumns({"amplitude": r6_off_ties("amplitude"), "z": r6_off_ties("z")})
+    return op.bad_by_deviation(t.samples_once(), 1.0).withColumns({"amplitude": r6_off_ties("amplitude"), "z": r6_off_ties("z")})
 
 
 HF = fir_sql(kernels.lowpass_taps(50.0, SFREQ, 31)) + """, lo AS (SELECT recording_id, ch_name, y AS a, value - y AS b FROM fx),
@@ -200,8 +200,9 @@ nd AS (SELECT recording_id, ch_type, max(t) + 1 AS n FROM df GROUP BY 1, 2)"""
     + esd_sql("ob", "SELECT recording_id, ch_type, t // 10 AS segment, CASE WHEN var_pop(value) > 0 THEN coalesce(kurtosis_pop(value), 0e0) ELSE 0e0 END AS metric FROM df GROUP BY 1, 2, 3", SEGMENTS, "segment", "metric", 0.2)
     + f"SELECT *, 'std' AS mode FROM ({spans_sql('oa', 'ns', 10)}) UNION ALL SELECT *, 'diff' FROM ({spans_sql('ob', 'nd', 10, 1)})", "samples"))
 def _(t):
-    a = op.bad_segments_gesd(t.samples(), SFREQ, 10, alpha=0.2).withColumn("mode", F.lit("std"))
-    b = op.bad_segments_gesd(t.samples(), SFREQ, 10, "kurtosis", "diff", alpha=0.2).withColumn("mode", F.lit("diff"))
+    samples = t.samples_once()
+    a = op.bad_segments_gesd(samples, SFREQ, 10, alpha=0.2).withColumn("mode", F.lit("std"))
+    b = op.bad_segments_gesd(samples, SFREQ, 10, "kurtosis", "diff", alpha=0.2).withColumn("mode", F.lit("diff"))
     return a.unionByName(b)
 
 

@@ -148,7 +148,7 @@ peak AS (SELECT recording_id, ch_type, ch_name, bin, time, greatest(ex / own, ex
 @query("robust_peak_score", views(SCORED, """
 SELECT recording_id, ch_type, ch_name, bin, round(peak_score, 6) AS peak_score FROM peak""", "samples"))
 def _(t):
-    return op.robust_peak_score(t.samples(), SFREQ, 32).select(
+    return op.robust_peak_score(t.samples_once(), SFREQ, 32).select(
         "recording_id", "ch_type", "ch_name", "bin", r6("peak_score").alias("peak_score"))
 
 
@@ -171,7 +171,7 @@ SELECT recording_id, bin, round(pct, 6) AS affected_pct, round(mx, 6) AS max_sco
   EXISTS (SELECT 1 FROM sp WHERE sp.recording_id = pb.recording_id AND sp.e > sp.s AND pb.time >= sp.s - sp.pad AND pb.time <= sp.e + sp.pad) AS is_bad
 FROM pb""", "samples", "annotations"))
 def _(t):
-    out = op.affected_fraction(op.robust_peak_score(t.samples(), SFREQ, 32), hourly_bads(t), 3.0)
+    out = op.affected_fraction(op.robust_peak_score(t.samples_once(), SFREQ, 32), hourly_bads(t), 3.0)
     return out.select("recording_id", "bin", r6("affected_pct").alias("affected_pct"), r6("max_score").alias("max_score"), "is_bad")
 
 

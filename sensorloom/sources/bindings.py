@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..plans.scans import dense_index
-from ..session import configure
+from ..session import configure, materialize
 
 EPOCH_US = 1704067200000000  # 2024-01-01 UTC
 
@@ -88,6 +88,10 @@ class Tables:
             "dataset", "recording_id", "ch_name", "ch_type", "t", "value"
         )
 
+    def samples_once(self) -> DataFrame:
+        """The samples view as a written table, for operators that read it in several passes: the view is derived once."""
+        return materialize(self.samples())
+
     def annotations(self) -> DataFrame:
         return self.table("events").where("value > 120").select(
             (F.col("user_id") % 20).alias("recording_id"),
