@@ -74,7 +74,7 @@ def filtered(samples: DataFrame, taps, name: str, size: int = BLOCK, keys: list[
     keys = keys or CHANNEL
     half = len(taps) // 2
     cols = samples.select(*keys, "t", F.col("value").cast("double").alias("value"))
-    blocked = with_blocks(cols, size=size, before=half, after=half)
+    blocked = with_blocks(cols, size=size, before=half, after=half, wide=True)
     # blocks that hold halo rows only do not exist in the recording
     schema = _schema(samples, keys, f"t bigint, value double, {name} double")
     return blocked.groupBy(*keys, "_block").applyInPandas(kernels.fir_block(keys, taps, name), schema)
@@ -325,7 +325,7 @@ def muscle_zscore(samples: DataFrame, sfreq: float, band: tuple[float, float] =
     halo = len(pair[0]) // 2
     smooth_taps = smooth_taps or int(1.65 * sfreq) // 2 * 2 + 1
     cols = samples.select(*CHANNEL, "t", F.col("value").cast("double").alias("value"))
-    env = with_blocks(cols, size=size, before=halo, after=halo).groupBy(*CHANNEL, "_block").applyInPandas(
+    env = with_blocks(cols, size=size, before=halo, after=halo, wide=True).groupBy(*CHANNEL, "_block").applyInPandas(
         kernels.envelope_block(CHANNEL, *pair), _schema(samples, CHANNEL, "t bigint, envelope double"))
     stats = env.groupBy(*CHANNEL).agg(F.avg("envelope").alias("_m"), F.stddev_pop("envelope").alias("_s"))
     z = env.join(stats, CHANNEL).withColumn("z", F.when(F.col("_s") > 0, (F.col("envelope") - F.col("_m")) / F.col("_s")).otherwise(0e0))

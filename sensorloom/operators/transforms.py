@@ -34,7 +34,7 @@ def resample(samples: DataFrame, old: float, new: float, half: int = 32, size: i
     up, down = kernels.rate_ratio(old, new)
     reach = math.ceil(half * max(1.0, down / up)) + 2
     cols = samples.select(*keys, "t", F.col("value").cast("double").alias("value"))
-    blocked = with_blocks(cols, size=size, before=reach, after=reach).where("_block >= 0")
+    blocked = with_blocks(cols, size=size, before=reach, after=reach, wide=True).where("_block >= 0")
     return blocked.groupBy(*keys, "_block").applyInPandas(
         kernels.resample_block(keys, size, up, down, half), _schema(samples, keys, "t bigint, value double"))
 

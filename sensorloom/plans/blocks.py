@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 16
 
 
-def with_blocks(df: DataFrame, t: str = "t", size: int = BLOCK, before: int = 0, after: int = 0) -> DataFrame:
-    """Add `_block` and `_core`; halo copies have `_core = false`."""
+def with_blocks(df: DataFrame, t: str = "t", size: int = BLOCK, before: int = 0, after: int = 0, wide: bool = False) -> DataFrame:
+    """Add `_block` and `_core`; halo copies have `_core = false`. Only with `wide` may a halo reach over several blocks."""
+    if max(before, after) > size and not wide:
+        raise ValueError("halo must not exceed the block size")
     own = F.floor(F.col(t) / F.lit(size)).cast("bigint")
     offset = F.col(t) - own * F.lit(size)
     if not before and not after:
