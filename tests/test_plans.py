@@ -221,3 +221,20 @@ def test_ordered_bits_are_those_of_the_double(spark):
     want = np.where(v < 0, -bits, bits)
     got = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", ordered_bits(F.col("v")).alias("b")).toPandas()
     assert (got["v"].to_numpy() == v).all() and (got["b"].to_numpy() == want).all()
+
+
+def test_broadcasts_are_decided_by_measured_sizes(spark, tmp_path):
+    """Files of repetitive rows are small, their exploded rows are not: no broadcast is planned before sizes are measured."""
+    from sensorloom.operators import scoring
+    from sensorloom.session import configure
+
+    configure(spark)
+    rows = spark.range(50_000).select(F.lit("dev").alias("device_type"), F.lit("rest").alias("category"), F.col("id").alias("recording_id"),
+                                      F.lit("m").alias("metric"), (F.col("id") % 100).cast("double").alias("value"))
+    rows.write.parquet(str(tmp_path / "m"))
+    metrics = spark.read.parquet(str(tmp_path / "m"))
+    out = scoring.lookup_reference(metrics, scoring.build_reference_intervals(metrics))
+    assert "BroadcastExchange" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert int(spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold").rstrip("b")) == 10 << 20
+    assert out.where("reference_scope = 'device_category'").count() == 50_000
