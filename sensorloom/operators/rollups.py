@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import slug
+from ..functions.expr import mean_above, slug
 from ..plans.scans import dense_index
 
 # Processing steps in order, alert thresholds, and what a trace process belongs to.
@@ -209,7 +209,7 @@ def alarm_column(thresholds: dict | None = None, missing_ecg: bool = True, missi
         _alarm(F.lit(missing_eog) & eog & ~F.col("has_eog"), "ICA", "warn", "no EOG components"),
         _alarm(eog & F.col("has_eog") & unmarked, "ICA", "warn", "EOG components unmarked"),
         _alarm(exp("coregistration") & ~F.col("has_coregistration"), "Completeness", "warn", "coregistration outputs missing"),
-        _alarm(F.col("has_coregistration") & (F.col("coreg_mean") > th["coreg_mean_threshold"]), "Coregistration", "danger",
+        _alarm(F.col("has_coregistration") & mean_above("coreg_mean", th["coreg_mean_threshold"]), "Coregistration", "danger",
                "mean distance above threshold", F.col("coreg_mean"), th["coreg_mean_threshold"]),
         _alarm(F.col("has_coregistration") & (F.col("coreg_max") > th["coreg_max_threshold"]), "Coregistration", "danger",
                "maximum distance above threshold", F.col("coreg_max"), th["coreg_max_threshold"]),
@@ -257,7 +257,7 @@ def viewer_alarms(subjects: DataFrame, checks: dict[str, bool] | None = None, th
         text("bad_channels", F.col("bad_channels") > th["bad_channel_threshold"], "[Artifacts] excessive bad channels"),
         text("bad_segments", F.col("bad_segments") > th["bad_segment_threshold"], "[Artifacts] excessive bad segments"),
         text("coregistration", ~coreg, "[Coregistration] missing"),
-        text("coregistration", coreg & (F.col("coreg_mean") > th["coreg_mean_threshold"]), "[Coregistration] mean distance"),
+        text("coregistration", coreg & mean_above("coreg_mean", th["coreg_mean_threshold"]), "[Coregistration] mean distance"),
         text("coregistration", coreg & (F.col("coreg_max") > th["coreg_max_threshold"]), "[Coregistration] maximum distance"),
     ]
     found = subjects.withColumn("_a", F.array_compact(F.array(*rules)))
@@ -335,7 +335,7 @@ def threshold_counts(subjects: DataFrame, keys: list[str], thresholds: dict | No
         F.count_if(F.col("score").isNull() | (F.col("score") < th["alarm_score"])).alias("over_score"),
         F.count_if(F.col("bad_channels") > th["bad_channel_threshold"]).alias("over_bad_channels"),
         F.count_if(F.col("bad_segments") > th["bad_segment_threshold"]).alias("over_bad_segments"),
-        F.count_if(F.col("coreg_mean") > th["coreg_mean_threshold"]).alias("over_coreg_mean"),
+        F.count_ifmean_above("coreg_mean", th["coreg_mean_threshold"]).alias("over_coreg_mean"),
         F.count_if(F.col("reject_rate") > th["epoch_reject_rate_threshold"]).alias("over_epoch_reject"),
         F.count_if(F.size(missing_steps()) > 0).alias("with_missing_steps"))
 

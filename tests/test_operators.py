@@ -533,3 +533,16 @@ def test_settings_tree_override(spark):
     over = F.create_map(F.lit("a"), F.lit("x"), F.lit("c.f"), F.lit("4"), F.lit("d.g"), F.lit(None)).cast("map<string,string>")
     got = spark.range(1).select(catalogue._merge(base, over).alias("m")).first()["m"]
     assert got == {"d.e": "3", "a": "x", "c.f": "4", "d.g": None}
+
+
+def test_a_mean_at_its_limit_is_not_above_it(spark):
+    """Means of 0.04 and 0.06 are 5 whatever the order of the sum; one distance more is above."""
+    from sensorloom.functions.expr import mean_above
+
+    rows = spark.createDataFrame([("sum", 5.000000000000001), ("less", 4.999999999999993), ("equal", 5.0), ("above", 5.0001), ("none", None)], "name string, m double")
+    got = {r["name"]: r["hit"] for r in rows.select("name", mean_above("m", 5.0).alias("hit")).collect()}
+    assert got == {"sum": False, "less": False, "equal": False, "above": True, "none": None}
+    subjects = rows.select(F.lit(1).alias("dataset"), F.col("name").alias("subject"), F.col("m").alias("coreg_mean"), F.lit(0).alias("bad_channels"), F.lit(0).alias("bad_segments"),
+                           F.lit(1.0).alias("coreg_max"), F.lit(1).alias("marked_count"), *[F.lit(True).alias(c) for c in ("has_ecg", "has_eog", "has_coregistration")])
+    status = {r["subject"]: r["status"] for r in rollups.viewer_alarms(subjects).collect()}
+    assert status == {"sum": "Passed", "less": "Passed", "equal": "Passed", "above": "Failed", "none": "Passed"}
