@@ -557,28 +557,27 @@ def spline_kernel(cosine, stiffness=4, terms=50):
 
 
 def spline_weights(array, ridge):
-    """Weights that give each channel of an array from each of its subsets of predictors: one solve of the spline system for each subset. They sum to one."""
+    """Weights that give a piece of the channels of an array from each subset of its predictors: one solve of the spline system of the predictors for each
+    subset. They sum to one."""
 
     def run(places, chosen):
         out = []
-        places = places.sort_values("ch_name").drop_duplicates("ch_name")
-        xyz = places[["x", "y", "z"]].to_numpy(float)
-        size = np.linalg.norm(xyz, axis=1)
-        usable = np.isfinite(size) & (size > 0)
-        names, unit = places["ch_name"].to_numpy()[usable], xyz[usable] / size[usable, None]
-        g = spline_kernel(np.clip(unit @ unit.T, -1, 1)) if len(names) else np.zeros((0, 0))
+        names = places["ch_name"].to_numpy()
+
+        def unit(rows):
+            xyz = rows[["x", "y", "z"]].to_numpy(float)
+            return xyz / np.linalg.norm(xyz, axis=1)[:, None]
+
         for subset, some in chosen.groupby("subset"):
-            at = np.flatnonzero(np.isin(names, some["predictor"].to_numpy()))
-            k = len(at)
-            if not k:
-                continue
+            some = some.sort_values("predictor")
+            of, k = unit(some), len(some)
             system = np.ones((k + 1, k + 1))
-            system[:k, :k] = g[np.ix_(at, at)] + ridge * np.eye(k)
+            system[:k, :k] = spline_kernel(np.clip(of @ of.T, -1, 1)) + ridge * np.eye(k)
             system[k, k] = 0
-            w = np.linalg.solve(system, np.vstack([g[at], np.ones((1, len(names)))]))[:k].T
-            out.append(pd.DataFrame({"subset": subset, "ch_name": np.repeat(names, k), "predictor": np.tile(names[at], len(names)), "weight": w.ravel()}))
+            w = np.linalg.solve(system, np.vstack([spline_kernel(np.clip(of @ unit(places).T, -1, 1)), np.ones((1, len(names)))]))[:k].T
+            out.append(pd.DataFrame({"subset": subset, "ch_name": np.repeat(names, k), "predictor": np.tile(some["predictor"].to_numpy(), len(names)), "weight": w.ravel()}))
         out = pd.concat(out) if out else pd.DataFrame(columns=["subset", "ch_name", "predictor", "weight"])
-        out.insert(0, array, (places if len(places) else chosen)[array].iloc[0] if len(places) or len(chosen) else None)
+        out.insert(0, array, places["_array"].iloc[0] if len(places) else None)
         return out
 
     return run

@@ -127,15 +127,27 @@ def random_subsets(channels: DataFrame, count: int, size: int, array: str = "arr
         array, "subset", F.col("ch_name").alias("predictor"))
 
 
-def interpolation_weights(positions: DataFrame, subsets: DataFrame, array: str = "array", ridge: float = 1e-5) -> DataFrame:
+def interpolation_weights(positions: DataFrame, subsets: DataFrame, array: str = "array", ridge: float = 1e-5, piece: int = 1 << 12) -> DataFrame:
     """(array, subset, ch_name, predictor, weight): spherical spline weights that give every channel of an array from each subset of its channels.
 
     `positions(array, ch_name, x, y, z)` are taken as directions; channels without one (missing, or the origin) are neither predicted nor predictors.
+    A task holds the predictors of an array and about `piece` of its channels.
     """
     types = dict(positions.dtypes)
     schema = f"{array} {types[array]}, subset int, ch_name {types['ch_name']}, predictor {types['ch_name']}, weight double"
-    return positions.select(array, "ch_name", "x", "y", "z").groupBy(array).cogroup(
-        subsets.select(array, F.col("subset").cast("int").alias("subset"), "predictor").groupBy(array)).applyInPandas(kernels.spline_weights(array, ridge), schema)
+    size = F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z"))
+    usable = positions.select(array, "ch_name", *[F.col(c).cast("double").alias(c) for c in "xyz"]).where((size > 0) & (size < float("inf")))
+    at = usable.groupBy(array, "ch_name").agg(F.min(F.struct("x", "y", "z")).alias("p")).select(F.col(array).alias("_array"), "ch_name", "p.*")
+    # the channels of an array are dealt to as many tasks as they need; the predictors, which are few, go to each
+    pieces = at.groupBy("_array").agg(F.ceil(F.count("*") / F.lit(piece)).alias("_pieces"))
+    pieces = pieces.select(F.col("_array").alias("_of"), "_pieces")
+    targets = at.join(pieces, F.col("_array").eqNullSafe(F.col("_of"))).select(
+        "_array", F.pmod(F.xxhash64("ch_name"), F.col("_pieces")).alias("_piece"), "ch_name", "x", "y", "z")
+    chosen = subsets.select(F.col(array).alias("_for"), F.col("subset").cast("int").alias("subset"), "predictor").distinct()
+    chosen = at.join(chosen, F.col("_array").eqNullSafe(F.col("_for")) & (F.col("ch_name") == F.col("predictor"))).join(pieces, F.col("_array").eqNullSafe(F.col("_of")))
+    chosen = chosen.select("_array", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)).alias("_piece"), "subset", "predictor", "x", "y", "z").toDF(
+        "_to", "_in", "subset", "predictor", "x", "y", "z")
+    return targets.groupBy("_array", "_piece").cogroup(chosen.groupBy("_to", "_in")).applyInPandas(kernels.spline_weights(array, ridge), schema)
 
 
 def bad_by_ransac(samples: DataFrame, weights: DataFrame, win: int, corr_threshold: float = 0.75, fraction: float = 0.4, array: str | None = None,

@@ -102,6 +102,36 @@ def test_spline_weights_give_back_a_smooth_field(spark):
     assert np.abs(guess - guess.index.get_level_values(1).map(value)).max() < 0.1
 
 
+def test_spline_weights_in_pieces(spark):
+    """No task holds more channels than a piece, and the weights do not depend on it; a missing array is one like others."""
+    places = spark.createDataFrame([(a, f"c{i:03}", *map(float, p)) for a in ("cap", None) for i, p in enumerate(sphere(200))] + [("cap", "gone", None, 0.0, 1.0)],
+                                   "array string, ch_name string, x double, y double, z double")
+    subsets = detectors.random_subsets(places.where("ch_name <> 'gone'"), 2, 9).unionByName(
+        spark.createDataFrame([("cap", 0, "gone")], "array string, subset int, predictor string"))
+    seen, real = spark.sparkContext.accumulator(0), detectors.kernels.spline_weights
+
+    def counting(array, ridge):
+        run = real(array, ridge)
+
+        def counted(rows, chosen):
+            seen.add(1)
+            assert len(rows) < 100
+            return run(rows, chosen)
+
+        return counted
+
+    detectors.kernels.spline_weights = counting
+    try:
+        cut = detectors.interpolation_weights(places, subsets, piece=20).toPandas()
+    finally:
+        detectors.kernels.spline_weights = real
+    assert seen.value >= 4
+    keys = ["array", "subset", "ch_name", "predictor"]
+    whole = detectors.interpolation_weights(places, subsets).toPandas()
+    a, b = (df.fillna({"array": ""}).sort_values(keys).reset_index(drop=True) for df in (cut, whole))
+    assert len(a) == 2 * 2 * 200 * 9 and (a[keys] == b[keys]).all(axis=None) and np.allclose(a["weight"], b["weight"])
+
+
 def test_late_failure_beside_a_short_channel(spark):
     """A channel that fails in the second half is found though another channel ends early, and the windows of all arrays keep their own weights."""
     n, xyz = 3000, sphere(24)
