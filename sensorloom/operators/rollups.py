@@ -335,7 +335,7 @@ def threshold_counts(subjects: DataFrame, keys: list[str], thresholds: dict | No
         F.count_if(F.col("score").isNull() | (F.col("score") < th["alarm_score"])).alias("over_score"),
         F.count_if(F.col("bad_channels") > th["bad_channel_threshold"]).alias("over_bad_channels"),
         F.count_if(F.col("bad_segments") > th["bad_segment_threshold"]).alias("over_bad_segments"),
-        F.count_ifmean_above("coreg_mean", th["coreg_mean_threshold"]).alias("over_coreg_mean"),
+        F.count_if(mean_above("coreg_mean", th["coreg_mean_threshold"])).alias("over_coreg_mean"),
         F.count_if(F.col("reject_rate") > th["epoch_reject_rate_threshold"]).alias("over_epoch_reject"),
         F.count_if(F.size(missing_steps()) > 0).alias("with_missing_steps"))
 
