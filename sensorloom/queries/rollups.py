@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import r6
 from ..operators import rollups as op
-from ..session import scratch_folder
+from ..session import materialize, scratch_folder
 from ..sources import readers
 from ..sources.bindings import with_views
 from . import query
 
+#: So many tags with their subjects, some 100 bytes each, go to all tasks; more are joined by a shuffle.
+BROADCAST_TAGS = 50_000
 # subjects with flags, steps and scope; failures: rare lineitem combinations stand for failed tasks
 SV = """, sv AS (SELECT *, subject % 11 <> 0 AS has_artifacts, subject % 9 <> 0 AS has_ica, subject % 3 <> 0 AS has_ecg,
   subject % 4 <> 0 AS has_eog, subject % 5 AS marked_count, subject % 13 <> 0 AS has_coregistration, subject % 6 <> 0 AS has_epochs,
@@ -138,9 +140,11 @@ hit AS (SELECT a.dataset, a.tag_subject, min(b.tag_subject) AS subject FROM tg a
 SELECT task_id, subject FROM trace JOIN hit ON dataset = split_part(tag, ':', 1) AND tag_subject = split_part(tag, ':', 2)""", "trace"))
 def _(t):
     parts = op.parse_task_name(F.concat(F.lit("p ("), F.col("tag"), F.lit(")")))
-    tasks = t.trace().select("task_id", parts["tag_dataset"].alias("dataset"), parts["tag_subject"].alias("tag_subject"))
-    subjects = tasks.select("dataset", F.col("tag_subject").alias("subject"), F.col("tag_subject").alias("position")).distinct()
-    return tasks.join(op.match_task_subject(tasks, subjects), ["dataset", "tag_subject"]).select("task_id", "subject")
+    # many tasks share a tag: names are parsed and matched once for each tag
+    tags = materialize(t.trace().select("tag").distinct().select("tag", parts["tag_dataset"].alias("dataset"), parts["tag_subject"].alias("tag_subject")))
+    subjects = tags.select("dataset", F.col("tag_subject").alias("subject"), F.col("tag_subject").alias("position")).distinct()
+    found = materialize(tags.join(op.match_task_subject(tags, subjects), ["dataset", "tag_subject"]).select("tag", "subject"))
+    return t.trace().select("task_id", "tag").join(F.broadcast(found) if found.count() <= BROADCAST_TAGS else found, "tag").select("task_id", "subject")
 
 
 @query("infer_stage", with_views("""

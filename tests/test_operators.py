@@ -546,3 +546,13 @@ def test_a_mean_at_its_limit_is_not_above_it(spark):
                            F.lit(1.0).alias("coreg_max"), F.lit(1).alias("marked_count"), *[F.lit(True).alias(c) for c in ("has_ecg", "has_eog", "has_coregistration")])
     status = {r["subject"]: r["status"] for r in rollups.viewer_alarms(subjects).collect()}
     assert status == {"sum": "Passed", "less": "Passed", "equal": "Passed", "above": "Failed", "none": "Passed"}
+    counted = subjects.select("*", F.lit(80.0).alias("score"), F.lit(0.0).alias("reject_rate"), *[F.lit(True).alias(f"{k}_{x}") for k in ("step", "expected") for x in rollups.STEPS])
+    assert rollups.threshold_counts(counted, ["dataset"]).first()["over_coreg_mean"] == 1
+
+
+def test_tags_are_parsed_once_not_for_each_task(spark):
+    """The tasks themselves only meet the tags by a broadcast: nothing is parsed for each of them."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["match_task_subject"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower() and "rlike" not in plan.lower() and "broadcast" in plan.lower()
