@@ -17,6 +17,7 @@ from ..plans.blocks import BLOCK, neighbours, rolling, with_blocks
 from ..plans.fourier import LINE, fourier
 from ..plans.intervals import range_join
 from ..plans.quantiles import median_and_mad
+from ..session import materialize
 
 CHANNEL = ["recording_id", "ch_type", "ch_name"]
 TINY = 2.2250738585072014e-308
@@ -175,9 +176,10 @@ def robust_peak_score(samples: DataFrame, sfreq: float, n_bins: int = 1600) -> D
 
 def affected_fraction(scores: DataFrame, bad_spans: DataFrame, threshold: float = 6.0) -> DataFrame:
     """Percent of channels at or above the threshold and the largest score per bin; bins touching a BAD span."""
-    per_bin = scores.groupBy("recording_id", "bin").agg(
+    # written once, as three branches read it and `scores` would be derived in each of them
+    per_bin = materialize(scores.groupBy("recording_id", "bin").agg(
         (F.avg((F.col("peak_score") >= threshold).cast("double")) * 100).alias("affected_pct"),
-        F.max("peak_score").alias("max_score"), F.avg("time").alias("time"))
+        F.max("peak_score").alias("max_score"), F.avg("time").alias("time")))
     # one row per bin (at most the display resolution), so this window is bounded per recording
     w = Window.partitionBy("recording_id").orderBy("bin")
     rec = Window.partitionBy("recording_id")
@@ -189,8 +191,10 @@ def affected_fraction(scores: DataFrame, bad_spans: DataFrame, threshold: float
         "recording_id", F.greatest(F.col("onset"), F.col("_first")).alias("s"),
         F.least(F.col("onset") + F.greatest(F.col("duration"), F.lit(0e0)), F.col("_last")).alias("e"), "_pad",
     ).where("e > s")
-    hit = range_join(per_bin.select("recording_id", "bin", "time"), spans, ["recording_id"], F.col("time"),
-                     F.col("s") - F.col("_pad"), F.col("e") + F.col("_pad"), 60.0, "left_semi", closed=True)
+    # spans are padded by half a step, so in bins of a step a short one meets two or three, however long the recording is
+    points = per_bin.select("recording_id", "bin", "time").join(limits.select("recording_id", "_pad"), "recording_id")
+    hit = range_join(points, spans, ["recording_id"], F.col("time"), F.col("s") - F.col("_pad"), F.col("e") + F.col("_pad"),
+                     F.greatest(F.lit(60e0), F.col("_pad") * 2), "left_semi", closed=True)
     return per_bin.join(hit.select("recording_id", "bin").withColumn("_bad", F.lit(True)), ["recording_id", "bin"], "left") \
         .select("recording_id", "bin", "affected_pct", "max_score", F.coalesce("_bad", F.lit(False)).alias("is_bad"))
 

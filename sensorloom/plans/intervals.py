@@ -58,10 +58,11 @@ def merge_overlaps(df: DataFrame, keys: list[str], bucket_width: float, start: s
 
 
 def range_join(points: DataFrame, spans: DataFrame, keys: list[str], at: Column, start: Column, stop: Column,
-               bin_width: float, how: str = "inner", closed: bool = False) -> DataFrame:
+               bin_width: float | Column, how: str = "inner", closed: bool = False) -> DataFrame:
     """Join points to the spans that cover them, through an equi-join on a time bin.
 
-    Half-open spans unless `closed`. `how`: inner, left_semi or left_anti.
+    Half-open spans unless `closed`. `how`: inner, left_semi or left_anti. `bin_width` may be an expression over columns
+    of both sides, with one value for each combination of `keys`.
     """
     p = points.withColumn("_at", at).withColumn("_bin", F.floor(F.col("_at") / F.lit(bin_width)).cast("bigint"))
     s = spans.withColumn("_from", start).withColumn("_to", stop)

@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: Bits below the first digit (sign, exponent and 8 bits of the fraction), and below the second one.
 FIRST, SECOND = 44, 22
 
@@ -92,9 +94,12 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
 
 
 def median_and_mad(df: DataFrame, keys: list[str], value: str, center: str = "center", mad: str = "mad") -> DataFrame:
-    """Median and unscaled median absolute deviation per key."""
+    """Median and unscaled median absolute deviation per key.
+
+    The medians, a row per key, are written once: each pass over the deviations would select them again.
+    """
     grouped = df.select(*keys, value, F.struct(*keys).alias("_group"))
-    centers = exact_median(grouped, ["_group"], value, center)
+    centers = materialize(exact_median(grouped, ["_group"], value, center))
     deviations = grouped.join(centers, "_group").withColumn("_dev", F.abs(F.col(value) - F.col(center)))
     both = centers.join(exact_median(deviations, ["_group"], "_dev", mad), "_group")
     return both.select(*[F.col("_group")[k].alias(k) for k in keys], center, mad)

@@ -556,3 +556,27 @@ def test_tags_are_parsed_once_not_for_each_task(spark):
 
     plan = entry.queries()["match_task_subject"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan.lower() and "rlike" not in plan.lower() and "broadcast" in plan.lower()
+
+
+def test_affected_fraction_derives_its_scores_once(spark):
+    """The plan of the result starts from written bins and medians; spans of a long recording meet the bins of a step, with the rows of brute force."""
+    n, width = 40, 50_000.0
+    scores = spark.range(n * 2).select((F.col("id") % 2).alias("recording_id"), F.lit("c").alias("ch_name"), F.floor(F.col("id") / 2).alias("bin"),
+                                       ((F.floor(F.col("id") / 2) + 0.5) * width).alias("time"), (F.col("id") % 7).cast("double").alias("peak_score"))
+    rng = np.random.default_rng(5)
+    spans = pd.DataFrame({"recording_id": rng.integers(0, 2, 12), "onset": rng.uniform(-width, n * width, 12), "duration": rng.choice([1.0, width, 3 * width], 12)})
+    out = signal.affected_fraction(scores, spark.createDataFrame(spans), 3.0)
+    assert "Range (" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["recording_id"], r["bin"]): r["is_bad"] for r in out.collect()}
+    low, high, pad = 0.5 * width, (n - 0.5) * width, width / 2
+    for rec in range(2):
+        own = [(max(o, low), min(o + d, high)) for k, o, d in spans.itertuples(index=False) if k == rec]
+        for b in range(n):
+            at = (b + 0.5) * width
+            assert got[rec, b] == any(e > s and s - pad <= at <= e + pad for s, e in own)
+    values = spark.range(100).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
+    from sensorloom.plans.quantiles import median_and_mad
+
+    plan = median_and_mad(values, ["k"], "v")
+    assert tuple(plan.first()) == ("a", 49.5, 25.0)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Range (") <= 4
