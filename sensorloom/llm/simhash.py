@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, column_bytes, record, text_bytes, written
 
 BITS = 64
+#: So many edges are thinned together in one task.
+EDGES = 250_000
 
 
 def fingerprint(text: bytes, shingle: int = 3, distinct: bool = False) -> int:
@@ -184,9 +186,34 @@ def similar_links(distinct: DataFrame, max_distance: int = 3, blocks: int = 6, l
     return edges.union(bucket_links(finer, fine, max_distance, 1 << 30).select("a", "b"))
 
 
+def thinned(edges: DataFrame, count: int, together: int = EDGES) -> DataFrame:
+    """Fewer edges (u, v) with the same components: of some `together` edges, dealt as they come, a task keeps those that join two of its groups. A member of
+    a large group has an edge for each way to deal it, of which one is enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := above.get(x, x)) != x:
+                above[x] = x = above.get(y, y)
+            return x
+
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (u, v) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                u, v = root(u), root(v)
+                if u != v:
+                    above[max(u, v)] = min(u, v)
+                    keep[i] = True
+            if len(above) > together:  # forgotten groups keep more edges, never fewer
+                above.clear()
+            yield batch.filter(pa.array(keep))
+
+    return edges.select("u", "v").coalesce(max(1, -(-count // together))).mapInArrow(run, "u long, v long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of an edge with the smallest node of its component, by alternating large and small
-    stars. Each round is written to the shared folder; no edge list reaches the driver."""
+    stars over a thinned list of edges. Each round is written to the shared folder; no edge list reaches the driver."""
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
@@ -201,6 +228,7 @@ def components(edges: DataFrame) -> DataFrame:
         return out.where("u != v").distinct()
 
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    now = written(thinned(now, now.count()))
     before = state(now)
     while before[0]:
         large = star(now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), False)

@@ -549,3 +549,17 @@ def test_columns_named_like_working_ones_are_kept(spark):
     for kept in (simhash.keep_one(docs), copies.keep_one(docs)):
         assert kept.columns == docs.columns
         assert sorted(map(tuple, kept.collect())) == [(1, "a b", 7, 8, 9, 10), (3, "c", 5, 6, 7, 8)]
+
+
+def test_thinned_edges_keep_every_component(spark):
+    """A dense group costs one edge a member and not one for each way it was dealt, in one task or in several, and the components stay."""
+    rng = random.Random(4)
+    pairs = {(max(p), min(p)) for p in ((rng.randrange(300), rng.randrange(300)) for _ in range(6000)) if p[0] != p[1]}
+    pairs |= {(1000 + i + 1, 1000 + i) for i in range(50)} | {(-5, -9), (3000, -9)}
+    edges = spark.createDataFrame(sorted(pairs), "u long, v long").repartition(7)
+    expected = {n: -9 for n in (-5, 3000, -9)} | {n: 1000 for n in range(1000, 1051)} | {n: 0 for n in range(300)}
+    for together, most in ((1 << 20, 299 + 50 + 2), (1500, 4 * 351), (40, len(pairs))):
+        less = simhash.thinned(edges, len(pairs), together)
+        found = {(r.u, r.v) for r in less.collect()}
+        assert found <= pairs and len(found) <= most
+        assert {r.node: r.root for r in simhash.components(less.withColumnsRenamed({"u": "a", "v": "b"})).collect()} == expected
