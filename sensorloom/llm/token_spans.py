@@ -25,7 +25,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space on either side of a space, where the text is not cut.
 BESIDE = re.compile(r" \s"), re.compile(r"[^\S ] ")
 PIECES = 1 << 20
-#: The cache of segments is emptied beyond so many, or beyond so many bytes of them; that changes no result.
+#: The cache of segments is emptied beyond so many, or beyond so many bytes of them, or twice as many without their groups; that changes no result.
 SEGMENTS, SEGMENT_BYTES = 500_000, 32 << 20
 
 
@@ -205,7 +205,8 @@ class Aligner:
     def places(self, texts: list[bytes], with_groups: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Place of each segment of the texts, and the number of segments of each text; -1 for a text that is not UTF-8. Only `with_groups` are the groups of ids
         made."""
-        if len(self.index) > self.limit or self.bytes > SEGMENT_BYTES or self.with_groups != with_groups:
+        times = 1 if with_groups else 2
+        if len(self.index) > times * self.limit or self.bytes > times * SEGMENT_BYTES or self.with_groups != with_groups:
             self.clear(with_groups)
         flat, counts = [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):

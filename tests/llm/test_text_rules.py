@@ -281,3 +281,21 @@ def test_links_are_possible_pairs_and_their_number_is_bounded(tool):
     for key in random.Random(1).sample(tool.pairs.tolist(), 500):
         a, b = tool.of_a.tokens[key // token_spans.PIECES], tool.of_b.tokens[key % token_spans.PIECES]
         assert a.endswith(b) or b.endswith(a)
+
+
+def test_segments_without_groups_are_kept_twice_as_long():
+    """The first pass keeps no groups and so twice as many segments before its cache is emptied; places and links stay those of a new cache."""
+    tool = token_spans.Aligner(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), segments=3)
+    texts = [b"one two three four five", b"six seven one", b"eight"]
+    for with_groups, kept in ((False, True), (True, False)):
+        tool.clear(with_groups)
+        first = tool.index
+        tool.places(texts[:1], with_groups)
+        places, counts = tool.places(texts[1:2], with_groups)
+        assert (tool.index is first) == kept and counts.tolist() == [3]
+        assert (tool.n_links[places] > 0).all()
+    tool.clear(False)
+    tool.places(texts[:1], False), tool.places(texts[1:2], False)
+    full = tool.index
+    tool.places(texts[2:], False)
+    assert tool.index is not full
