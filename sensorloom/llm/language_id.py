@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -306,9 +307,12 @@ def fit(docs: DataFrame, training: Column, id_col: str = "doc_id", sample: int =
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")), F.lit(11)), F.lit(1 << 40))
     below = F.create_map(*[F.lit(x) for k in langs for x in (k, math.ceil((1 << 40) * min(1.0, quota / by_lang[k])))])
     drawn = rows.select(text_bytes().alias("text"), "lang", draw.alias("draw")).where(F.col("draw") < F.element_at(below, F.col("lang")))
-    some = drawn.limit(2 * quota * len(langs)).toArrow().to_pandas().sort_values("draw", kind="stable")
     lexicon = lexicon_counts(rows, langs)
-    return train([bytes(x) for x in some.text], [langs.index(x) for x in some.lang], langs, lexicon)
+    some = drawn.limit(2 * quota * len(langs)).toArrow()
+    some = some.take(pc.sort_indices(some, [("draw", "ascending")]))
+    texts, labels = some.column("text").to_pylist(), [langs.index(x) for x in some.column("lang").to_pylist()]
+    del some
+    return train(texts, labels, langs, lexicon)
 
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, arrow_batches, column_bytes, record, shipped, split_number, text_bytes, written
+from .common import add_columns, arrow_batches, column_bytes, learned, record, shipped, split_number, text_bytes, written
 
 BUCKETS = 1 << 18
 SAMPLE = 6000
@@ -75,18 +75,20 @@ def dual_coordinate_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.nda
     """Weights and bias of a linear squared-hinge-loss model on unit-length rows of scaled indicators. y is -1 or 1; both classes weigh alike."""
     rng = np.random.default_rng(seed)
     share = {s: cost * len(y) / (2 * max(1, int((y == s).sum()))) for s in (-1, 1)}
-    values = [ratio[r] / max(1e-9, float(np.sqrt((ratio[r] ** 2).sum() + 1))) for r in rows]
-    extra = [1 / max(1e-9, float(np.sqrt((ratio[r] ** 2).sum() + 1))) for r in rows]
-    norm = np.array([float((v**2).sum()) + e * e + 1 / (2 * share[int(s)]) for v, e, s in zip(values, extra, y)])
+    size = [max(1e-9, float(np.sqrt((ratio[r] ** 2).sum() + 1))) for r in rows]
+    extra = [1 / s for s in size]
+    norm = np.array([float(((ratio[r] / n) ** 2).sum()) + e * e + 1 / (2 * share[int(s)]) for r, n, e, s in zip(rows, size, extra, y)])
     alpha, w, bias = np.zeros(len(y)), np.zeros(len(ratio)), 0.0
     for _ in range(passes):
         most = 0.0
         for i in rng.permutation(len(y)):
-            g = y[i] * (float(w[rows[i]] @ values[i]) + bias * extra[i]) - 1 + alpha[i] / (2 * share[int(y[i])])
+            row = rows[i].astype(np.intp, copy=False)
+            values = ratio[row] / size[i]
+            g = y[i] * (float(w[row] @ values) + bias * extra[i]) - 1 + alpha[i] / (2 * share[int(y[i])])
             new = max(alpha[i] - g / norm[i], 0.0)
             step = (new - alpha[i]) * y[i]
             if step:
-                w[rows[i]] += step * values[i]
+                w[row] += step * values
                 bias += step * extra[i]
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
@@ -156,7 +158,7 @@ def counts_and_sample(rows: DataFrame, shares: list[float]) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", label_col: str = "quality",
         sample: int = SAMPLE) -> Model:
     """Learn from the labelled rows where `training` holds: class counts from all of them, the hinge-loss weights from about `sample` of
-    them (at most twice that reach the driver), chosen by a hash of the id, up to half of them of each class.
+    them (at most twice that meet in a task), chosen by a hash of the id, up to half of them of each class.
 
     Texts meet their labels in a shuffled join whatever the size of the labels, so the plan is the same at any scale.
     """
@@ -176,21 +178,24 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc
     p, q = counts[1] + 1, counts[0] + 1
     ratio = np.log((p / (totals[1] + 2)) / (q / (totals[0] + 2)))
     ratio[counts.sum(axis=0) == 0] = 0
-    some = found.where("sample is not null").select("sample", "k", "fold").limit(2 * sample).toArrow().to_pandas()
-    y = np.where(some.k.to_numpy() == 1, 1, -1)
-    if len(set(y.tolist())) < 2:
-        return Model(ratio, np.zeros(BUCKETS), 0.0, 1.0, float(np.log((totals[1] + 1) / (totals[0] + 1))))
-    seen = np.zeros(BUCKETS, bool)
-    marks = [indicators(bytes(t), seen) for t in some["sample"]]
-    fold, margins = some.fold.to_numpy(), np.zeros(len(y))
-    for k in range(4):
-        use, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        if len(rest) and len(set(y[use].tolist())) == 2:
-            m = Model(ratio, *dual_coordinate_descent([marks[i] for i in use], ratio, y[use]), 1.0, 0.0)
-            margins[rest] = [m.margin(marks[i]) for i in rest]
-    w, bias = dual_coordinate_descent(marks, ratio, y)
-    slope, shift = logistic(margins, y)
-    return Model(ratio, w, bias, slope, shift + float(np.log(shares[0] / shares[1])))
+
+    def learn(texts: list[bytes], kinds: list[int], folds: list[int]) -> dict:
+        order = sorted(range(len(texts)), key=lambda i: (texts[i], kinds[i], folds[i]))
+        y, fold = np.array([2 * (kinds[i] == 1) - 1 for i in order], np.int64), np.array([folds[i] for i in order], np.int64)
+        if len(set(y.tolist())) < 2:
+            return {"w": np.zeros(BUCKETS), "bias": 0.0, "slope": 1.0, "shift": float(np.log((totals[1] + 1) / (totals[0] + 1)))}
+        seen, margins = np.zeros(BUCKETS, bool), np.zeros(len(y))
+        marks = [indicators(texts[i], seen).astype(np.int32) for i in order]
+        for k in range(4):
+            use, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+            if len(rest) and len(set(y[use].tolist())) == 2:
+                m = Model(ratio, *dual_coordinate_descent([marks[i] for i in use], ratio, y[use]), 1.0, 0.0)
+                margins[rest] = [m.margin(marks[i]) for i in rest]
+        w, bias = dual_coordinate_descent(marks, ratio, y)
+        slope, shift = logistic(margins, y)
+        return {"w": w, "bias": bias, "slope": slope, "shift": shift + float(np.log(shares[0] / shares[1]))}
+
+    return Model(ratio, **learned(found.where("sample is not null").select("sample", "k", "fold").limit(2 * sample), learn))
 
 
 def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -166,6 +166,18 @@ def test_quality_held_out_and_odd_rows(spark):
     assert quality.predict(odd, none).count() == 6
 
 
+def test_quality_weights_are_fitted_in_a_task(spark):
+    """The drawn texts and their marks never reach the driver."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    seen, descend = [], quality.dual_coordinate_descent
+    quality.dual_coordinate_descent = lambda *x, **options: seen.append(x) or descend(*x, **options)
+    try:
+        model = quality.fit(docs, labels, quality.training_rows(), sample=40)
+    finally:
+        quality.dual_coordinate_descent = descend
+    assert not seen and model.weights.any()
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return WordIds(vocabulary(WORD_BPE), limit=50)
