@@ -2,13 +2,15 @@
 
 The lattice of a text has an edge for every piece that matches somewhere. A forward Viterbi pass gives the best score from the start to
 every place; a search from the end backwards takes these scores as exact heuristics (A-star), so it meets complete
-segmentations in order of score. No piece crosses a word's start, so the lattice falls into one part for each word: each
-distinct word is searched once, and the best segmentations of the text are merged from those of its words.
+segmentations in order of score. The lattice falls apart wherever no piece crosses: before a word's start, and between characters that no
+piece has side by side (letters and marks, say). Each distinct part is searched once, and the best segmentations of the text are merged from
+those of its parts.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import Places, arrow_batches, column_bytes, record, text_bytes, worker_cache
 
 SPACE = "▁"
+#: Characters by which the pieces that match at a place are remembered, and how many such beginnings are kept.
+HEAD, HEADS = 4, 200_000
 ROW = {"doc_id": pa.int64(), "rank": pa.int32(), "score": pa.float64(), "n_pieces": pa.int64(), "ids_crc32": pa.int64(), "round_trip": pa.bool_(),
        "ids": pa.list_(pa.int32())}
 
@@ -37,6 +41,28 @@ class Lattice:
         self.bytes = {i: b for b, i in self.byte_ids.items()}
         #: Characters that some piece has before a word's start; words are not cut after them.
         self.sticky = {a for p in pieces for a, b in zip(p, p[1:]) if b == SPACE}
+        self.parts = None if self.sticky - {SPACE} else self.uncrossed()
+        self.heads: dict[str, tuple[list, bool]] = {}
+
+    def uncrossed(self) -> re.Pattern:
+        """Pattern of the parts that no piece crosses. Characters that some piece has side by side are of one group, and so are those they lead
+        to; a part is a run of one group, with the word starts before it, or a single character of none."""
+        group: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while group.setdefault(c, c) != c:
+                c = group[c]
+            return c
+
+        for p in self.pieces:
+            bare = p.replace(SPACE, "")
+            for a, b in zip(bare, bare[1:]):
+                group[root(a)] = root(b)
+        runs: dict[str, str] = {}
+        for c in group:
+            runs[root(c)] = runs.get(root(c), "") + re.escape(c)
+        kinds = "|".join(f"[{r}]+" for r in sorted(runs.values(), key=len, reverse=True))
+        return re.compile(f"{SPACE}*(?:{kinds + '|' if kinds else ''}[^{SPACE}])|{SPACE}+", re.DOTALL)
 
     @classmethod
     def load(cls, path: str) -> Lattice:
@@ -52,62 +78,113 @@ class Lattice:
         return cls(found, spelled, model.unk_id())
 
     def words(self, text: str) -> list[str]:
-        """Parts of a text, joined to the text with a leading word start, that no piece crosses. An empty text has none."""
+        """Parts that no piece crosses of a text with a leading word start. An empty text has none."""
         if not text:
             return []
-        marked = SPACE + text.replace(" ", SPACE)
-        parts = marked.split(SPACE)
-        out = []
-        for part in parts[1:]:
-            if out and (out[-1][-1] in self.sticky):
-                out[-1] += SPACE + part
+        parts = text.replace(" ", SPACE).split(SPACE)
+        out: list[str] = []
+        if self.parts is None:
+            for part in parts:
+                if out and out[-1][-1] in self.sticky:
+                    out[-1] += SPACE + part
+                else:
+                    out.append(SPACE + part)
+            return out
+        held = SPACE
+        for part in parts:
+            if part.isalpha():
+                out.append(held + part)
+                held = SPACE
+            elif part:
+                out += self.parts.findall(held + part)
+                held = SPACE
             else:
-                out.append(SPACE + part)
+                held += SPACE
+        if len(held) > 1:
+            out.append(held[1:])
         return out
 
-    def edges(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each place of the word, (start, score, ids) of the pieces that end there."""
-        pieces, prefixes, size = self.pieces, self.prefixes, len(word)
-        into: list[list] = [[] for _ in range(size + 1)]
-        for start in range(size):
-            for end in range(start + 1, min(size, start + self.longest) + 1):
-                part = word[start:end]
-                hit = pieces.get(part)
-                if hit is not None:
-                    into[end].append((start, *hit))
-                elif end == start + 1:
-                    spelled = part.encode("utf-8", "replace")
-                    into[end].append((start, self.penalty, tuple(self.byte_ids.get(b, self.unknown) for b in spelled) if self.byte_ids else (self.unknown,)))
-                if part not in prefixes:
-                    break
-        return into
+    def begins(self, head: str) -> tuple[list[tuple[int, float, tuple[int, ...]]], bool]:
+        """(length, score, ids) of the pieces that match at the start of `head`, and whether longer ones may."""
+        found = []
+        for end in range(1, len(head) + 1):
+            part = head[:end]
+            hit = self.pieces.get(part)
+            if hit is not None:
+                found.append((end, *hit))
+            elif end == 1:
+                spelled = part.encode("utf-8", "replace")
+                found.append((1, self.penalty, tuple(self.byte_ids.get(b, self.unknown) for b in spelled) if self.byte_ids else (self.unknown,)))
+            if part not in self.prefixes:
+                return found, False
+        return found, True
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to n best segmentations, best first. Of equal scores the search follows the one nearest to the start, so runs of one
-        character, which have countless equal segmentations, cost no more than others."""
-        into = self.edges(word)
-        best = [0.0]
-        for ends in into[1:]:
-            best.append(max([best[start] + score for start, score, _ in ends]))
+        character, which have countless equal segmentations, cost no more than others. The best way on from a place is followed at once; the
+        others are kept if fewer than n - 1 of those met so far are better."""
+        size, heads, pieces, prefixes = len(word), self.heads, self.pieces, self.prefixes
+        if len(heads) > HEADS:
+            heads.clear()
+        into: list[list] = [[] for _ in range(size + 1)]
+        best = [0.0] + [-np.inf] * size
+        for start in range(size):
+            here, head = best[start], word[start : start + HEAD]
+            known = heads.get(head)
+            if known is None:
+                known = heads[head] = self.begins(head)
+            for length, score, ids in known[0]:
+                end = start + length
+                into[end].append((start, score, ids))
+                if here + score > best[end]:
+                    best[end] = here + score
+            if known[1]:
+                for end in range(start + HEAD + 1, min(size, start + self.longest) + 1):
+                    part = word[start:end]
+                    hit = pieces.get(part)
+                    if hit is not None:
+                        into[end].append((start, *hit))
+                        if here + hit[0] > best[end]:
+                            best[end] = here + hit[0]
+                    if part not in prefixes:
+                        break
         push, pop, count = heapq.heappush, heapq.heappop, 0
-        heap, out = [(-best[-1], len(word), 0, 0.0, None)], []
+        heap, others, out = [(-best[-1], size, 0, 0.0, None)], [], []
         while heap and len(out) < n:
             _, at, _, behind, path = pop(heap)
-            if at == 0:
-                ids: list[int] = []
-                while path:
-                    ids += path[0]
-                    path = path[1]
-                out.append((behind, tuple(ids)))
-                continue
-            for start, score, piece in into[at]:
-                score += behind
-                count += 1
-                push(heap, (-(best[start] + score), start, count, score, (piece, path)))
+            while at:
+                first = None
+                for start, score, ids in into[at]:
+                    score += behind
+                    now = (best[start] + score, start, score, ids)
+                    if first is None:
+                        first = now
+                        continue
+                    if now[0] > first[0]:
+                        first, now = now, first
+                    bound = now[0]
+                    if len(others) < n - 1:
+                        push(others, bound)
+                    elif not others or bound < others[0]:
+                        continue
+                    else:
+                        heapq.heapreplace(others, bound)
+                    count += 1
+                    push(heap, (-bound, now[1], count, now[2], (now[3], path)))
+                _, at, behind, ids = first
+                path = (ids, path)
+            found: list[int] = []
+            while path:
+                found += path[0]
+                path = path[1]
+            out.append((behind, tuple(found)))
         return out
 
     def decode(self, ids) -> str:
         """Text of a row of ids: the leading word start goes, further ones become spaces, and byte pieces are put together."""
+        return self.joined(ids)[1:]
+
+    def joined(self, ids) -> str:
         out, held = [], bytearray()
         for i in ids:
             i = int(i)
@@ -119,13 +196,13 @@ class Lattice:
                 held.clear()
             out.append(self.names.get(i, ""))
         out.append(held.decode("utf-8", "replace"))
-        return "".join(out).replace(SPACE, " ")[1:]
+        return "".join(out).replace(SPACE, " ")
 
 
 class Words:
     """N best segmentations of the words met so far, in flat arrays; emptied at `limit` words, which changes no result."""
 
-    def __init__(self, lattice: Lattice, n: int, limit: int = 500_000):
+    def __init__(self, lattice: Lattice, n: int, limit: int = 1_000_000):
         self.lattice, self.n, self.limit = lattice, n, limit
         self.clear()
 
@@ -149,22 +226,34 @@ class Words:
             first = len(self.index) - len(new)
             for name in ("scores", "start", "length", "whole"):
                 self._grow(name, len(self.index))
-            for place, word in enumerate(new, first):
+            scores: list[float] = []
+            lengths: list[int] = []
+            pool: list[int] = []
+            for word in new:
                 found = self.lattice.n_best(word, self.n)
-                self.scores[place] = [s for s, _ in found] + [-np.inf] * (self.n - len(found))
-                self.whole[place] = self.spells(found[0][1], word)
-                for k, (_, ids) in enumerate(found):
-                    self._grow("pool", self.used + len(ids))
-                    self.pool[self.used : self.used + len(ids)] = ids
-                    self.start[place, k], self.length[place, k] = self.used, len(ids)
-                    self.used += len(ids)
+                for s, ids in found:
+                    scores.append(s)
+                    lengths.append(len(ids))
+                    pool += ids
+                if rest := self.n - len(found):
+                    scores += [-np.inf] * rest
+                    lengths += [0] * rest
+                self.whole[first] = self.spells(found[0][1], word)
+                first += 1
+            here, sizes = slice(first - len(new), first), np.array(lengths, np.int64)
+            self.scores[here] = np.array(scores).reshape(-1, self.n)
+            self.length[here] = sizes.reshape(-1, self.n)
+            self.start[here] = (self.used + np.cumsum(sizes) - sizes).reshape(-1, self.n)
+            self._grow("pool", self.used + len(pool))
+            self.pool[self.used : self.used + len(pool)] = pool
+            self.used += len(pool)
             new.clear()
         return at
 
     def spells(self, ids, word: str) -> bool:
         """Whether the ids decode to the word with its leading word start as a space. All segmentations of a word cover the same characters."""
         names = self.lattice.names
-        return "".join([names.get(i, "") for i in ids]) == word or " " + self.lattice.decode(ids) == word.replace(SPACE, " ")
+        return "".join([names.get(i, "") for i in ids]) == word or self.lattice.joined(ids) == word.replace(SPACE, " ")
 
     def best_ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the best segmentations of words in a row, and where each word's ids begin."""
@@ -176,19 +265,23 @@ class Words:
 def merged(scores: np.ndarray, n: int) -> list[tuple[float, dict[int, int]]]:
     """The n best ways to choose one option for each row of `scores` (best first in each row), as (loss, {row: option}). Only the n - 1 rows of
     the smallest first losses can differ from their best option in any of them."""
-    loss = scores[:, :1] - scores
-    some = np.argsort(loss[:, 1], kind="stable")[: n - 1] if n > 1 and len(scores) else np.zeros(0, np.int64)
-    some = some[np.isfinite(loss[some, 1])] if len(some) else some
+    some = np.zeros(0, np.int64)
+    if n > 1 and len(scores):
+        first = scores[:, 0] - scores[:, 1]
+        near = np.flatnonzero(first <= np.partition(first, n - 2)[n - 2]) if len(first) >= n else np.arange(len(first))
+        some = near[np.argsort(first[near], kind="stable")][: n - 1]
+        some = some[np.isfinite(first[some])]
+    loss = (scores[some, :1] - scores[some]).tolist()
     heap, seen, out = [(0.0, (0,) * len(some))], {(0,) * len(some)}, []
     while heap and len(out) < n:
         total, choice = heapq.heappop(heap)
         out.append((total, {int(some[i]): c for i, c in enumerate(choice) if c}))
         for i, c in enumerate(choice):
-            if c + 1 < scores.shape[1] and np.isfinite(loss[some[i], c + 1]):
+            if c + 1 < scores.shape[1] and loss[i][c + 1] < np.inf:
                 other = choice[:i] + (c + 1,) + choice[i + 1 :]
                 if other not in seen:
                     seen.add(other)
-                    heapq.heappush(heap, (sum(float(loss[some[j], k]) for j, k in enumerate(other)), other))
+                    heapq.heappush(heap, (sum([loss[j][k] for j, k in enumerate(other)]), other))
     return out
 
 

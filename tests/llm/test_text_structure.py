@@ -303,6 +303,18 @@ def test_n_best_pieces_equal_enumeration(lattice, text):
     assert (best, tuple(ids.tolist())) in [(pytest.approx(s), i) for s, i in whole] and ("▁" in text or lattice.decode(ids) == text)
 
 
+def test_words_are_cut_where_no_piece_crosses(lattice):
+    """A text of many different words of the same parts searches each part once."""
+    words = pieces.Words(lattice, 4)
+    text = " ".join(f"ab{i}\naba,é{i}" for i in range(300))
+    at = words.places(lattice.words(text))
+    assert len(words.index) < 20 and "".join(lattice.words(text)) == "▁" + text.replace(" ", "▁")
+    ids, _ = words.best_ids(at)
+    assert words.whole[at].all() and lattice.decode(ids) == text
+    crossed = pieces.Lattice({"▁": (1, -1.0), "a": (2, -1.0), "1": (3, -1.0), "a1": (4, -1.0), "b": (5, -1.0), "1▁": (6, -1.5)})
+    assert crossed.words("ba1 a") == ["▁ba1▁a"]
+
+
 def test_merging_equals_enumeration():
     rng = np.random.default_rng(0)
     for _ in range(100):
