@@ -253,6 +253,19 @@ def test_language_model_base_score_and_odd_rows(spark):
     assert lm.score_texts(odd, F.lit(False), vocabulary(WORD_BPE)).count() == 6
 
 
+def test_attention_is_trained_in_a_task(spark):
+    """The drawn texts never reach the driver; the weights do."""
+    docs = table(spark, SF, "documents").select("doc_id", "text").limit(60)
+    rows, texts = lm.chunked(docs, F.lit(True), "doc_id", "text")
+    seen, train = [], lm.train
+    lm.train = lambda *x, **options: seen.append(x) or train(*x, **options)
+    try:
+        model = lm.fit(rows, lm.written(lm.counted_words(rows)), texts, vocabulary(WORD_BPE), sample=20)
+    finally:
+        lm.train = train
+    assert not seen and model.wo.any() and np.allclose(model.q, model.emb @ model.wq * np.minimum(1, 6 / np.maximum(np.linalg.norm(model.emb @ model.wq, axis=1, keepdims=True), 1e-6)))
+
+
 def test_class_chances_sum_to_one(spark):
     pairs = spark.createDataFrame([(-1, 5, 10), (5, 6, 4), (6, -1, 4), (5, -1, 6), (-1, 9, 3), (9, -1, 3)], "a int, b int, n long")
     m = lm.from_counts(pairs, 4, 600)
