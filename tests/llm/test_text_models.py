@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +231,76 @@ def test_training_lowers_the_loss():
     assert (m.log_probability(inputs, targets) * real).sum() > before + 50
 
 
+def grouped_model(end=7):
+    """Six classes in two groups; ids 0 to 5 are a class each, 6 and the end share those of 0 and 1."""
+    m, rng = small_model(end), np.random.default_rng(8)
+    m.classes, m.groups = 6, 2
+    m.class_of = np.arange(8) % 6
+    m.guess, m.member = rng.normal(size=(9, 6)).astype(np.float32), np.zeros((8, 6), np.float32)
+    m.member[[0, 6]], m.member[[1, 7]] = np.log(np.float32(0.25)), np.log(np.float32(0.5))
+    m.member[6] = np.log(np.float32(0.75))
+    m.wo, m.wg = rng.normal(size=(lm.WIDTH, 6)).astype(np.float32), rng.normal(size=(lm.WIDTH, 2)).astype(np.float32)
+    m.tables()
+    return m
+
+
+def test_chances_of_groups_and_classes_sum_to_one():
+    m, rng = grouped_model(), np.random.default_rng(5)
+    inputs, targets, real, _ = lm.windows(rng.integers(0, 7, 75), np.array([75]), 7)
+    total = sum(np.exp(m.log_probability(inputs, np.full(targets.shape, y))) for y in range(8))
+    assert np.allclose(total[real], 1, atol=1e-4)
+    # without a say of the tokens before the last one, the two levels give the first guess as it is
+    m.wo[:], m.wg[:] = 0, 0
+    share = np.exp(m.guess) / np.exp(m.guess).sum(axis=1, keepdims=True)
+    got = np.exp(m.log_probability(inputs, targets))
+    want = share[inputs[:, lm.OVERLAP :], m.class_of[targets]] * np.exp(m.member[targets, 0])
+    assert np.allclose(got[real], want[real], atol=1e-5)
+
+
+def test_training_lowers_the_loss_of_groups():
+    m, rng = grouped_model(), np.random.default_rng(6)
+    ids = np.tile([0, 1, 2, 3, 4, 5], 60)
+    inputs, targets, real, _ = lm.windows(ids, np.array([len(ids)]), 7)
+    before, weights = (m.log_probability(inputs, targets) * real).sum(), m.wg.copy()
+    lm.train(m, inputs, targets, real, steps=80)
+    assert (m.log_probability(inputs, targets) * real).sum() > before + 50 and (m.wg != weights).all()
+
+
+def test_like_rows_stand_in_one_part():
+    rows = np.random.default_rng(2).permutation(np.repeat(np.arange(4), 3))
+    order = lm.alike(np.eye(4)[rows] + 0.01, 4)
+    assert sorted(order) == list(range(12)) and all(len(set(rows[part])) == 1 for part in order.reshape(4, 3))
+
+
+def test_words_are_encoded_once_and_texts_take_their_ids(spark, encoder):
+    """The ids of a word come with its counts to each chunk, and scoring encodes nothing but texts that may hold a special token."""
+    odd = ["The the, x...", "a\x1cb <|endoftext|> The <|ENDOFTEXT|>", "ÜBERİ. 日本 x", "", None, " "]
+    docs = table(spark, SF, "documents").select("doc_id", "text").union(spark.createDataFrame([(900_000 + i, x) for i, x in enumerate(odd)], "doc_id long, text string"))
+    rows, texts = lm.chunked(docs, F.lit(True), "doc_id", "text")
+    rows = rows.withColumn("chunk", (F.col("doc_id") % 3).cast("int"))
+    words = lm.written(lm.with_ids(lm.counted_words(rows), vocabulary(WORD_BPE)))
+    found = words.toArrow()
+    flat, counts = lm.ids_of(found.column("ids").combine_chunks())
+    want, want_counts = encoder.encode(found.column("word").to_pylist())
+    assert flat.tolist() == want.tolist() and counts.tolist() == want_counts.tolist()
+    leads = Counter(w for w, first in zip(found.column("word").to_pylist(), found.column("leads").to_pylist()) if first)
+    assert set(leads) == set(found.column("word").to_pylist()) and set(leads.values()) == {1}
+
+    model = lm.fit(*lm.chunked(docs, F.lit(True), "doc_id", "text")[:1], words, texts, vocabulary(WORD_BPE))
+    got = {r.doc_id: r.score for r in lm.score_texts(docs, F.lit(True), vocabulary(WORD_BPE)).collect()}
+    for r in docs.where("doc_id >= 900000 or doc_id % 9 = 0").collect():
+        ids, n = encoder.encode([(r.text or "").encode()])
+        inputs, targets, real, _ = lm.windows(ids.astype(np.int64), n, model.end)
+        assert math.isclose((model.log_probability(inputs, targets) * real).sum() / math.log(10), got[r.doc_id], rel_tol=1e-3, abs_tol=1e-3)
+
+
+def test_slices_of_id_columns():
+    ids = pa.array([np.array(x, np.uint16).tobytes() for x in ([1, 2], [], [49151], [3, 4, 5])], pa.binary())
+    for column, flat, counts in ((ids, [1, 2, 49151, 3, 4, 5], [2, 0, 1, 3]), (ids[1:3], [49151], [0, 1]), (ids[3:].cast(pa.large_binary()), [3, 4, 5], [3]), (ids[:0], [], [])):
+        got = lm.ids_of(column)
+        assert got[0].tolist() == flat and got[1].tolist() == counts
+
+
 def test_language_model_base_score_and_odd_rows(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
     odd = spark.createDataFrame([(100001, None), (100002, ""), (100003, "<|endoftext|> The The"), (100003, "<|endoftext|> The The"), (None, "zzz"), (100004, "of " * 30_000)],
