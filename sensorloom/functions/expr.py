@@ -13,10 +13,10 @@ def r6(c) -> Column:
     return F.round(c, 6)
 
 
-def r6_off_ties(c) -> Column:
-    """Round averages of short decimals, whose seventh digit is often an exact 5: moved off the tie first."""
+def r6_off_ties(c, by: float = 1e-9) -> Column:
+    """Round averages of short decimals, whose seventh digit is often an exact 5: moved off the tie first, by more than the order of the rows changes them."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c + F.lit(1e-9), 6)
+    return F.round(c + F.lit(by), 6)
 
 
 def mean_above(c, limit: float) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import r6
+from ..functions.expr import r6, r6_off_ties
 from ..operators import rollups as op
 from ..session import materialize, scratch_folder
 from ..sources import readers
@@ -189,7 +189,7 @@ def _(t):
 
 @query("alarms", with_views(AL + "SELECT dataset, subject, category, severity, message, round(value, 6) AS value, threshold FROM al", "subjects"))
 def _(t):
-    return alarm_rows(t).withColumn("value", r6("value"))
+    return alarm_rows(t).withColumn("value", r6_off_ties("value", 1e-12))
 
 
 @query("subject_status", with_views(SS + "SELECT dataset, subject, alarm_count, danger_count, status FROM ss", "subjects"))
@@ -285,7 +285,8 @@ SELECT subject, status, alarm_count, round(score, 6) AS score, bad_channels, bad
  round(coreg_max, 6) AS coreg_max_mm, round(reject_rate, 6) AS epoch_reject_rate, step_quality_score AS quality_score, step_artifacts AS artifacts, step_ica AS ica,
  step_coregistration AS coregistration, step_headmodel AS headmodel, step_epochs AS epochs, step_covariance AS covariance, step_source AS source FROM ss""", "subjects"))
 def _(t):
-    return op.subjects_table(judged(t)).withColumns({c: r6(c) for c in ("score", "coreg_mean_mm", "coreg_max_mm", "epoch_reject_rate")})
+    exact = {c: r6(c) for c in ("score", "coreg_max_mm", "epoch_reject_rate")}
+    return op.subjects_table(judged(t)).withColumns(exact | {"coreg_mean_mm": r6_off_ties("coreg_mean_mm", 1e-12)})
 
 
 @query("workflow_node_status", with_views(SS + "SELECT dataset, step, CASE WHEN d = 0 THEN 'missing' WHEN d = n THEN 'done' ELSE 'partial' END AS state FROM (" + " UNION ALL ".join(

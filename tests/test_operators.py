@@ -580,3 +580,28 @@ def test_affected_fraction_derives_its_scores_once(spark):
     plan = median_and_mad(values, ["k"], "v")
     assert tuple(plan.first()) == ("a", 49.5, 25.0)
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("Range (") <= 4
+
+
+def test_a_mean_on_a_rounding_tie_does_not_follow_the_order_of_its_rows(spark, tmp_path):
+    """The mean distance of supplier 203 is 5.0703125; a sum in other orders ends below it."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    from sensorloom.queries import load
+    from sensorloom.sources.bindings import Tables
+
+    rows = pq.read_table("/root/testdata/sf0.1/lineitem.parquet", filters=[("l_suppkey", "=", 203)])
+    values = rows.column("l_discount").to_numpy()
+    orders, seed = [np.arange(len(values))], 0
+    while len(orders) < 2:
+        order, seed = np.random.default_rng(seed).permutation(len(values)), seed + 1
+        if np.cumsum(values[order])[-1] / len(values) * 100 < 5.0703125:
+            orders.append(order)
+    for name, order in zip("ab", orders):
+        (tmp_path / name).mkdir()
+        for other in os.listdir("/root/testdata/sf0.1"):
+            os.symlink(f"/root/testdata/sf0.1/{other}", tmp_path / name / other) if other != "lineitem.parquet" else pq.write_table(rows.take(order), tmp_path / name / other)
+        t = Tables(spark, str(tmp_path / name))
+        assert load()["subjects_table"].run(t).where("subject = 203").first()["coreg_mean_mm"] == 5.070313
+        assert load()["alarms"].run(t).where("subject = 203 and category = 'Coregistration' and threshold = 5").first()["value"] == 5.070313
