@@ -337,6 +337,21 @@ def test_attention_is_trained_in_a_task(spark):
     assert not seen and model.wo.any() and np.allclose(model.q, model.emb @ model.wq * np.minimum(1, 6 / np.maximum(np.linalg.norm(model.emb @ model.wq, axis=1, keepdims=True), 1e-6)))
 
 
+def test_attention_learns_from_every_training_row(spark, encoder):
+    """Ids move with the texts that hold them, drawn for the start or not; held-out texts move none, and the deal of chunks to tasks is of no account."""
+    docs = table(spark, SF, "documents").select("doc_id", "text").limit(60)
+    rows, texts = lm.chunked(docs, split_number("doc_id", 7) != 2, "doc_id", "text")
+    rows = rows.withColumn("chunk", (F.col("doc_id") % 3).cast("int"))
+    words = lm.written(lm.with_ids(lm.counted_words(rows), vocabulary(WORD_BPE)))
+    coded = lm.written(lm.coded_texts(rows, words, texts, 1, 1, vocabulary(WORD_BPE)))
+    model = lm.fit(rows, words, texts, vocabulary(WORD_BPE), sample=4, coded=coded.repartition(2, "chunk").sortWithinPartitions("chunk"))
+    plain = lm.fit(rows, words, texts, vocabulary(WORD_BPE), sample=4)
+    assert all(np.allclose(getattr(model, n), getattr(plain, n), atol=1e-5) for n in lm.weights(model))
+    moved = (model.emb != np.random.default_rng(11).normal(0, 0.3, model.emb.shape).astype(np.float32)).any(axis=1)
+    trained, held = (np.unique(encoder.encode([r.text for r in rows.where(use).collect()])[0]) for use in ("training", "not training"))
+    assert moved[trained].all() and len(np.setdiff1d(held, trained)) and not moved[np.setdiff1d(held, trained)].any()
+
+
 def test_class_chances_sum_to_one(spark):
     pairs = spark.createDataFrame([(-1, 5, 10), (5, 6, 4), (6, -1, 4), (5, -1, 6), (-1, 9, 3), (9, -1, 3)], "a int, b int, n long")
     m = lm.from_counts(pairs, 4, 600)
