@@ -20,7 +20,7 @@ def r6_off_ties(c, by: float = 1e-9) -> Column:
 
 
 def mean_above(c, limit: float) -> Column:
-    """A mean above `limit`. Sums of decimals differ in their last bits with the order of the rows; a mean that misses the limit by no more is equal to it."""
+    """A mean (or correlation) above `limit`. Sums of decimals differ in their last bits with the order of the rows; a mean that misses the limit by no more is equal to it."""
     c = F.col(c) if isinstance(c, str) else c
     return c - F.lit(float(limit)) > F.lit(1e-9 * max(1.0, abs(limit)))
 

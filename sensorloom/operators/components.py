@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
+from ..functions.expr import mean_above
 from ..plans.quantiles import exact_quantiles
 from ..plans.scans import prefix_scan
 
@@ -91,7 +92,7 @@ def classify_by_template(similarity: DataFrame, keys: list[str], method: str = "
         F.greatest(F.coalesce(F.max(F.when(F.col("kind") == k, F.col(method))), F.lit(0e0)), F.lit(0e0)).alias(k.lower() + "_max")
         for k in ("ECG", "EOG")])
     ecg, eog = F.col("ecg_max"), F.col("eog_max")
-    label = F.when((ecg > threshold) & (ecg > eog), "ECG").when(eog > threshold, "EOG").otherwise("Brain")
+    label = F.when(mean_above(ecg, threshold) & mean_above(ecg - eog, 0), "ECG").when(mean_above(eog, threshold), "EOG").otherwise("Brain")
     return best.select("*", label.alias("label"), F.when(label == "ECG", ecg).when(label == "EOG", eog)
                        .otherwise(F.greatest(ecg, eog)).alias("similarity"))
 
@@ -104,8 +105,9 @@ def vote(similarity: DataFrame, keys: list[str], threshold: float = 0.6, min_vot
     def top(kind: str, m: str) -> Column:
         return F.greatest(F.coalesce(f"{kind}_{m}", F.lit(0e0)), F.lit(0e0))
 
-    ecg = {m: (top("ECG", m) > threshold) & (top("ECG", m) > top("EOG", m)) for m in METHODS}
-    eog = {m: ~ecg[m] & (top("EOG", m) > threshold) for m in METHODS}
+    # correlations of ranks are often equal to the threshold or to each other but for their last bits
+    ecg = {m: mean_above(top("ECG", m), threshold) & mean_above(top("ECG", m) - top("EOG", m), 0) for m in METHODS}
+    eog = {m: ~ecg[m] & mean_above(top("EOG", m), threshold) for m in METHODS}
     n_ecg = sum([ecg[m].cast("int") for m in METHODS[1:]], ecg[METHODS[0]].cast("int"))
     n_eog = sum([eog[m].cast("int") for m in METHODS[1:]], eog[METHODS[0]].cast("int"))
     return best.select(*keys, (n_ecg + n_eog).alias("votes"), F.when(n_ecg > 0, "ecg").otherwise("eog").alias("kind")).where(
